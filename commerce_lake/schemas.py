@@ -129,7 +129,7 @@ FEED_KEYS = {
 }
 
 # Columns removed from quarantine payloads (data minimisation).
-PAYLOAD_REDACT = {"customers": ["email_hash", "phone_hash", "first_name", "last_name"]}
+PAYLOAD_REDACT = {"customers": ["first_name", "last_name"]}
 
 LINEAGE_COLUMNS = ["_source_file", "_ingested_at", "_run_date"]
 

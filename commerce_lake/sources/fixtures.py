@@ -119,7 +119,9 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(orphan, p + F.lit(ORPHAN_OFFSET)).otherwise(p).alias("product_id"),
             F.concat(F.lit("SKU-"), p.cast("string")).alias("product_sku"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).cast("decimal(10,2)").alias("unit_price"),
+            # whole cents, floor-divided by the quantity: exact in every engine
+            (F.expr("CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS BIGINT)")
+             .cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(10,2)").alias("unit_price"),
             F.lit(0).cast("decimal(10,2)").alias("line_discount"),
             F.col("l_extendedprice").cast("decimal(12,2)").alias("line_total"),
             F.col("l_suppkey").alias("seller_id"),
