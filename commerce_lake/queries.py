@@ -23,6 +23,7 @@ from commerce_lake.plans import curated as C
 from commerce_lake.plans import profile as PR
 from commerce_lake.plans import quality as Q
 from commerce_lake.plans import warehouse as W
+from commerce_lake.plans.pipeline import ParquetStore, run_curated
 from commerce_lake.sources import fixtures as fx
 
 RUN_TS = fx.INGESTED_AT  # snapshot time of the fixture run
@@ -47,21 +48,29 @@ def comparable(df: DataFrame) -> DataFrame:
 class Lake:
     """Lazily composed pipeline over one fixture directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, orders_filter=None):
+    def __init__(self, spark: SparkSession, sf_dir: str, orders_filter=None, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.orders_filter = orders_filter
+        self.materialize = materialize
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        feeds = fx.raw_feeds(self.spark, self.sf_dir)
+        feeds = fx.cached_raw_feeds(self.spark, self.sf_dir)
         if self.orders_filter is not None:
             feeds["orders"] = feeds["orders"].where(self.orders_filter)
         return feeds
 
     @cached_property
     def cur(self) -> dict[str, DataFrame]:
-        return C.build_all(self.raw, fx.HASH_SALT, fx.RUN_DATE)
+        """The curated zone.  Materialized (default): built once per session in
+        dependency order and stored as Parquet under spark.checkpoint.dir, as
+        the curated zone is a stored layer that the marts read.  Otherwise a
+        fully lazy plan over the raw feeds."""
+        if not self.materialize:
+            return C.build_all(self.raw, fx.HASH_SALT, fx.RUN_DATE)
+        store = ParquetStore.scratch(self.spark)
+        return run_curated(self.raw, fx.HASH_SALT, fx.RUN_DATE, store)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -90,25 +99,32 @@ class Lake:
         return W.fact_order_line(self.cur, self.dim_customer, self.dim_product)
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> Lake:
-    return Lake(spark, sf_dir)
+def _lake(spark: SparkSession, sf_dir: str, variant: str = "full") -> Lake:
+    """One Lake per session, directory and variant, so that the queries of a
+    session share their (lazy) plans instead of rebuilding them."""
+    cache = spark.__dict__.setdefault("_cl_lakes", {})
+    key = (sf_dir, variant)
+    if key not in cache:
+        cache[key] = Lake(spark, sf_dir, orders_filter=first_run_filter() if variant == "first_run" else None)
+    return cache[key]
 
 
-def _quarantine_view(df: DataFrame, source: str, key: str) -> DataFrame:
-    return C.to_quarantine(df, source, key, F.col("dq_reason"), fx.RUN_DATE).drop("payload")
+def _quarantine_view(lake: Lake, source: str) -> DataFrame:
+    """Rejected rows of one feed, from the stored quarantine table."""
+    return lake.cur["quarantine"].where(F.col("source") == source).drop("payload")
 
 
 # ----------------------------------------------------------------------------- curated
 def q_latest_orders(spark, sf):
-    return comparable(C.latest_orders(fx.raw_orders(spark, sf)))
+    return comparable(C.latest_orders(_lake(spark, sf).raw["orders"]))
 
 
 def q_clean_products(spark, sf):
-    return comparable(C.build_products(fx.raw_products(spark, sf)))
+    return comparable(_lake(spark, sf).cur["products"])
 
 
 def q_ambiguous_customers(spark, sf):
-    return comparable(C.ambiguous_customer_ids(fx.raw_customers(spark, sf)))
+    return comparable(C.ambiguous_customer_ids(_lake(spark, sf).raw["customers"]))
 
 
 def q_clean_customers(spark, sf):
@@ -116,7 +132,7 @@ def q_clean_customers(spark, sf):
 
 
 def q_selected_payments(spark, sf):
-    return comparable(C.selected_payments(fx.raw_payments(spark, sf)))
+    return comparable(_lake(spark, sf).cur["selected_payments"])
 
 
 def q_clean_orders(spark, sf):
@@ -124,7 +140,7 @@ def q_clean_orders(spark, sf):
 
 
 def q_quarantine_orders(spark, sf):
-    return _quarantine_view(_lake(spark, sf).cur["quarantine_orders"], "orders", "order_id")
+    return _quarantine_view(_lake(spark, sf), "orders")
 
 
 def q_clean_order_lines(spark, sf):
@@ -132,7 +148,7 @@ def q_clean_order_lines(spark, sf):
 
 
 def q_quarantine_order_lines(spark, sf):
-    return _quarantine_view(_lake(spark, sf).cur["quarantine_order_lines"], "order_lines", "order_line_id")
+    return _quarantine_view(_lake(spark, sf), "order_lines")
 
 
 def q_clean_payments(spark, sf):
@@ -144,7 +160,7 @@ def q_clean_deliveries(spark, sf):
 
 
 def q_quarantine_deliveries(spark, sf):
-    return _quarantine_view(_lake(spark, sf).cur["quarantine_deliveries"], "deliveries", "delivery_id")
+    return _quarantine_view(_lake(spark, sf), "deliveries")
 
 
 def q_quarantine_counts(spark, sf):
@@ -229,21 +245,21 @@ def first_run_filter():
 
 
 def q_return_rate_incremental(spark, sf):
-    first = Lake(spark, sf, orders_filter=first_run_filter()).return_rate()
-    second = Lake(spark, sf)
+    first = _lake(spark, sf, "first_run").return_rate()
+    second = _lake(spark, sf)
     return comparable(W.mart_category_return_rate_incremental(second.cur, first))
 
 
 # ----------------------------------------------------------------------------- scale-out windows
 def q_ntile_scaleout(spark, sf):
-    lines = fx.raw_order_lines(spark, sf).select("order_line_id", "line_total")
+    lines = _lake(spark, sf).raw["order_lines"].select("order_line_id", "line_total")
     out = ranking.global_ntile(lines, 5, [F.col("line_total").asc_nulls_last(), F.col("order_line_id").asc()],
                                "quintile")
     return comparable(out)
 
 
 def q_running_share_scaleout(spark, sf):
-    lines = fx.raw_order_lines(spark, sf).select("order_line_id", "line_total")
+    lines = _lake(spark, sf).raw["order_lines"].select("order_line_id", "line_total")
     order = [F.col("line_total").desc_nulls_first(), F.col("order_line_id").asc()]
     out = ranking.global_running_sum(lines, "line_total", order, "running_total", total_col="grand_total")
     out = out.withColumn("running_share",
@@ -328,11 +344,11 @@ def q_relational_tests(spark, sf):
 
 
 def q_profile_nulls(spark, sf):
-    return PR.profile_nulls(fx.raw_feeds(spark, sf))
+    return PR.profile_nulls(_lake(spark, sf).raw)
 
 
 def q_profile_anomalies(spark, sf):
-    return PR.profile_anomalies(fx.raw_feeds(spark, sf))
+    return PR.profile_anomalies(_lake(spark, sf).raw)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

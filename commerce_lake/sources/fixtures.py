@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STATUS_BY_MOD7 = ["PENDING", "CONFIRMED", "PROCESSING", "SHIPPED", "CANCELLED", "RETURNED", "DELIVERED"]
@@ -40,198 +40,170 @@ HASH_SALT = "fixture-salt"
 ORPHAN_OFFSET = 10_000_000
 
 
-def pick(values: Sequence[str], key: Column) -> Column:
-    """values[key % len(values)] as a CASE expression."""
-    n = len(values)
-    m = key % F.lit(n)
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(m == i, F.lit(v)) if expr is None else expr.when(m == i, F.lit(v))
-    return expr
+def pick(values: Sequence[str], key: str) -> str:
+    """SQL text of values[key % len(values)]."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE ({key}) % {len(values)} {whens} END"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _lineage(df: DataFrame, feed: str) -> DataFrame:
-    return df.withColumns(
-        {
-            "_source_file": F.lit(f"{feed}.csv"),
-            "_ingested_at": F.lit(INGESTED_AT).cast("timestamp"),
-            "_run_date": F.lit(RUN_DATE),
-        }
-    )
+# Projections are SQL expression text: one planner call per projection
+# instead of one JVM round trip per column operator.
+LINEAGE = [f"CAST('{INGESTED_AT}' AS TIMESTAMP) AS _ingested_at", f"'{RUN_DATE}' AS _run_date"]
 
 
-def _days(ts: Column, n: Column | int) -> Column:
-    return ts + F.make_dt_interval(days=n if isinstance(n, Column) else F.lit(n))
+def _lineage(df: DataFrame, feed: str) -> DataFrame:
+    return df.selectExpr("*", f"'{feed}.csv' AS _source_file", *LINEAGE)
 
 
 def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    subtotal = F.col("o_totalprice").cast("decimal(12,2)")
-    total = (subtotal + F.when(k % 97 == 0, F.lit(105)).otherwise(F.lit(5)).cast("decimal(12,2)")).cast(
-        "decimal(12,2)")
-    order_date = F.col("o_orderdate").cast("timestamp")
-    return o.select(
-        k.alias("order_id"),
-        F.concat(F.lit("ORD-"), k.cast("string")).alias("order_number"),
-        c.alias("customer_id"),
-        order_date.alias("order_date"),
-        pick(STATUS_BY_MOD7, k).alias("order_status"),
-        pick(CHANNEL_BY_MOD5, k).alias("channel"),
-        pick(COUNTRY_BY_MOD4, c).alias("country_code"),
-        F.concat(F.lit("CITY-"), (c % 20).cast("string")).alias("delivery_address_city"),
-        F.concat(F.lit("REGION-"), (c % 5).cast("string")).alias("delivery_address_region"),
-        F.when(c % 2 == 0, F.lit("URBAN")).otherwise(F.lit("RURAL")).alias("delivery_address_zone"),
-        F.when(k % 3 == 0, F.lit("PROMO5")).alias("promo_code"),
-        pick(CURRENCY_BY_MOD4, c).alias("currency"),
-        subtotal.alias("subtotal_amount"),
-        F.lit(10).cast("decimal(10,2)").alias("shipping_amount"),
-        F.lit(5).cast("decimal(10,2)").alias("discount_amount"),
-        total.alias("total_amount"),
-        order_date.alias("created_at"),
-        order_date.alias("updated_at"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "concat('ORD-', CAST(o_orderkey AS STRING)) AS order_number",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS TIMESTAMP) AS order_date",
+        f"{pick(STATUS_BY_MOD7, 'o_orderkey')} AS order_status",
+        f"{pick(CHANNEL_BY_MOD5, 'o_orderkey')} AS channel",
+        f"{pick(COUNTRY_BY_MOD4, 'o_custkey')} AS country_code",
+        "concat('CITY-', CAST(o_custkey % 20 AS STRING)) AS delivery_address_city",
+        "concat('REGION-', CAST(o_custkey % 5 AS STRING)) AS delivery_address_region",
+        "CASE WHEN o_custkey % 2 = 0 THEN 'URBAN' ELSE 'RURAL' END AS delivery_address_zone",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'PROMO5' END AS promo_code",
+        f"{pick(CURRENCY_BY_MOD4, 'o_custkey')} AS currency",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS subtotal_amount",
+        "CAST(10 AS DECIMAL(10,2)) AS shipping_amount",
+        "CAST(5 AS DECIMAL(10,2)) AS discount_amount",
+        "CAST(CAST(o_totalprice AS DECIMAL(12,2)) + CAST(CASE WHEN o_orderkey % 97 = 0 THEN 105 ELSE 5 END"
+        " AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS total_amount",
+        "CAST(o_orderdate AS TIMESTAMP) AS created_at",
+        "CAST(o_orderdate AS TIMESTAMP) AS updated_at",
     )
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = base_orders(spark, sf_dir)
-    second = b.where(F.col("order_id") % 33 == 0).withColumns(
-        {"order_status": F.lit("DELIVERED"), "updated_at": _days(F.col("updated_at"), 1)}
+    second = b.where("order_id % 33 = 0").withColumns(
+        {"order_status": F.lit("DELIVERED"), "updated_at": F.expr("updated_at + INTERVAL 1 DAY")}
     )
     return _lineage(b.unionByName(second), "orders")
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    others = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-              "l_returnflag", "l_linestatus", "l_shipdate"]
-    rn = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*others))
-    k, p = F.col("l_orderkey"), F.col("l_partkey")
-    orphan = (k + p) % 50 == 0
+    others = ("l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
+              "l_linestatus, l_shipdate")
     return _lineage(
-        li.select(
-            (k * 1000 + rn).alias("order_line_id"),
-            k.alias("order_id"),
-            F.when(orphan, p + F.lit(ORPHAN_OFFSET)).otherwise(p).alias("product_id"),
-            F.concat(F.lit("SKU-"), p.cast("string")).alias("product_sku"),
-            F.col("l_quantity").cast("int").alias("quantity"),
+        table(spark, sf_dir, "lineitem").selectExpr(
+            f"l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY {others}) AS order_line_id",
+            "l_orderkey AS order_id",
+            f"CASE WHEN (l_orderkey + l_partkey) % 50 = 0 THEN l_partkey + {ORPHAN_OFFSET} ELSE l_partkey END"
+            " AS product_id",
+            "concat('SKU-', CAST(l_partkey AS STRING)) AS product_sku",
+            "CAST(l_quantity AS INT) AS quantity",
             # whole cents, floor-divided by the quantity: exact in every engine
-            (F.expr("CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS BIGINT)")
-             .cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(10,2)").alias("unit_price"),
-            F.lit(0).cast("decimal(10,2)").alias("line_discount"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("line_total"),
-            F.col("l_suppkey").alias("seller_id"),
+            "CAST(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS BIGINT) AS DECIMAL(18,0))"
+            " * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS unit_price",
+            "CAST(0 AS DECIMAL(10,2)) AS line_discount",
+            "CAST(l_extendedprice AS DECIMAL(12,2)) AS line_total",
+            "l_suppkey AS seller_id",
         ),
         "order_lines",
     )
 
 
-def _customer_rows(c: DataFrame, email: Column) -> DataFrame:
-    k = F.col("c_custkey")
-    return c.select(
-        k.alias("customer_id"),
-        email.alias("email_hash"),
-        F.md5(F.concat(F.lit("tel-"), k.cast("string"))).alias("phone_hash"),
-        (F.lit(1940) + k % 70).cast("int").alias("birth_year"),
-        pick(GENDER_BY_MOD4, k).alias("gender"),
-        F.date_add(F.lit("1994-01-01").cast("date"), (k % 365).cast("int")).alias("registration_date"),
-        pick(COUNTRY_BY_MOD4, k).alias("country_code"),
-        F.col("c_nationkey").cast("string").alias("city"),
-        F.col("c_mktsegment").alias("customer_segment"),
-        pick(METHOD_BY_MOD6, k).alias("preferred_payment_method"),
-        pick(TIER_BY_MOD3, k).alias("loyalty_tier"),
-        F.lit("ACTIVE").alias("account_status"),
+def _customer_rows(c: DataFrame, email_sql: str) -> DataFrame:
+    return c.selectExpr(
+        "c_custkey AS customer_id",
+        f"{email_sql} AS email_hash",
+        "md5(concat('tel-', CAST(c_custkey AS STRING))) AS phone_hash",
+        "CAST(1940 + c_custkey % 70 AS INT) AS birth_year",
+        f"{pick(GENDER_BY_MOD4, 'c_custkey')} AS gender",
+        "date_add(DATE'1994-01-01', CAST(c_custkey % 365 AS INT)) AS registration_date",
+        f"{pick(COUNTRY_BY_MOD4, 'c_custkey')} AS country_code",
+        "CAST(c_nationkey AS STRING) AS city",
+        "c_mktsegment AS customer_segment",
+        f"{pick(METHOD_BY_MOD6, 'c_custkey')} AS preferred_payment_method",
+        f"{pick(TIER_BY_MOD3, 'c_custkey')} AS loyalty_tier",
+        "'ACTIVE' AS account_status",
         # the two name columns exist in the feed and are never carried forward
-        F.col("c_name").alias("first_name"),
-        F.concat(F.lit("N"), k.cast("string")).alias("last_name"),
+        "c_name AS first_name",
+        "concat('N', CAST(c_custkey AS STRING)) AS last_name",
     )
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    k = F.col("c_custkey")
-    shared = F.md5(F.when(k % 60 == 1, k - 1).otherwise(k).cast("string"))
-    first = _customer_rows(c, shared)
-    second = _customer_rows(c.where(k % 500 == 7), F.md5(F.concat(F.lit("x"), k.cast("string"))))
+    c = table(spark, sf_dir, "customer")
+    first = _customer_rows(c, "md5(CAST(CASE WHEN c_custkey % 60 = 1 THEN c_custkey - 1 ELSE c_custkey END AS STRING))")
+    second = _customer_rows(c.where("c_custkey % 500 = 7"), "md5(concat('x', CAST(c_custkey AS STRING)))")
     return _lineage(first.unionByName(second), "customers")
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    cost = F.when(k % 100 == 0, F.lit(0)).when(k % 200 == 1, F.lit(2000)).otherwise(F.lit(600))
-    price = F.when(k % 100 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice"))
-    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
     return _lineage(
-        p.select(
-            k.alias("product_id"),
-            F.concat(F.lit("SKU-"), k.cast("string")).alias("sku"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category_id"),
-            F.col("p_type").alias("category_name"),
-            F.col("p_size").cast("string").alias("subcategory_name"),
-            F.col("p_brand").alias("brand"),
-            (k % 100).alias("seller_id"),
-            cost.cast("decimal(10,2)").alias("unit_cost"),
-            price.cast("decimal(10,2)").alias("unit_price"),
-            (F.col("p_size") * 100).cast("int").alias("weight_grams"),
-            (F.col("p_size") % 5 == 0).alias("is_perishable"),
-            stamp.alias("created_at"),
-            stamp.alias("updated_at"),
-            F.lit("ACTIVE").alias("product_status"),
+        table(spark, sf_dir, "part").selectExpr(
+            "p_partkey AS product_id",
+            "concat('SKU-', CAST(p_partkey AS STRING)) AS sku",
+            "p_name AS product_name",
+            "p_type AS category_id",
+            "p_type AS category_name",
+            "CAST(p_size AS STRING) AS subcategory_name",
+            "p_brand AS brand",
+            "p_partkey % 100 AS seller_id",
+            "CAST(CASE WHEN p_partkey % 100 = 0 THEN 0 WHEN p_partkey % 200 = 1 THEN 2000 ELSE 600 END"
+            " AS DECIMAL(10,2)) AS unit_cost",
+            "CAST(CASE WHEN p_partkey % 100 = 0 THEN 0.0D ELSE p_retailprice END AS DECIMAL(10,2)) AS unit_price",
+            "CAST(p_size * 100 AS INT) AS weight_grams",
+            "p_size % 5 = 0 AS is_perishable",
+            "TIMESTAMP'2024-01-01 00:00:00' AS created_at",
+            "TIMESTAMP'2024-01-01 00:00:00' AS updated_at",
+            "'ACTIVE' AS product_status",
         ),
         "products",
     )
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = base_orders(spark, sf_dir).where(F.col("order_id") % 10 != 9)
-    k = F.col("order_id")
-    first = b.select(
-        (k * 10).alias("payment_id"),
-        k.alias("order_id"),
-        pick(METHOD_BY_MOD6, k).alias("payment_method"),
-        F.concat(F.lit("PSP-"), (k % 3).cast("string")).alias("payment_provider"),
-        F.when(k % 50 == 3, F.lit(500).cast("decimal(12,2)")).otherwise(F.col("total_amount")).alias(
-            "payment_amount"),
-        F.col("currency"),
-        F.when(k % 13 == 0, F.lit("FAILED")).otherwise(F.lit("CAPTURED")).alias("payment_status"),
-        _days(F.col("order_date"), 1).alias("payment_date"),
-        F.concat(F.lit("TX-"), (k * 10).cast("string")).alias("transaction_reference"),
+    b = base_orders(spark, sf_dir).where("order_id % 10 <> 9")
+    first = b.selectExpr(
+        "order_id * 10 AS payment_id",
+        "order_id",
+        f"{pick(METHOD_BY_MOD6, 'order_id')} AS payment_method",
+        "concat('PSP-', CAST(order_id % 3 AS STRING)) AS payment_provider",
+        "CASE WHEN order_id % 50 = 3 THEN CAST(500 AS DECIMAL(12,2)) ELSE total_amount END AS payment_amount",
+        "currency",
+        "CASE WHEN order_id % 13 = 0 THEN 'FAILED' ELSE 'CAPTURED' END AS payment_status",
+        "order_date + INTERVAL 1 DAY AS payment_date",
+        "concat('TX-', CAST(order_id * 10 AS STRING)) AS transaction_reference",
     )
-    second = b.where(k % 100 == 4).select(
-        (k * 10 + 1).alias("payment_id"),
-        k.alias("order_id"),
-        F.lit("CARD").alias("payment_method"),
-        F.concat(F.lit("PSP-"), (k % 3).cast("string")).alias("payment_provider"),
-        F.col("total_amount").alias("payment_amount"),
-        F.col("currency"),
-        F.lit("CAPTURED").alias("payment_status"),
-        _days(F.col("order_date"), 2).alias("payment_date"),
-        F.concat(F.lit("TX-"), (k * 10 + 1).cast("string")).alias("transaction_reference"),
+    second = b.where("order_id % 100 = 4").selectExpr(
+        "order_id * 10 + 1 AS payment_id",
+        "order_id",
+        "'CARD' AS payment_method",
+        "concat('PSP-', CAST(order_id % 3 AS STRING)) AS payment_provider",
+        "total_amount AS payment_amount",
+        "currency",
+        "'CAPTURED' AS payment_status",
+        "order_date + INTERVAL 2 DAY AS payment_date",
+        "concat('TX-', CAST(order_id * 10 + 1 AS STRING)) AS transaction_reference",
     )
     return _lineage(first.unionByName(second), "payments")
 
 
 def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = base_orders(spark, sf_dir).where(F.col("order_id") % 5 != 0)
-    k = F.col("order_id")
-    pending = k % 3 == 0
     return _lineage(
-        b.select(
-            k.alias("delivery_id"),
-            k.alias("order_id"),
-            pick(CARRIER_BY_MOD3, k).alias("carrier"),
-            F.concat(F.lit("TRK-"), k.cast("string")).alias("tracking_number"),
-            F.when(pending, F.lit("IN_TRANSIT")).otherwise(F.lit("DELIVERED")).alias("delivery_status"),
-            _days(F.col("order_date"), 1).alias("shipped_at"),
-            F.when(~pending, _days(F.col("order_date"), (k % 12).cast("int"))).alias("delivered_at"),
-            F.lit(1).cast("int").alias("delivery_attempts"),
-            F.lit(5).cast("decimal(10,2)").alias("delivery_cost"),
+        base_orders(spark, sf_dir).where("order_id % 5 <> 0").selectExpr(
+            "order_id AS delivery_id",
+            "order_id",
+            f"{pick(CARRIER_BY_MOD3, 'order_id')} AS carrier",
+            "concat('TRK-', CAST(order_id AS STRING)) AS tracking_number",
+            "CASE WHEN order_id % 3 = 0 THEN 'IN_TRANSIT' ELSE 'DELIVERED' END AS delivery_status",
+            "order_date + INTERVAL 1 DAY AS shipped_at",
+            "CASE WHEN order_id % 3 <> 0 THEN order_date + make_dt_interval(CAST(order_id % 12 AS INT)) END"
+            " AS delivered_at",
+            "CAST(1 AS INT) AS delivery_attempts",
+            "CAST(5 AS DECIMAL(10,2)) AS delivery_cost",
         ),
         "deliveries",
     )
@@ -251,5 +223,14 @@ def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
 
 
+def cached_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Same frames for every query of one session: the plans are built once
+    (nothing is persisted; this only saves driver-side planning calls)."""
+    cache = spark.__dict__.setdefault("_cl_raw_feeds", {})
+    if sf_dir not in cache:
+        cache[sf_dir] = raw_feeds(spark, sf_dir)
+    return dict(cache[sf_dir])
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
