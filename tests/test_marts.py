@@ -21,9 +21,10 @@ def test_rfm_scores_when_count_is_not_a_multiple_of_five(spark):
     out = {r["master_customer_id"]: r for r in W.mart_customer_rfm(stats(spark, data), "2026-05-01", 3).collect()}
     # 7 rows, 5 tiles: sizes 2,2,1,1,1; most recent = best recency
     assert [out[f"C{i:02d}"]["m_score"] for i in range(7)] == [1, 1, 2, 2, 3, 4, 5]
-    assert [out[f"C{i:02d}"]["r_score"] for i in range(7)] == [5, 5, 4, 4, 3, 2, 1]
-    assert out["C06"]["rfm_code"] == "155"
-    assert out["C06"]["recency_days"] == 23
+    # C00 ordered longest ago: largest recency, last tile, r = 6 - 5 = 1
+    assert [out[f"C{i:02d}"]["r_score"] for i in range(7)] == [1, 2, 3, 4, 4, 5, 5]
+    assert out["C06"]["rfm_code"] == "555" and out["C06"]["rfm_segment"] == "CHAMPIONS"
+    assert out["C06"]["recency_days"] == 24  # 2026-04-07 -> 2026-05-01
 
 
 def test_rfm_segment_first_match(spark):
