@@ -142,8 +142,8 @@ class ChangeLog:
         if as_of_version is not None:
             data = data.where(F.col("_version") <= F.lit(as_of_version))
             committed = committed.where(F.col("_version") <= F.lit(as_of_version))
-        # the commit table holds one row per version: bounded and tiny
-        return data.join(F.broadcast(committed), "_version", "left_semi")
+        # one row per committed version; AQE broadcasts it after measuring it
+        return data.join(committed, "_version", "left_semi")
 
     def current(self, as_of_version: int | None = None, with_version: bool = False) -> DataFrame:
         """State of the table (newest committed row per key) at a version."""

@@ -2,10 +2,10 @@
 
 Everything reads the curated tables (a dict of DataFrames) and returns lazy
 DataFrames.  Physical notes:
-* the only broadcasts are sides whose size is bounded by a domain, not by
-  the data: currency rates, payment-method and delivery-status dimensions
-  (one row per status value) and the calendar;
-* everything else is an equi-join that AQE sizes at run time;
+* the only explicit broadcasts have a size fixed in advance: the currency
+  rate seed (three rows) and one-row high-water marks;
+* every other join is an equi-join that AQE sizes at run time (it becomes a
+  broadcast only after the built side has been measured);
 * the two global windows of the marts (RFM quintiles, ABC running share) use
   the scale-out operators of ``operators.ranking`` instead of a window with
   no PARTITION BY (which would funnel every row through one task);
@@ -284,9 +284,10 @@ def fact_order_line(cur: dict[str, DataFrame], dim_cust: DataFrame, dim_prod: Da
                   "_cust", "customer_id", "order_date", how="left", prefix="c_")
     j = asof_join(j, dim_prod.select("product_key", "product_id", "valid_from", "valid_to"),
                   "product_id", "product_id", "order_date", how="inner", prefix="p_")
-    # both dimensions below have one row per status value: bounded broadcasts
-    pm = F.broadcast(dim_payment_method(cur).select("payment_method", "payment_method_key"))
-    ds = F.broadcast(dim_delivery_status(cur).select("delivery_status", "delivery_status_key"))
+    # one row per distinct status value; their size is known only once the
+    # data is read, so AQE measures them and broadcasts them at run time
+    pm = dim_payment_method(cur).select("payment_method", "payment_method_key")
+    ds = dim_delivery_status(cur).select("delivery_status", "delivery_status_key")
     j = j.join(pm, "payment_method", "inner").join(ds, "delivery_status", "inner")
     return j.select(
         "order_line_id", "order_id",

@@ -105,7 +105,9 @@ def _lake(spark: SparkSession, sf_dir: str, variant: str = "full") -> Lake:
     cache = spark.__dict__.setdefault("_cl_lakes", {})
     key = (sf_dir, variant)
     if key not in cache:
-        cache[key] = Lake(spark, sf_dir, orders_filter=first_run_filter() if variant == "first_run" else None)
+        first = variant == "first_run"
+        # the earlier run of the incremental scenario is only read once: a lazy plan
+        cache[key] = Lake(spark, sf_dir, orders_filter=first_run_filter() if first else None, materialize=not first)
     return cache[key]
 
 
