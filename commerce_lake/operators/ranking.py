@@ -13,10 +13,9 @@ SinglePartition``: all rows go through one task.  Here instead:
 3. a per-partition aggregate (``n`` rows: count, sum) is turned into prefix
    offsets and broadcast back - its size is bounded by ``n``, not by the data.
 
-The range exchange has an explicit partition count, so AQE does not coalesce
-it, and both uses of it read the same partitions.  The order must be total
-(end in a unique column); then every recomputation after a lost executor
-rebuilds the same partitions and positions.
+The positioned rows are checkpointed once (reliable checkpoint), so the
+per-partition stats and the rows read the very same partitions.  The order
+must be total (end in a unique column) for the result to be deterministic.
 """
 
 from __future__ import annotations
@@ -28,21 +27,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commerce_lake.session import shuffle_partitions
+from commerce_lake.session import ensure_checkpoint_dir, shuffle_partitions
 
 _LOW33 = (1 << 33) - 1
 
 
 def _positioned(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
+    """Rows with their range partition (``_pid``) and position in it (``_pos``).
+
+    The result is checkpointed (reliable, in ``spark.checkpoint.dir``): the
+    per-partition stats and the rows must see the *same* partitions, and two
+    independently planned range exchanges over an input whose row order is
+    not fixed (any shuffle output) may sample different bounds.  Reading one
+    stored copy makes both consistent, also after a lost executor."""
     n = n or shuffle_partitions(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
-    return (
-        ranged.withColumn("_mid", mid)
-        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)) + F.lit(1))
-        .drop("_mid")
+    pos = ranged.select(
+        "*",
+        F.shiftright(mid, 33).alias("_pid"),
+        (mid.bitwiseAND(F.lit(_LOW33)) + F.lit(1)).alias("_pos"),
     )
+    return pos.checkpoint(eager=True)
 
 
 def _offsets(stats: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -148,3 +155,45 @@ def naive_ntile(df: DataFrame, k: int, order: Sequence[Column], out_col: str) ->
 def naive_running_sum(df: DataFrame, value: str, order: Sequence[Column], out_col: str) -> DataFrame:
     """Reference form (single partition) - for tests and the bench only."""
     return df.withColumn(out_col, F.sum(value).over(Window.orderBy(*order)))
+
+
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out_col: str,
+                      n: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order)`` for keys that
+    may be hot: a global row number over (keys, order) minus the first global
+    position of the key.  The first position is a ``groupBy`` minimum
+    (partial aggregation); joining it back is many-to-one, and a key holding
+    a third of the rows is spread over many range partitions and split by
+    AQE's skew join instead of being sorted by one task."""
+    full = [F.col(k).asc() for k in keys] + list(order)
+    g = global_row_number(df, full, "_g", n)
+    first = g.groupBy(*keys).agg(F.min("_g").alias("_g0"))
+    return g.join(first, list(keys)).withColumn(out_col, (F.col("_g") - F.col("_g0") + 1).cast("int")).drop(
+        "_g", "_g0")
+
+
+def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str],
+               n: int | None = None) -> DataFrame:
+    """``lag`` / ``lead`` of ``cols`` within ``keys`` (``prev_<c>``,
+    ``next_<c>``, plus ``is_first``) without a window per key: every row is
+    joined to the rows at global positions -1 and +1 of the total order
+    (keys, order).  Positions are unique, so these equi-joins cannot skew."""
+    full = [F.col(k).asc() for k in keys] + list(order)
+    g = global_row_number(df, full, "_g", n)
+    prev = g.select((F.col("_g") + 1).alias("_g"), *[F.col(k).alias(f"_pk_{k}") for k in keys],
+                    *[F.col(c).alias(f"prev_{c}") for c in cols])
+    nxt = g.select((F.col("_g") - 1).alias("_g"), *[F.col(k).alias(f"_nk_{k}") for k in keys],
+                   *[F.col(c).alias(f"next_{c}") for c in cols])
+    out = g.join(prev, "_g", "left").join(nxt, "_g", "left")
+    same_prev = None
+    same_next = None
+    for k in keys:
+        p = F.col(k).eqNullSafe(F.col(f"_pk_{k}"))
+        q = F.col(k).eqNullSafe(F.col(f"_nk_{k}"))
+        same_prev = p if same_prev is None else same_prev & p
+        same_next = q if same_next is None else same_next & q
+    sel = [F.col(c) for c in df.columns]
+    sel += [F.when(same_prev, F.col(f"prev_{c}")).alias(f"prev_{c}") for c in cols]
+    sel += [F.when(same_next, F.col(f"next_{c}")).alias(f"next_{c}") for c in cols]
+    sel.append((~F.coalesce(same_prev, F.lit(False))).alias("is_first"))
+    return out.select(*sel)

@@ -8,8 +8,9 @@
   open rows on the key - no window.
 * ``history_from_changes`` builds the same intervals in one pass from many
   observations (backfill): keep rows whose tracked values differ from the
-  previous observation of the key (``lag``), close each with the next kept
-  row's start (``lead``).
+  previous observation of the key, close each with the next kept row's
+  start - lag / lead taken from neighbouring positions of a global order,
+  not from a window per key.
 * ``dimension_view`` turns a snapshot into a dimension: version number,
   back-dated first version, open end, current flag, md5 surrogate key.
 
@@ -21,10 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.expr import md5_key
+from commerce_lake.operators.ranking import global_row_number, neighbours
 from commerce_lake.schemas import OPEN_END, OPEN_START
 
 VALID_FROM = "snapshot_valid_from"
@@ -80,24 +82,34 @@ def snapshot_timestamp(snapshot: DataFrame | None, run: DataFrame, key: str, upd
 
 
 def history_from_changes(obs: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str],
-                         start_col: str = "valid_from", end_col: str = "valid_to") -> DataFrame:
+                         start_col: str = "valid_from", end_col: str = "valid_to",
+                         n: int | None = None) -> DataFrame:
     """One-pass type-2 history from repeated observations of ``key``.
 
-    ``order`` must be total within a key (e.g. ts, id).  The start of a
-    version is the first column of ``order``."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc() for c in order])
-    changed = None
+    ``order`` must be total within a key (e.g. ts, id); the start of a
+    version is the first column of ``order``.  No window per key: the
+    previous observation comes from the neighbour at global position -1 of
+    the total order (key, order), the next version's start from position +1
+    among the kept rows, and the version number from the key's first
+    position (``groupBy`` minimum) - so a key holding a third of all
+    observations is still processed by many tasks."""
+    ordc = [F.col(c).asc() for c in order]
+    nb = neighbours(obs, [key], ordc, list(tracked), n)
+    changed = F.col("is_first")
     for c in tracked:
-        d = ~F.col(c).eqNullSafe(F.lag(c).over(w))
-        changed = d if changed is None else changed | d
-    first = F.row_number().over(w) == 1
-    kept = obs.withColumn("_chg", first | changed).where("_chg").drop("_chg")
-    w2 = Window.partitionBy(key).orderBy(*[F.col(c).asc() for c in order])
-    return (
-        kept.withColumn(start_col, F.col(order[0]))
-        .withColumn(end_col, F.lead(order[0]).over(w2))
-        .withColumn("version_no", F.row_number().over(w2))
-        .withColumn("is_current", F.col(end_col).isNull())
+        changed = changed | ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))
+    kept = nb.where(changed).select(*obs.columns)
+    g = global_row_number(kept, [F.col(key).asc(), *ordc], "_g", n)
+    first = g.groupBy(key).agg(F.min("_g").alias("_g0"))
+    nxt = g.select((F.col("_g") - 1).alias("_g"), F.col(key).alias("_nk"), F.col(order[0]).alias("_next_start"))
+    out = g.join(first, key).join(nxt, "_g", "left")
+    valid_to = F.when(F.col(key).eqNullSafe(F.col("_nk")), F.col("_next_start"))
+    return out.select(
+        *obs.columns,
+        F.col(order[0]).alias(start_col),
+        valid_to.alias(end_col),
+        (F.col("_g") - F.col("_g0") + 1).cast("int").alias("version_no"),
+        valid_to.isNull().alias("is_current"),
     )
 
 

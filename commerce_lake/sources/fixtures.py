@@ -92,11 +92,19 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    others = ("l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
-              "l_linestatus, l_shipdate")
+    """Lines numbered 1.. within their order by every other column.  The
+    number comes from ``row_number_within`` (global order minus the order's
+    first position), so one order holding a third of all lines is still
+    numbered by many tasks."""
+    from commerce_lake.operators.ranking import row_number_within
+
+    others = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate"]
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *others)
+    numbered = row_number_within(li, ["l_orderkey"], [F.col(c).asc() for c in others], "_rn")
     return _lineage(
-        table(spark, sf_dir, "lineitem").selectExpr(
-            f"l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY {others}) AS order_line_id",
+        numbered.selectExpr(
+            "l_orderkey * 1000 + _rn AS order_line_id",
             "l_orderkey AS order_id",
             f"CASE WHEN (l_orderkey + l_partkey) % 50 = 0 THEN l_partkey + {ORPHAN_OFFSET} ELSE l_partkey END"
             " AS product_id",

@@ -60,3 +60,18 @@ def test_no_single_partition_exchange(spark):
     stats_only = ranking._offsets(df.groupBy(F.lit(0).alias("_pid")).count().withColumnRenamed("count", "_cnt"),
                                   ["_cnt"])
     assert stats_only.count() == 1
+
+
+def test_ranks_consistent_over_shuffled_input(spark):
+    # input order inside partitions is not fixed after a shuffle; positions
+    # must still be one consistent permutation 1..N
+    base = spark.range(3000).select((F.col("id") % 997).alias("k"), F.col("id"))
+    shuffled = base.repartition(7, "k").groupBy("k").agg(F.count("*").alias("c"), F.max("id").alias("id"))
+    got = sorted(r["rn"] for r in ranking.global_row_number(shuffled, [F.col("c").desc(), F.col("k").asc()],
+                                                             "rn", n=5).collect())
+    assert got == list(range(1, 998))
+    nb = ranking.neighbours(shuffled, ["c"], [F.col("k").asc()], ["k"], n=5)
+    rows = {r["k"]: r for r in nb.collect()}
+    for r in rows.values():
+        if r["prev_k"] is not None:
+            assert rows[r["prev_k"]]["next_k"] == r["k"] and rows[r["prev_k"]]["c"] == r["c"]
