@@ -53,13 +53,16 @@ def test_running_sum_matches_window(spark, nulls):
 
 def test_no_single_partition_exchange(spark):
     df = data(spark, 100)
-    out = ranking.global_ntile(df, 5, [F.col("v").asc(), F.col("id").asc()], "t", n=4)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition step is the per-partition stats (n rows)
-    assert "rangepartitioning" in plan.lower()
-    stats_only = ranking._offsets(df.groupBy(F.lit(0).alias("_pid")).count().withColumnRenamed("count", "_cnt"),
-                                  ["_cnt"])
-    assert stats_only.count() == 1
+    order = [F.col("v").asc(), F.col("id").asc()]
+    out = ranking.global_ntile(df, 5, order, "t", n=4)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    naive = ranking.naive_ntile(df, 5, order, "t")
+    naive.collect()
+    naive_plan = naive._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" in naive_plan
+    # at most the offsets window over the n per-partition stats rows
+    assert plan.count("SinglePartition") <= 1
 
 
 def test_ranks_consistent_over_shuffled_input(spark):
