@@ -353,6 +353,21 @@ def q_profile_anomalies(spark, sf):
     return PR.profile_anomalies(_lake(spark, sf).raw)
 
 
+def q_profile_scope(spark, sf):
+    return PR.profile_scope(_lake(spark, sf).raw["orders"])
+
+
+def q_first_pending_delivery(spark, sf):
+    """The deterministic first delivery still under way (smallest id) - the
+    row a late-arrival correction is applied to.  A top-1 is the feature
+    here: Spark plans it as TakeOrderedAndProject (per-task top-1, then one)."""
+    d = _lake(spark, sf).cur["deliveries"]
+    return comparable(d.where(F.col("delivery_status").isin("IN_TRANSIT", "OUT_FOR_DELIVERY"))
+                      .orderBy(F.col("delivery_id").asc()).limit(1)
+                      .select("delivery_id", "order_id", "delivery_status", "delivered_at", "delivery_delay_days",
+                              "is_late"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_orders": q_latest_orders,
     "clean_products": q_clean_products,
@@ -394,4 +409,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "relational_tests": q_relational_tests,
     "profile_nulls": q_profile_nulls,
     "profile_anomalies": q_profile_anomalies,
+    "profile_scope": q_profile_scope,
+    "first_pending_delivery": q_first_pending_delivery,
 }
