@@ -314,6 +314,20 @@ def _generic(test: Test, m: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(test.kind)
 
 
+def _model_counts(model: str, tests: list[Test], df: DataFrame) -> DataFrame:
+    aggs = []
+    for i, t in enumerate(tests):
+        c = F.col(t.column)
+        if t.kind == "not_null":
+            aggs.append(F.count_if(c.isNull()).alias(f"_f{i}"))
+        else:  # distinct values outside the list (nulls pass)
+            aggs.append(F.count_distinct(F.when(c.isNotNull() & ~c.isin(*t.values), c)).alias(f"_f{i}"))
+    rows = ", ".join(f"'{t.test_id}', '{t.kind}', '{t.model}', '{t.column}', CAST(_f{i} AS BIGINT)"
+                     for i, t in enumerate(tests))
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(tests)}, {rows}) AS (test_id, kind, model, column_name, failures)")
+
+
 def _singular(name: str, m: dict[str, DataFrame]) -> DataFrame:
     t = Test("singular", "-", name)
     fact, lines = m["fact_order_line"], m["stg_order_lines"]
@@ -347,7 +361,18 @@ def relational_tests(lake, materialize: bool = True) -> DataFrame:
         # staging models are projections of stored tables already; only the
         # computed models (dimensions, fact, marts, stats) are materialized
         m = {k: v if k.startswith("stg_") else v.checkpoint(eager=True) for k, v in m.items()}
-    parts = [_generic(t, m) for t in GENERIC_TESTS] + [_singular(s, m) for s in SINGULAR_TESTS]
+    parts = []
+    # per model, every not-null and accepted-values test is one column of a
+    # single aggregate; uniqueness and relationships need their own shuffle
+    by_model: dict[str, list[Test]] = {}
+    for t in GENERIC_TESTS:
+        if t.kind in ("not_null", "accepted_values"):
+            by_model.setdefault(t.model, []).append(t)
+        else:
+            parts.append(_generic(t, m))
+    for model, tests in by_model.items():
+        parts.append(_model_counts(model, tests, m[model]))
+    parts += [_singular(s, m) for s in SINGULAR_TESTS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
