@@ -131,6 +131,10 @@ class ChangeLog:
             return self.spark.createDataFrame([], _COMMIT_SCHEMA)
         return self.spark.read.schema(_COMMIT_SCHEMA).parquet(self.commits_path)
 
+    def recent_versions(self, n: int = 15) -> DataFrame:
+        """The newest ``n`` committed versions, newest first (a top-n report)."""
+        return self.history().orderBy(F.col("version").desc()).limit(n)
+
     def latest_version(self) -> int | None:
         row = self.history().agg(F.max("version").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])

@@ -2,8 +2,8 @@
 
 Everything reads the curated tables (a dict of DataFrames) and returns lazy
 DataFrames.  Physical notes:
-* the only explicit broadcasts have a size fixed in advance: the currency
-  rate seed (three rows) and one-row high-water marks;
+* the only explicit broadcast has a size fixed in advance: the currency
+  rate seed (three rows);
 * every other join is an equi-join that AQE sizes at run time (it becomes a
   broadcast only after the built side has been measured);
 * the two global windows of the marts (RFM quintiles, ABC running share) use
@@ -360,21 +360,24 @@ def mart_product_rotation(dim_prod: DataFrame, stats: DataFrame, as_of: str,
     )
 
 
-def return_rate_lines(cur: dict[str, DataFrame], min_month: DataFrame | None = None) -> DataFrame:
+def return_rate_lines(cur: dict[str, DataFrame], min_month: str | None = None) -> DataFrame:
+    """Lines of orders that count for the return rate.  With ``min_month``
+    ('yyyy-MM'), stored orders and lines are filtered on their partition
+    column first, so only the recomputed months are read (a line carries
+    its order's month)."""
+    if min_month is not None:
+        cur = dict(cur)
+        for t in ("orders", "order_lines"):
+            cur[t] = cur[t].where(F.col("order_year_month") >= F.lit(min_month))
     le = lines_enriched(cur).select("order_id", "product_id", "line_total")
     o = orders_enriched(cur).where(~F.col("order_status").isin(*NOT_IN_RETURN_RATE)).select(
         "order_id", "order_date", "country_code", "order_status")
     p = stg_products(cur).select("product_id", "category_name")
-    j = le.join(o, "order_id", "inner").join(p, "product_id", "inner").withColumn(
+    return le.join(o, "order_id", "inner").join(p, "product_id", "inner").withColumn(
         "order_year_month", year_month("order_date"))
-    if min_month is not None:
-        # one-row high-water mark; broadcasting it is bounded by construction
-        j = j.crossJoin(F.broadcast(min_month)).where(F.col("order_year_month") >= F.col("_min_month")).drop(
-            "_min_month")
-    return j
 
 
-def mart_category_return_rate(cur: dict[str, DataFrame], min_month: DataFrame | None = None) -> DataFrame:
+def mart_category_return_rate(cur: dict[str, DataFrame], min_month: str | None = None) -> DataFrame:
     """Distinct orders, returned orders, rate, revenue per month, country and
     category.  Lines -> one row per (group, order) -> one row per group."""
     j = return_rate_lines(cur, min_month)
@@ -415,5 +418,9 @@ def mart_category_return_rate_incremental(cur: dict[str, DataFrame], existing: D
     vanish from the recomputed months stay)."""
     if existing is None:
         return mart_category_return_rate(cur)
-    fresh = mart_category_return_rate(cur, return_rate_high_water(existing))
+    # the high-water mark is one scalar; as a literal it prunes partitions
+    row = return_rate_high_water(existing).first()
+    if row is None or row["_min_month"] is None:
+        return mart_category_return_rate(cur)
+    fresh = mart_category_return_rate(cur, row["_min_month"])
     return upsert_frames(existing, fresh, ["row_key"], check_unique=False)

@@ -50,6 +50,7 @@ def test_change_log_versions_time_travel_diff_restore(spark, scratch):
     assert sorted(map(tuple, log.current().collect())) == [("1", "a"), ("2", "B"), ("3", "c")]
     assert sorted(map(tuple, log.current(as_of_version=1).collect())) == [("1", "a"), ("2", "b")]
     hist = {r["version"]: r["rows_written"] for r in log.history().collect()}
+    assert [r["version"] for r in log.recent_versions(2).collect()] == [2, 1]
     assert hist == {0: 2, 1: 0, 2: 2}
     assert sorted(map(tuple, log.diff(2, 1).collect())) == [("2", "B"), ("3", "c")]
     log.restore_rows(kv(spark, [("2", None)]), to_version=1)
