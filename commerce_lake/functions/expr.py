@@ -3,8 +3,6 @@ they stay inside whole-stage codegen; none is a Python UDF."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +21,6 @@ def typed(df: DataFrame, types: dict[str, str]) -> list[Column]:
     return out
 
 
-def cast_to(col: str, sql_type: str) -> Column:
-    return F.expr(f"try_cast(`{col}` AS {sql_type})")
-
-
 def dec(value: str, precision: int = 10, scale: int = 2) -> Column:
     """Exact decimal literal (a Python float literal would compare as double)."""
     return F.lit(value).cast(f"decimal({precision},{scale})")
@@ -66,27 +60,7 @@ def date_key(col: str | Column) -> Column:
     return F.date_format(col, "yyyyMMdd").cast("int")
 
 
-def days_between(later: str | Column, earlier: str | Column) -> Column:
-    """Calendar days between two dates/timestamps (date part only)."""
-    return F.datediff(F.to_date(later), F.to_date(earlier))
-
-
 def floor_days(later: str | Column, earlier: str | Column) -> Column:
     """Whole elapsed days of a timestamp difference, floored."""
     return F.floor((F.unix_micros(F.col(later) if isinstance(later, str) else later)
                     - F.unix_micros(F.col(earlier) if isinstance(earlier, str) else earlier)) / F.lit(86_400_000_000))
-
-
-def null_safe_join_cond(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def pct_text(count: Column, base: Column) -> Column:
-    """'12.34 %' or 'n/a' when the base is 0."""
-    return F.when(base == 0, F.lit("n/a")).otherwise(
-        F.format_string("%.2f %%", F.round(count.cast("double") * 100 / base, 2))
-    )

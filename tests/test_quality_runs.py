@@ -56,3 +56,17 @@ def test_run_state_and_metrics_upsert(spark):
     assert str(merged["r2"]["started_at"]).startswith("2026-01-02 01:00")
     assert str(merged["r2"]["recorded_at"]).startswith("2026-01-02 03:00")
     assert str(merged["r1"]["recorded_at"]).startswith("2026-01-02 02:00")
+
+
+def test_volume_report_summary_and_json(spark, scratch):
+    q = spark.createDataFrame([("orders", "NO_LINES"), ("orders", "NO_LINES"), ("orders", "BAD_TOTAL")],
+                              "source string, reason string")
+    rep = R.volume_report({"orders": spark.range(5), "payments": spark.range(2)}, q)
+    got = [(r["section"], r["name"], r["reason"], r["row_count"]) for r in rep.collect()]
+    assert got == [("quarantine", "orders", "BAD_TOTAL", 1), ("quarantine", "orders", "NO_LINES", 2),
+                   ("table", "orders", None, 5), ("table", "payments", None, 2)]
+    R.write_summary(rep, f"{scratch}/summary")
+    assert spark.read.json(f"{scratch}/summary").count() == 4
+    res = Q.run_suite("t", spark.createDataFrame([(1,), (None,)], "x int"), [Q.Expect("not_null", "x")])
+    summ = Q.suite_summary(res).first()
+    assert (summ["expectations"], summ["failed"], summ["success"]) == (1, 1, False)
