@@ -84,17 +84,19 @@ class ChangeLogStore:
 def run_curated(raw: dict[str, DataFrame], salt: str, run_date: str, store: Store) -> dict[str, DataFrame]:
     """Build and store every curated table; returns the stored frames."""
     out: dict[str, DataFrame] = {}
+    keep: list[DataFrame] = []  # classified frames shared by a clean and a quarantine write
     out["products"] = store("products", C.build_products(raw["products"]))
     customers, cust_q = C.build_customers(raw["customers"], salt)
     out["customers"] = store("customers", customers)
     out["selected_payments"] = store("selected_payments", C.selected_payments(raw["payments"]))
     orders, orders_q = C.build_orders(raw["orders"], raw["order_lines"], raw["products"],
-                                      C.ambiguous_customer_ids(raw["customers"]), out["selected_payments"])
+                                      C.ambiguous_customer_ids(raw["customers"]), out["selected_payments"],
+                                      keep=keep)
     out["orders"] = store("orders", orders)
-    lines, lines_q = C.build_order_lines(raw["order_lines"], raw["products"], out["orders"])
+    lines, lines_q = C.build_order_lines(raw["order_lines"], raw["products"], out["orders"], keep=keep)
     out["order_lines"] = store("order_lines", lines)
     out["payments"] = store("payments", C.build_payments(raw["payments"], out["selected_payments"]))
-    deliveries, deliv_q = C.build_deliveries(raw["deliveries"], out["orders"])
+    deliveries, deliv_q = C.build_deliveries(raw["deliveries"], out["orders"], keep=keep)
     out["deliveries"] = store("deliveries", deliveries)
     parts = [
         ("quarantine_products", C.to_quarantine(C.product_quarantine(out["products"]), "products", "product_id",
@@ -110,6 +112,8 @@ def run_curated(raw: dict[str, DataFrame], salt: str, run_date: str, store: Stor
     for _, p in parts[1:]:
         q = q.unionByName(p)
     out["quarantine"] = store("quarantine", q.dropDuplicates(["source", "record_key", "reason", "payload"]))
+    for df in keep:
+        df.unpersist()
     # per-feed rejected rows with their typed columns (views over the stored quarantine would lose types)
     out["quarantine_orders"] = orders_q
     out["quarantine_order_lines"] = lines_q
