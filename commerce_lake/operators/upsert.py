@@ -195,7 +195,10 @@ class ChangeLog:
             return self._append(source, "CREATE" if operation == "MERGE" else operation)
         cur = self.current()
         src = source.select(*cur.columns)
-        changed = src.alias("s").join(cur.alias("c"), _ns_cond("s", "c", src.columns), "left_anti")
+        # lineage columns (``_``-prefixed: ingestion time, source file) do not
+        # make a row new: replaying identical business data appends nothing
+        business = [c for c in src.columns if not c.startswith("_")]
+        changed = src.alias("s").join(cur.alias("c"), _ns_cond("s", "c", business), "left_anti")
         return self._append(changed, operation)
 
     def update_only(self, source: DataFrame, operation: str = "RESTORE") -> int:
@@ -203,7 +206,8 @@ class ChangeLog:
         cur = self.current()
         src = source.select(*cur.columns).alias("s")
         matched = src.join(cur.alias("c"), _ns_cond("s", "c", self.keys), "left_semi")
-        changed = matched.alias("s").join(cur.alias("c"), _ns_cond("s", "c", cur.columns), "left_anti")
+        business = [c for c in cur.columns if not c.startswith("_")]
+        changed = matched.alias("s").join(cur.alias("c"), _ns_cond("s", "c", business), "left_anti")
         return self._append(changed, operation)
 
     def restore_rows(self, key_rows: DataFrame, to_version: int) -> int:

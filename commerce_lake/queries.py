@@ -48,11 +48,13 @@ def comparable(df: DataFrame) -> DataFrame:
 class Lake:
     """Lazily composed pipeline over one fixture directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, orders_filter=None, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, orders_filter=None, materialize: bool = True,
+                 as_of: str = fx.AS_OF_DATE):
         self.spark = spark
         self.sf_dir = sf_dir
         self.orders_filter = orders_filter
         self.materialize = materialize
+        self.as_of = as_of
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
@@ -84,13 +86,13 @@ class Lake:
         return W.customer_order_stats(self.spark, self.cur)
 
     def product_stats(self) -> DataFrame:
-        return W.product_sales_stats(self.cur, fx.AS_OF_DATE)
+        return W.product_sales_stats(self.cur, self.as_of)
 
     def rfm(self) -> DataFrame:
-        return W.mart_customer_rfm(self.customer_stats(), fx.AS_OF_DATE)
+        return W.mart_customer_rfm(self.customer_stats(), self.as_of)
 
     def rotation(self) -> DataFrame:
-        return W.mart_product_rotation(self.dim_product, self.product_stats(), fx.AS_OF_DATE)
+        return W.mart_product_rotation(self.dim_product, self.product_stats(), self.as_of)
 
     def return_rate(self) -> DataFrame:
         return W.mart_category_return_rate(self.cur)
