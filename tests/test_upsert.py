@@ -79,3 +79,12 @@ def test_uncommitted_version_is_invisible(spark, scratch):
     kv(spark, [("1", "zzz")]).withColumn("_version", F.lit(5).cast("long")).write.mode("append").partitionBy(
         "_version").parquet(log.data_path)
     assert rows(log.current()) == [{"k": "1", "v": "a"}]
+
+
+def test_compact_keeps_current_state(spark, scratch):
+    log = ChangeLog(spark, f"{scratch}/t", ["k"])
+    log.upsert(kv(spark, [("1", "a"), ("2", "b")]))
+    log.upsert(kv(spark, [("2", "B")]))
+    new = log.compact(f"{scratch}/t2")
+    assert sorted(map(tuple, new.current().collect())) == [("1", "a"), ("2", "B")]
+    assert [(r["version"], r["operation"]) for r in new.history().collect()] == [(0, "COMPACT")]
