@@ -32,6 +32,22 @@ from commerce_lake.session import ensure_checkpoint_dir, shuffle_partitions
 _LOW33 = (1 << 33) - 1
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_RANGE_PARTITIONS = 50_000
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Number of range partitions: at least ``spark.sql.shuffle.partitions``,
+    and enough for ~256 MB each by Catalyst's size estimate of the input, so
+    the partition size stays bounded as the data grows."""
+    base = shuffle_partitions(df.sparkSession)
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # estimate unavailable: fall back to the session setting
+        return base
+    return max(base, min(MAX_RANGE_PARTITIONS, -(-est // TARGET_PARTITION_BYTES)))
+
+
 def _positioned(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
     """Rows with their range partition (``_pid``) and position in it (``_pos``).
 
@@ -40,7 +56,7 @@ def _positioned(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFr
     independently planned range exchanges over an input whose row order is
     not fixed (any shuffle output) may sample different bounds.  Reading one
     stored copy makes both consistent, also after a lost executor."""
-    n = n or shuffle_partitions(df.sparkSession)
+    n = n or range_partitions(df)
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()

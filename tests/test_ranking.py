@@ -78,3 +78,10 @@ def test_ranks_consistent_over_shuffled_input(spark):
     for r in rows.values():
         if r["prev_k"] is not None:
             assert rows[r["prev_k"]]["next_k"] == r["k"] and rows[r["prev_k"]]["c"] == r["c"]
+
+
+def test_range_partitions_grow_with_estimated_size(spark):
+    small = spark.range(10)
+    assert ranking.range_partitions(small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    big = spark.range(10).crossJoin(spark.range(10)).withColumn("pad", F.lit("x" * 100))
+    assert ranking.range_partitions(big) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
