@@ -149,9 +149,15 @@ class ChangeLog:
         # one row per committed version; AQE broadcasts it after measuring it
         return data.join(committed, "_version", "left_semi")
 
-    def current(self, as_of_version: int | None = None, with_version: bool = False) -> DataFrame:
-        """State of the table (newest committed row per key) at a version."""
+    def current(self, as_of_version: int | None = None, with_version: bool = False,
+                keys_of: DataFrame | None = None) -> DataFrame:
+        """State of the table (newest committed row per key) at a version.
+        With ``keys_of``, only the keys present there (null-safe) are
+        resolved: an upsert that touches a few keys does not sort the table."""
         rows = self._committed_rows(as_of_version)
+        if keys_of is not None:
+            k = keys_of.select(*self.keys).distinct()
+            rows = rows.alias("r").join(k.alias("k"), _ns_cond("r", "k", self.keys), "left_semi")
         w = Window.partitionBy(*self.keys).orderBy(F.col("_version").desc())
         cur = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
         return cur if with_version else cur.drop("_version")
@@ -193,7 +199,7 @@ class ChangeLog:
             assert_unique_keys(source, self.keys)
         if not self._exists():
             return self._append(source, "CREATE" if operation == "MERGE" else operation)
-        cur = self.current()
+        cur = self.current(keys_of=source)
         src = source.select(*cur.columns)
         # lineage columns (``_``-prefixed: ingestion time, source file) do not
         # make a row new: replaying identical business data appends nothing
@@ -203,7 +209,7 @@ class ChangeLog:
 
     def update_only(self, source: DataFrame, operation: str = "RESTORE") -> int:
         """MERGE with only WHEN MATCHED UPDATE: rows whose key is absent stay out."""
-        cur = self.current()
+        cur = self.current(keys_of=source)
         src = source.select(*cur.columns).alias("s")
         matched = src.join(cur.alias("c"), _ns_cond("s", "c", self.keys), "left_semi")
         business = [c for c in cur.columns if not c.startswith("_")]
