@@ -55,7 +55,7 @@ def source_totals(sized: DataFrame) -> DataFrame:
             .agg(F.sum("size").alias("source_size"),
                  F.sum(F.col("size").cast("decimal(20,0)") * F.col("size")).alias("squares"))
             .select("source", "source_size",
-                    F.greatest(F.coalesce(F.col("squares").cast("double") / F.col("source_size"), F.lit(1.0)),
+                    F.greatest(F.coalesce(F.try_divide(F.col("squares").cast("double"), F.col("source_size")), F.lit(1.0)),
                                F.lit(1.0)).alias("mean_size")))
 
 
@@ -195,6 +195,7 @@ def _taken(p: str) -> tuple[Column, Column]:
     # events before lo: k < lo + r + u, for k in 1..LIMIT
     whole = F.greatest(F.lit(0), F.least(F.lit(LIMIT), F.ceil(F.col(f"{p}lo") + shifted) - 1))
     upto_hi = F.greatest(F.lit(0), F.least(F.lit(LIMIT), F.ceil(F.col(f"{p}hi") + shifted) - 1))
+    whole = F.when(F.col(f"{p}size") > 0, whole).otherwise(0)  # an empty document takes nothing
     words = F.round(F.col(f"{p}size") * F.col(f"{p}part") * (upto_hi - whole)).cast("long")
     return whole.cast("long"), F.least(words, F.col(f"{p}size") * (F.lit(LIMIT) - whole))
 
@@ -222,9 +223,9 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     state = state.select(*[F.col(c).alias(p + c) for c in state.columns])
     state = F.broadcast(state) if state.count() <= 100_000 else state
     whole, words = _taken(p)
-    times = whole + F.when(words * 2 >= F.col(p + "size"), 1).otherwise(0)
+    times = whole + F.when((words > 0) & (words * 2 >= F.col(p + "size")), 1).otherwise(0)
     out = (docs.withColumn(p + "key", _key(F.col("source"))).withColumn(p + "size", n_words(F.col("text")))
            .withColumn(p + "u", _dither(F.col("doc_id"))).join(state, p + "key")
-           .withColumn(p + "n", F.when(F.col(p + "size") > 0, times).otherwise(0)).where(F.col(p + "n") > 0)
+           .withColumn(p + "n", times).where(F.col(p + "n") > 0)
            .withColumn(p + "i", F.explode(F.sequence(F.lit(1).cast("long"), F.col(p + "n")))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
