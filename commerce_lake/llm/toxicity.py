@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from .sampling import labelled_sample, remainder
 
 DECAY, SPAN, PIECE, STEP = 0.6, 6, 24, 16
-LANDMARKS, ROUNDS = 192, 5
-PER_CLASS = {0: 1800, 1: 1500}
+LANDMARKS, ROUNDS = 160, 5
+PER_CLASS = {0: 1500, 1: 1200}
 HELD_OUT_MOD, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 SYMBOLS = 128
@@ -231,10 +231,13 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | Cons
     y = np.array([r[1] for r in rows], dtype=int)
     if not len(y) or y.min() == y.max():
         return Constant(float(y.mean()) if len(y) else 0.0)
-    bags = [sorted({u for t in tokens(text) for u in units(t)}) for text, _ in rows]
+    seen: dict[str, int] = {}  # words to numbers, so that a word is held once however many texts have it
+    members = [np.array(sorted({seen.setdefault(u, len(seen)) for t in sorted(tokens(text)) for u in units(t)}), dtype=np.int32)
+               for text, _ in rows]
+    vocabulary = list(seen)
     df = [Counter(), Counter()]
-    for bag, label in zip(bags, y):
-        df[label].update(bag)
+    for bag, label in zip(members, y):
+        df[label].update([vocabulary[i] for i in bag])
     n_docs = [(y == 0).sum(), (y == 1).sum()]
     # texts with the word times its log lift over the clean texts, beyond a lift of 3
     evidence = {u: n * np.log((n + 0.5) / n_docs[1] * n_docs[0] / (df[0][u] + 0.5) / 3) for u, n in df[1].items()}
@@ -246,8 +249,7 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | Cons
     letters = Counter(c for w in marks for c in w)
     triples = Triples("".join(sorted(letters, key=lambda c: (-letters[c], c))))
 
-    vocabulary = sorted(set().union(*bags))
-    place = {u: i for i, u in enumerate(vocabulary)}
+    place = seen
     size = SYMBOLS ** 3
     key, weight = triples.of(marks)
     used = np.unique(key[key >= 0])
@@ -278,7 +280,6 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | Cons
         margin[at:at + 8192] = (k[:, :len(toxic)] * strength).max(1)
         x[at:at + 8192] = k @ half.astype(np.float32)
 
-    members = [np.array([place[u] for u in bag], dtype=int) for bag in bags]
     beta, bias = None, 0.0
     # a toxic text's witness has to be rarer in clean texts; texts without such a word teach nothing
     plausible = np.array([evidence.get(u, 0.0) > 0 for u in vocabulary])
