@@ -13,6 +13,10 @@ SinglePartition``: all rows go through one task.  Here instead:
 3. a per-partition aggregate (``n`` rows: count, sum) is turned into prefix
    offsets and broadcast back - its size is bounded by ``n``, not by the data.
 
+``n``, the number of ranges, is a parameter of every operator (default
+``spark.sql.shuffle.partitions``): one range is sorted by one task, so a job
+sets it to the input's size over the size a task should sort.
+
 The positioned rows are checkpointed once (reliable checkpoint), so the
 per-partition stats and the rows read the very same partitions.  The order
 must be total (end in a unique column) for the result to be deterministic.
@@ -22,32 +26,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from commerce_lake.session import ensure_checkpoint_dir, shuffle_partitions
 
 _LOW33 = (1 << 33) - 1
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_RANGE_PARTITIONS = 50_000
-
-
-def range_partitions(df: DataFrame) -> int:
-    """Number of range partitions: at least ``spark.sql.shuffle.partitions``,
-    and enough for ~256 MB each by Catalyst's size estimate of the input, so
-    the partition size stays bounded as the data grows."""
-    base = shuffle_partitions(df.sparkSession)
-    try:
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # estimate unavailable: fall back to the session setting
-        return base
-    return max(base, min(MAX_RANGE_PARTITIONS, -(-est // TARGET_PARTITION_BYTES)))
-
-
 def _positioned(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
     """Rows with their range partition (``_pid``) and position in it (``_pos``).
 
@@ -56,7 +42,7 @@ def _positioned(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFr
     independently planned range exchanges over an input whose row order is
     not fixed (any shuffle output) may sample different bounds.  Reading one
     stored copy makes both consistent, also after a lost executor."""
-    n = n or range_partitions(df)
+    n = n or shuffle_partitions(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
@@ -108,58 +94,36 @@ def global_ntile(df: DataFrame, k: int, order: Sequence[Column], out_col: str, n
     return ranked.withColumn(out_col, ntile_from_rank(F.col("_gr"), F.col("_gn"), k)).drop("_gr", "_gn")
 
 
-def _local_cumsum(batches):
-    """Running sum of ``_u`` (scaled int64, nulls already 0) inside one
-    partition; ``_nn`` says whether the row's value was present.  The carry
-    moves the total from one Arrow batch to the next."""
-    carry_sum, carry_seen = 0, False
-    for pdf in batches:
-        if pdf.empty:
-            yield pdf.assign(_lcum=pd.Series([], dtype="Int64"))
-            continue
-        cs = pdf["_u"].astype("int64").cumsum() + carry_sum
-        seen = pdf["_nn"].astype(bool).cumsum() > 0
-        if carry_seen:
-            seen[:] = True
-        carry_sum, carry_seen = int(cs.iloc[-1]), bool(seen.iloc[-1])
-        yield pdf.assign(_lcum=cs.astype("Int64").where(seen, other=pd.NA))
-
-
 def global_running_sum(df: DataFrame, value: str, order: Sequence[Column], out_col: str,
                        total_col: str | None = None, n: int | None = None) -> DataFrame:
     """``sum(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` (equal to
     the RANGE frame when the order is total) without a single partition.
 
-    Decimal values are summed exactly as scaled 64-bit integers inside the
-    partition (pandas ``cumsum`` per Arrow batch, carrying the running total
-    between batches); partition offsets are exact Spark decimal sums."""
+    All sums are 38-digit decimals: inside a range a window over its id and
+    position, plus the exact sum of the ranges before.  A result that does not
+    fit raises, it never wraps."""
     dtype = dict(df.dtypes)[value]
     if dtype.startswith("decimal"):
-        scale = int(dtype.split(",")[1].rstrip(")"))
-        out_type = f"decimal(38,{scale})"
+        out_type = f"decimal(38,{dtype.split(',')[1].rstrip(')')})"
+        exact = out_type
     elif dtype in ("int", "bigint", "smallint", "tinyint"):
-        scale, out_type = 0, "bigint"
+        out_type, exact = "bigint", "decimal(38,0)"
     else:
         raise TypeError(f"running sum needs an exact type, got {dtype}")
     pos = _positioned(df, order, n)
-    unscaled = (F.col(value) * F.lit(10 ** scale)).cast("decimal(38,0)")
-    stats = pos.groupBy("_pid").agg(F.sum(unscaled).alias("_sum"), F.count(value).alias("_nnc"))
-    # only JVM-prepared int64 columns cross into Python (exact, no nulls)
-    prepared = pos.withColumn("_u", F.coalesce(unscaled.cast("long"), F.lit(0).cast("long"))).withColumn(
-        "_nn", F.col(value).isNotNull())
-    schema = T.StructType(prepared.schema.fields + [T.StructField("_lcum", T.LongType(), True)])
-    local = prepared.mapInPandas(_local_cumsum, schema).drop("_u", "_nn")
+    held = F.col(value).cast(exact)
+    stats = pos.groupBy("_pid").agg(F.sum(held).alias("_sum"), F.count(value).alias("_nnc"))
     offs = _offsets(stats, ["_sum", "_nnc"]).select("_pid", "_sum_off", "_sum_all", "_nnc_off")
-    out = local.join(F.broadcast(offs), "_pid")
+    so_far = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    out = pos.withColumn("_lcum", F.sum(held).over(so_far)).join(F.broadcast(offs), "_pid")
     # null until the first non-null value in the global order, as in SQL
     running = F.when(
         (F.col("_nnc_off") > 0) | F.col("_lcum").isNotNull(),
-        ((F.col("_sum_off").cast("decimal(38,0)") + F.coalesce(F.col("_lcum"), F.lit(0)).cast("decimal(38,0)"))
-         / F.lit(10 ** scale)).cast(out_type),
+        (F.col("_sum_off").cast(exact) + F.coalesce(F.col("_lcum"), F.lit(0).cast(exact))).cast(out_type),
     )
     out = out.withColumn(out_col, running)
     if total_col:
-        out = out.withColumn(total_col, (F.col("_sum_all") / F.lit(10 ** scale)).cast(out_type))
+        out = out.withColumn(total_col, F.col("_sum_all").cast(out_type))
     return out.drop("_pid", "_pos", "_lcum", "_sum_off", "_sum_all", "_nnc_off")
 
 
@@ -184,7 +148,7 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     full = [F.col(k).asc() for k in keys] + list(order)
     g = global_row_number(df, full, "_g", n)
     first = g.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    return g.join(first, list(keys)).withColumn(out_col, (F.col("_g") - F.col("_g0") + 1).cast("int")).drop(
+    return g.join(first, list(keys)).withColumn(out_col, F.col("_g") - F.col("_g0") + 1).drop(
         "_g", "_g0")
 
 

@@ -108,7 +108,7 @@ def history_from_changes(obs: DataFrame, key: str, order: Sequence[str], tracked
         *obs.columns,
         F.col(order[0]).alias(start_col),
         valid_to.alias(end_col),
-        (F.col("_g") - F.col("_g0") + 1).cast("int").alias("version_no"),
+        (F.col("_g") - F.col("_g0") + 1).cast("long").alias("version_no"),
         valid_to.isNull().alias("is_current"),
     )
 

@@ -17,6 +17,7 @@ updated, unmatched target rows stay).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -91,6 +92,7 @@ _COMMIT_SCHEMA = T.StructType(
         T.StructField("committed_at", T.TimestampType(), False),
         T.StructField("operation", T.StringType(), False),
         T.StructField("rows_written", T.LongType(), False),
+        T.StructField("attempt", T.StringType(), False),
     ]
 )
 
@@ -98,11 +100,12 @@ _COMMIT_SCHEMA = T.StructType(
 class ChangeLog:
     """Append-only versioned table keyed by ``keys``.
 
-    Layout: ``<path>/data`` (Parquet, partitioned by ``_version`` and any
-    ``partition_by`` columns) and ``<path>/_commits`` (one row per committed
-    version).  Readers only see committed versions, so a failed append is
-    invisible and a retry simply writes the version again.  One writer at a
-    time."""
+    Layout: ``<path>/data`` (Parquet, partitioned by ``_version``, ``_attempt``
+    and any ``partition_by`` columns) and ``<path>/_commits`` (one row per
+    committed version, with the attempt that made it).  Every append writes
+    under a fresh attempt id, and readers take exactly the attempts that were
+    committed, so rows of a failed append stay invisible whatever its retry
+    writes.  One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str] | None = None):
         self.spark = spark
@@ -126,7 +129,7 @@ class ChangeLog:
         return p.getFileSystem(conf).exists(p)
 
     def history(self) -> DataFrame:
-        """Committed versions: version, committed_at, operation, rows_written."""
+        """Committed versions: version, committed_at, operation, rows_written, attempt."""
         if not self._exists():
             return self.spark.createDataFrame([], _COMMIT_SCHEMA)
         return self.spark.read.schema(_COMMIT_SCHEMA).parquet(self.commits_path)
@@ -142,12 +145,12 @@ class ChangeLog:
     # -- reads
     def _committed_rows(self, as_of_version: int | None = None) -> DataFrame:
         data = self.spark.read.parquet(self.data_path)
-        committed = self.history().select(F.col("version").alias("_version"))
+        committed = self.history().select(F.col("version").alias("_version"), F.col("attempt").alias("_attempt"))
         if as_of_version is not None:
             data = data.where(F.col("_version") <= F.lit(as_of_version))
             committed = committed.where(F.col("_version") <= F.lit(as_of_version))
         # one row per committed version; AQE broadcasts it after measuring it
-        return data.join(committed, "_version", "left_semi")
+        return data.join(committed, ["_version", "_attempt"], "left_semi").drop("_attempt")
 
     def current(self, as_of_version: int | None = None, with_version: bool = False,
                 keys_of: DataFrame | None = None) -> DataFrame:
@@ -162,34 +165,40 @@ class ChangeLog:
         cur = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
         return cur if with_version else cur.drop("_version")
 
+    def _touched(self, new_version: int, old_version: int) -> DataFrame:
+        """Keys with a committed row after ``old_version`` up to ``new_version``."""
+        return self._committed_rows(new_version).where(F.col("_version") > old_version).select(*self.keys).distinct()
+
     def diff(self, new_version: int, old_version: int) -> DataFrame:
-        """Rows present at ``new_version`` and not at ``old_version`` (multiset)."""
-        return self.current(new_version).exceptAll(self.current(old_version))
+        """Rows present at ``new_version`` and not at ``old_version`` (multiset).
+        Only keys touched in between can differ, so only those are resolved."""
+        keys = self._touched(max(new_version, old_version), min(new_version, old_version))
+        return self.current(new_version, keys_of=keys).exceptAll(self.current(old_version, keys_of=keys))
+
+    def changes(self, old_version: int, new_version: int) -> DataFrame:
+        """Both directions: rows gone since ``old_version`` and rows new at ``new_version`` (``_change``)."""
+        return (self.diff(old_version, new_version).withColumn("_change", F.lit("removed"))
+                .unionByName(self.diff(new_version, old_version).withColumn("_change", F.lit("added"))))
 
     # -- writes
-    def _commit(self, version: int, operation: str, rows: int) -> None:
+    def _commit(self, version: int, operation: str, rows: int, attempt: str) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(version, now, operation, rows)], _COMMIT_SCHEMA).coalesce(1).write.mode(
+        self.spark.createDataFrame([(version, now, operation, rows, attempt)], _COMMIT_SCHEMA).coalesce(1).write.mode(
             "append"
         ).parquet(self.commits_path)
 
     def _append(self, rows: DataFrame, operation: str) -> int:
         last = self.latest_version()
         version = 0 if last is None else last + 1
-        out = rows.withColumn("_version", F.lit(version).cast("long"))
-        obs = Observation(f"append_{version}")
+        attempt = f"a{uuid.uuid4().hex}"  # a letter first: never read as a number
+        obs = Observation(f"append_{attempt}")
+        out = rows.withColumn("_version", F.lit(version).cast("long")).withColumn("_attempt", F.lit(attempt))
+        if self.partition_by:  # whole partitions per task, sized and split by AQE
+            out = out.hint("rebalance", *self.partition_by)
         # the row count rides along with the write (no second job)
-        counted = out.observe(obs, F.count(F.lit(1)).alias("n"))
-        # overwrite only this version's partition: a retried append replaces
-        # its own half-written files and never touches committed versions
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_version", *self.partition_by)
-            .parquet(self.data_path)
-        )
+        out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("_version", "_attempt", *self.partition_by).parquet(self.data_path)
         n = int(obs.get.get("n", 0) or 0)
-        self._commit(version, operation, n)
+        self._commit(version, operation, n, attempt)
         return version
 
     def upsert(self, source: DataFrame, operation: str = "MERGE", check_unique: bool = True) -> int:
@@ -216,10 +225,17 @@ class ChangeLog:
         changed = matched.alias("s").join(cur.alias("c"), _ns_cond("s", "c", business), "left_anti")
         return self._append(changed, operation)
 
-    def restore_rows(self, key_rows: DataFrame, to_version: int) -> int:
-        """Put back the ``to_version`` state of the given keys."""
-        old = self.current(to_version).join(key_rows.select(*self.keys), self.keys, "left_semi")
-        return self.update_only(old)
+    def restore_rows(self, key_rows: DataFrame, to_version: int | None = None) -> int:
+        """Put back the ``to_version`` state of the given keys; by default the
+        state before the newest version that touched one of them."""
+        keys = key_rows.select(*self.keys)
+        if to_version is None:
+            touched = self._committed_rows().alias("r").join(
+                keys.distinct().alias("k"), _ns_cond("r", "k", self.keys), "left_semi").agg(F.max("_version")).first()[0]
+            if not touched:
+                raise ValueError("the keys have no version before their newest one")
+            to_version = int(touched) - 1
+        return self.update_only(self.current(to_version, keys_of=keys))
 
     def compact(self, new_path: str) -> "ChangeLog":
         """Write the current state to a new base path as version 0."""

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commerce_lake.operators.asof import assert_no_overlap
 from commerce_lake.operators.upsert import ChangeLog
 from commerce_lake.plans import quality as Q
 from commerce_lake.plans import runs as R
@@ -24,8 +25,13 @@ from commerce_lake.plans.pipeline import KEYS, PARTITIONS, ChangeLogStore, run_c
 from commerce_lake.schemas import FEEDS
 from commerce_lake.sources import landing as L
 
-MARTS = ["dim_customer", "dim_product", "fact_order_line", "mart_customer_rfm", "mart_product_rotation",
-         "mart_category_return_rate"]
+MARTS = ["dim_customer", "dim_product", "dim_date", "dim_payment_method", "dim_delivery_status", "fact_order_line",
+         "mart_customer_rfm", "mart_product_rotation", "mart_category_return_rate"]
+STEPS = ["check_sources", *[f"ingest_{f}" for f in FEEDS], "curated", "marts", "quality"]
+
+
+class QualityError(RuntimeError):
+    """Expectations or relational tests failed and the run was asked to fail on them."""
 
 
 @dataclass
@@ -42,10 +48,12 @@ def _now() -> _dt.datetime:
 
 
 def daily_run(spark: SparkSession, source_dir: str, base: str, run_date: str, salt: str,
-              as_of: str | None = None, run_ts: str | None = None) -> DailyResult:
+              as_of: str | None = None, run_ts: str | None = None, fail_on_error: bool = False) -> DailyResult:
     """Run every step for ``run_date``.  ``base`` holds raw/, curated/,
     marts/, quality/ and ops/.  ``run_ts`` is the snapshot time of the type-2
-    dimensions (a parameter, so replays agree); it defaults to the run date."""
+    dimensions (a parameter, so replays agree); it defaults to the run date.
+    With ``fail_on_error`` a failed expectation or test fails the run, after
+    its results are stored."""
     from commerce_lake.queries import Lake  # the warehouse view over a given curated zone
 
     base = base.rstrip("/")
@@ -61,11 +69,13 @@ def daily_run(spark: SparkSession, source_dir: str, base: str, run_date: str, sa
             res.steps.append((name, "success", t0, _now()))
             return out
         except Exception:
-            res.steps.append((name, "failed", t0, _now()))
+            at = _now()
+            res.steps.append((name, "failed", t0, at))
+            res.steps += [(s, "upstream_failed", at, at) for s in STEPS[STEPS.index(name) + 1:]]
             _record(spark, base, run_id, run_date, res)
             raise
 
-    L.check_sources(spark, source_dir)
+    step("check_sources", lambda: L.check_sources(spark, source_dir))
     for feed in FEEDS:
         r = step(f"ingest_{feed}", lambda f=feed: L.land(spark, source_dir, f"{base}/raw", f, run_date,
                                                           archive_root=f"{base}/raw/_archive"))
@@ -77,13 +87,25 @@ def daily_run(spark: SparkSession, source_dir: str, base: str, run_date: str, sa
     lake.__dict__["cur"] = cur  # the warehouse reads the stored curated zone
 
     def build_marts():
-        models = {"dim_customer": _snapshot_dim(spark, base, lake, run_ts), "dim_product": lake.dim_product}
-        lake.__dict__["dim_customer"] = models["dim_customer"]
-        models.update({"fact_order_line": lake.fact(), "mart_customer_rfm": lake.rfm(),
-                       "mart_product_rotation": lake.rotation(),
-                       "mart_category_return_rate": lake.return_rate()})
-        for name, df in models.items():
+        from commerce_lake.plans import warehouse as W
+
+        def stored(name, df):
             df.write.mode("overwrite").parquet(f"{base}/marts/{name}")
+            return spark.read.schema(df.schema).parquet(f"{base}/marts/{name}")
+
+        # dimensions first: the fact reads the stored versions, checked for overlaps
+        for name, key, df in (("dim_customer", "customer_id", _snapshot_dim(spark, base, cur, "customers", run_ts)),
+                              ("dim_product", "product_id", _snapshot_dim(spark, base, cur, "products", run_ts))):
+            dim = stored(name, df)
+            if n := assert_no_overlap(dim, key):
+                raise ValueError(f"{name}: {n} versions overlap the one before")
+            lake.__dict__[name] = dim
+        models = {"dim_date": W.dim_date(spark, orders=cur["orders"]), "dim_payment_method": W.dim_payment_method(cur),
+                  "dim_delivery_status": W.dim_delivery_status(cur), "fact_order_line": lake.fact(),
+                  "mart_customer_rfm": lake.rfm(), "mart_product_rotation": lake.rotation(),
+                  "mart_category_return_rate": lake.return_rate()}
+        for name, df in models.items():
+            stored(name, df)
 
     step("marts", build_marts)
 
@@ -94,22 +116,25 @@ def daily_run(spark: SparkSession, source_dir: str, base: str, run_date: str, sa
         R.write_summary(tests, f"{base}/quality/{run_date}/relational_tests")
         res.failed_expectations = exp.where(~F.col("success")).count()
         res.failed_tests = tests.where(F.col("status") == "fail").count()
+        if fail_on_error and (res.failed_expectations or res.failed_tests):
+            raise QualityError(f"{res.failed_expectations} expectations and {res.failed_tests} tests failed")
 
     step("quality", quality)
     _record(spark, base, run_id, run_date, res)
     return res
 
 
-def _snapshot_dim(spark: SparkSession, base: str, lake, run_ts: str) -> DataFrame:
-    """Customer dimension from a stored check-strategy snapshot: each run
-    applies itself to the previous snapshot (new path per run, then read)."""
+def _snapshot_dim(spark: SparkSession, base: str, cur: dict[str, DataFrame], what: str, run_ts: str) -> DataFrame:
+    """Customer or product dimension from a stored snapshot: each run applies
+    itself to the versions stored so far, so earlier versions are kept."""
     from commerce_lake.plans import warehouse as W
 
-    snaps = ChangeLog(spark, f"{base}/snapshots/customers", ["customer_id", "snapshot_valid_from"])
+    key = {"customers": "customer_id", "products": "product_id"}[what]
+    snaps = ChangeLog(spark, f"{base}/snapshots/{what}", [key, "snapshot_valid_from"])
     previous = snaps.current() if snaps.latest_version() is not None else None
-    snap = W.snap_customers(lake.cur, run_ts, previous)
+    snap = W.snap_customers(cur, run_ts, previous) if what == "customers" else W.snap_products(cur, previous)
     snaps.upsert(snap.drop("_ingested_at") if "_ingested_at" in snap.columns else snap, check_unique=False)
-    return W.dim_customer(snaps.current())
+    return W.dim_customer(snaps.current()) if what == "customers" else W.dim_product(snaps.current())
 
 
 def _record(spark: SparkSession, base: str, run_id: str, run_date: str, res: DailyResult) -> None:

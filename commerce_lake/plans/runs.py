@@ -74,5 +74,5 @@ def volume_report(tables: dict[str, DataFrame], quarantine: DataFrame) -> DataFr
 
 
 def write_summary(df: DataFrame, path: str) -> None:
-    """Result tables (quality, profile, volumes) as one JSON file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Result tables (quality, profile, volumes) as JSON."""
+    df.write.mode("overwrite").json(path)

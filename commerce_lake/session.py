@@ -4,6 +4,7 @@ except ``local_session`` which tests and the bench use."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,12 +42,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir`` when set; only a local test
-    session without one gets a fresh scratch folder."""
+    session without one gets a fresh scratch folder.  A cluster without one is
+    an error: a node's own folder is invisible to the others."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="cl-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path

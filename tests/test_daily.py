@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commerce_lake.operators.upsert import ChangeLog
-from commerce_lake.plans.daily import MARTS, daily_run
+import pytest
+
+from commerce_lake.plans.daily import MARTS, STEPS, _snapshot_dim, daily_run
 from commerce_lake.plans.pipeline import KEYS, PARTITIONS
 from commerce_lake.schemas import FEED_COLUMNS
 from commerce_lake.sources import fixtures as fx
@@ -40,3 +42,30 @@ def test_daily_run_twice_gives_identical_tables(spark, scratch):
     runs = ChangeLog(spark, f"{base}/ops/pipeline_runs", ["run_id"]).current().collect()
     assert len(runs) == 1 and runs[0]["state"] == "success" and runs[0]["orders_count"] > 0
     assert r2.failed_tests == r1.failed_tests
+
+
+def test_product_versions_are_kept_from_day_to_day(spark, scratch):
+    def products(price, day):
+        return {"products": spark.createDataFrame(
+            [("p1", price, f"{day} 08:00:00")], "product_id string, unit_price double, updated_at string").withColumn(
+            "updated_at", F.col("updated_at").cast("timestamp"))}
+
+    from commerce_lake.plans import warehouse as W
+
+    stg, dim = W.stg_products, W.dim_product
+    try:
+        W.stg_products = lambda cur: cur["products"]
+        W.dim_product = lambda snap: snap
+        _snapshot_dim(spark, scratch, products(1.0, "2001-01-01"), "products", "2001-01-02 00:00:00").count()
+        two = _snapshot_dim(spark, scratch, products(2.0, "2001-02-01"), "products", "2001-02-02 00:00:00")
+        rows = sorted((r["unit_price"], r["snapshot_valid_to"] is None) for r in two.collect())
+        assert rows == [(1.0, False), (2.0, True)]
+    finally:
+        W.stg_products, W.dim_product = stg, dim
+
+
+def test_a_missing_source_leaves_a_failed_run(spark, scratch):
+    with pytest.raises(Exception):
+        daily_run(spark, f"{scratch}/nothing", f"{scratch}/lake", "2001-08-02", "salt")
+    run = ChangeLog(spark, f"{scratch}/lake/ops/pipeline_runs", ["run_id"]).current().first()
+    assert run["state"] == "failed" and set(run["failed_tasks"]) == set(STEPS)

@@ -80,8 +80,13 @@ def test_ranks_consistent_over_shuffled_input(spark):
             assert rows[r["prev_k"]]["next_k"] == r["k"] and rows[r["prev_k"]]["c"] == r["c"]
 
 
-def test_range_partitions_grow_with_estimated_size(spark):
-    small = spark.range(10)
-    assert ranking.range_partitions(small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    big = spark.range(10).crossJoin(spark.range(10)).withColumn("pad", F.lit("x" * 100))
-    assert ranking.range_partitions(big) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_running_sum_is_exact_past_64_bits_and_keeps_far_dates(spark):
+    df = spark.createDataFrame([(i, "9000000000000000000", "9999-12-31 00:00:00") for i in range(6)], "k int, v string, t string").select(
+        "k", F.col("v").cast("decimal(19,0)").alias("v"), F.col("t").cast("timestamp").alias("t"))
+    out = ranking.global_running_sum(df, "v", [F.col("k").asc()], "run", total_col="tot", n=3)
+    got = {r["k"]: (int(r["run"]), int(r["tot"])) for r in out.select("k", "run", "tot").collect()}
+    assert got == {i: (9 * 10**18 * (i + 1), 54 * 10**18) for i in range(6)}
+    assert out.where("t = timestamp'9999-12-31 00:00:00'").count() == 6
+    big = spark.createDataFrame([(i, 5 * 10**18) for i in range(3)], "k int, v bigint")
+    with pytest.raises(Exception, match="CAST_OVERFLOW|ARITHMETIC_OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE"):
+        ranking.global_running_sum(big, "v", [F.col("k").asc()], "run", n=2).collect()

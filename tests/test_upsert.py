@@ -76,8 +76,8 @@ def test_uncommitted_version_is_invisible(spark, scratch):
     log = ChangeLog(spark, f"{scratch}/t", ["k"])
     log.upsert(kv(spark, [("1", "a")]))
     # a half-done append: data written, commit never recorded
-    kv(spark, [("1", "zzz")]).withColumn("_version", F.lit(5).cast("long")).write.mode("append").partitionBy(
-        "_version").parquet(log.data_path)
+    kv(spark, [("1", "zzz")]).withColumn("_version", F.lit(5).cast("long")).withColumn("_attempt", F.lit("alost")).write.mode(
+        "append").partitionBy("_version", "_attempt").parquet(log.data_path)
     assert rows(log.current()) == [{"k": "1", "v": "a"}]
 
 
@@ -88,3 +88,30 @@ def test_compact_keeps_current_state(spark, scratch):
     new = log.compact(f"{scratch}/t2")
     assert sorted(map(tuple, new.current().collect())) == [("1", "a"), ("2", "B")]
     assert [(r["version"], r["operation"]) for r in new.history().collect()] == [(0, "COMPACT")]
+
+
+@pytest.mark.parametrize("retry", [[("c", "2026-03")], []])
+def test_rows_of_a_failed_append_stay_invisible(spark, scratch, monkeypatch, retry):
+    schema = "k string, m string"
+    log = ChangeLog(spark, f"{scratch}/t", ["k"], ["m"])
+    log.upsert(spark.createDataFrame([("a", "2026-01")], schema))
+    commit = ChangeLog._commit
+    monkeypatch.setattr(ChangeLog, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        log.upsert(spark.createDataFrame([("b", "2026-02")], schema))
+    monkeypatch.setattr(ChangeLog, "_commit", commit)
+    log.upsert(spark.createDataFrame(retry, schema))
+    assert sorted(r["k"] for r in log.current().collect()) == sorted(["a", *[k for k, _ in retry]])
+
+
+def test_changes_both_ways_and_restore_finds_the_version(spark, scratch):
+    log = ChangeLog(spark, f"{scratch}/t", ["k"])
+    log.upsert(kv(spark, [("1", "a"), ("2", "b")]))
+    log.upsert(kv(spark, [("2", "B"), ("3", "c")]))
+    got = sorted((r["k"], r["v"], r["_change"]) for r in log.changes(0, 1).collect())
+    assert got == [("2", "B", "added"), ("2", "b", "removed"), ("3", "c", "added")]
+    log.upsert(kv(spark, [("1", "A")]))
+    log.restore_rows(kv(spark, [("2", None)]))
+    assert sorted(tuple(r) for r in log.current().select("k", "v").collect()) == [("1", "A"), ("2", "b"), ("3", "c")]
+    with pytest.raises(ValueError):
+        log.restore_rows(kv(spark, [("9", None)]))
