@@ -64,10 +64,16 @@ class Encoder:
         if len(self.cache) > CACHE_CHUNKS:
             self.cache.clear()
         new = list({c for row in chunks for c in row} - self.cache.keys())
-        for at in range(0, len(new), 1000):
-            part = new[at:at + 1000]
-            for c, e in zip(part, self.tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False)):
-                self.cache[c] = np.array(e.ids, dtype="<i4").tobytes()
+        for at in range(0, len(new), 500):  # one call for many chunks; offsets tell whose an id is
+            raw = new[at:at + 500]
+            part = [c.decode() for c in raw]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<i4")
+            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(ids))
+            chunk_of = np.searchsorted(np.cumsum([len(c) + 1 for c in part]), starts, side="right")
+            cuts = np.searchsorted(chunk_of, np.arange(len(part) + 1))
+            for c, lo, hi in zip(raw, cuts, cuts[1:]):
+                self.cache[c] = ids[lo:hi].tobytes()
         get = self.cache.__getitem__
         end = np.array([END_ID], dtype="<i4").tobytes()
         return [np.frombuffer(b"".join(map(get, row)) + end, dtype="<i4") for row in chunks]
