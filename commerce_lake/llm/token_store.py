@@ -25,12 +25,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 1
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_000_000
+SLICE_BYTES = 4 << 20
 #: Writer options of the store (fixed values): stripes, rows per index entry, Bloom filter.
 ORC_OPTIONS = {
     "orc.stripe.size": str(64 << 20),
@@ -41,7 +43,7 @@ ORC_OPTIONS = {
     "compression": "zstd",
 }
 SCHEMA = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
-_encoders: dict[str, tuple] = {}
+_encoders: dict[str, "Encoder"] = {}
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -51,32 +53,51 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """ids(texts) by distinct chunks."""
+    """encode(texts) by distinct chunks: all ids in a row, and the number of ids of each text.
+
+    The ids of the chunks met so far lie one after another in ``flat``; chunk k
+    has ``size[k]`` of them from ``start[k]`` on.  Chunk 0 is the end of a text.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-
-    def ids(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        chunks = [(t or b"").split() for t in texts]
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        new = list({c for row in chunks for c in row} - self.cache.keys())
-        for at in range(0, len(new), 500):  # one call for many chunks; offsets tell whose an id is
-            raw = new[at:at + 500]
-            part = [c.decode() for c in raw]
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat = np.array([END_ID], dtype=np.int32)
+        self.start, self.size = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
+
+    def learn(self, chunks: list[str]) -> None:
+        flat, sizes = [self.flat], [self.size]
+        for at in range(0, len(chunks), 500):  # one call for many chunks; offsets tell whose an id is
+            part = chunks[at:at + 500]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<i4")
-            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(ids))
+            flat.append(np.array(e.ids, dtype=np.int32))
+            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(flat[-1]))
             chunk_of = np.searchsorted(np.cumsum([len(c) + 1 for c in part]), starts, side="right")
-            cuts = np.searchsorted(chunk_of, np.arange(len(part) + 1))
-            for c, lo, hi in zip(raw, cuts, cuts[1:]):
-                self.cache[c] = ids[lo:hi].tobytes()
-        get = self.cache.__getitem__
-        end = np.array([END_ID], dtype="<i4").tobytes()
-        return [np.frombuffer(b"".join(map(get, row)) + end, dtype="<i4") for row in chunks]
+            sizes.append(np.bincount(chunk_of, minlength=len(part)))
+        self.number.update(zip(chunks, range(len(self.size), len(self.size) + len(chunks))))
+        self.flat, self.size = np.concatenate(flat), np.concatenate(sizes)
+        self.start = np.cumsum(self.size) - self.size
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.number) > CACHE_CHUNKS:
+            self.clear()
+        chunks = pc.ascii_split_whitespace(texts)
+        coded = chunks.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if new := [c for c in distinct if c not in self.number]:
+            self.learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        ends = np.asarray(chunks.offsets)[1:]
+        k = np.insert(numbers[np.asarray(coded.indices)], ends, 0)
+        sizes = self.size[k]
+        after = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.start[k] - after + sizes, sizes) + np.arange(after[-1])]
+        return ids, np.diff(after[ends + np.arange(len(ends))], prepend=0)
 
 
 def encoder(path: str) -> Encoder:
@@ -89,20 +110,29 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def slices(batch: pa.RecordBatch):
+    """The rows in pieces of about ``SLICE_BYTES`` of text, one row at least."""
+    ends = np.cumsum(np.asarray(pc.binary_length(batch.column(1)), dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def write(docs: DataFrame, path: str, vocabulary_path: str, partitions: int | None = None) -> None:
     """Stores the token ids of all rows under ``path``."""
 
     def run(batches):
         e, part, offset = encoder(vocabulary_path), TaskContext.get().partitionId(), 0
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                rows = b.slice(at, 200)
-                ids = e.ids(rows.column(1).cast(pa.binary()).to_pylist())
-                n = np.array([len(x) for x in ids], dtype=np.int64)
+            for rows in slices(b):
+                ids, n = e.encode(rows.column(1).cast(pa.string()))
                 ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(offset + ends - n), pa.array(n),
-                     pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(np.concatenate(ids)))],
+                     pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids))],
                     ["doc_id", "part", "offset", "n_tokens", "ids"])
                 offset += int(ends[-1])
 
