@@ -1,20 +1,28 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Counts come from all training documents.  Unigrams are smoothed by adding 1/2;
-an n-gram of two or three words is kept when it makes up at least ``SHARE`` of
-the training tokens (and occurs twice), so at most 1 / SHARE n-grams of an order
-are kept at any corpus size, and any word of a kept n-gram is as frequent: rarer
-words need not be counted in n-grams at all.  Kept n-grams are discounted and
-the rest of a context's mass is handed to the shorter context, so every state's
-probabilities add up to one.
-
-The automaton's states are contexts, its arcs kept n-grams and its failure arcs
-the backoff weights.  One left-to-right traversal of a text carries the state
-and accumulates log10 weights relative to the unigram model; a word that the
-automaton doesn't know falls back to the root.  The text's unigram score is
-exact for every word: frequent words (``COMMON`` of the tokens, so at most
-1 / COMMON of them) are looked up on the spot, the rest are joined with the
-count table.  The score is the sum of both.
+an n-gram of two or three words is kept when it occurs ``LEAST`` times, a fixed
+count at any corpus size, so the kept n-grams grow with the text.  (``SHARE``, a
+share of the tokens below which n-grams are pruned, is 0.)  Kept n-grams are
+discounted and the rest of a context's mass is handed to the shorter context, so
+every state's probabilities add up to one.
+
+The automaton is a table of arcs.  Its states are contexts, its arcs kept n-grams
+and its failure arcs the backoff weights; the failure weights are pushed onto the
+arcs, so that a text's log10 weight relative to the unigram model is a plain sum:
+a word in front of another adds its backoff weight, a kept pair adds what it gains
+over that and its own backoff weight, a kept triple what it gains over both.
+Arcs of at least ``HOT`` of the tokens (at most 3 / HOT) are looked up on the
+spot, all others are joined on their words.
+
+The text's unigram score is exact for every word: frequent words (``COMMON`` of
+the tokens, so at most 1 / COMMON of them) are looked up on the spot, the rest
+are joined with the count table.  The score is the sum of both.
+
+Frequent words are numbered, other words have 63 bits of their BLAKE2 hash in the
+arc table.  Sieves (hashed bit sets of bounded size) only drop n-grams that
+cannot be kept before a shuffle: those that pass wrongly are counted and joined
+in full.
 
 Defined cases: a null or blank text has the end token alone; a null doc_id is
 not held out; without training documents all counts are 0 and every token has
@@ -24,6 +32,7 @@ no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -35,17 +44,26 @@ from .sampling import remainder
 from .scratch import Scratch
 
 HELD_OUT_MOD, HELD_OUT = 5, 1
-SHARE, COMMON = 1e-5, 1e-6
+LEAST, SHARE = 2, 0.0
+COMMON, HOT = 1e-6, 1e-5
 DISCOUNT = 0.75
 END = ""  # no word is empty
 FLUSH_WORDS, FLUSH_GRAMS = 200_000, 1 << 20
+WIDTH = 21  # bits of a frequent word's number; 1 / COMMON words fit
+NONE, GAP = (1 << WIDTH) - 1, 1 << 62  # in place of a missing word of an n-gram; between texts
+SIEVE_BITS = 26  # at most 8 MB
+ARC = "a long, b long, c long"
 
 
 class Ids(dict):
-    """Word bytes to number; any other word has -1."""
+    """Word bytes to number; any other word has a negative number, its hash."""
 
     def __missing__(self, word):
-        return -1
+        return -1 - (int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The text's numbers between the begin mark's and the end token's."""
+        return np.array([len(self), *map(self.__getitem__, words), self[b""]], dtype=np.int64)
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -81,154 +99,177 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _sums(keys: np.ndarray) -> pa.RecordBatch:
-    k, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(n, pa.int64())], ["gram", "c"])
+def _places(columns: list[np.ndarray], bits: int) -> np.ndarray:
+    """A place of 2 ** bits for each n-gram."""
+    x = np.zeros(len(columns[0]), dtype=np.uint64)
+    for c in columns:
+        x = (x + c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+    return (x * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Sieve:
+    """Bit set of hashed n-grams (a, b, c): all of the table pass, and few others."""
+
+    def __init__(self, grams: DataFrame):
+        self.bits = bits = min(SIEVE_BITS, max(10, (8 * grams.count()).bit_length()))
+
+        def run(batches):
+            seen = np.zeros(1 << bits, dtype=bool)
+            for b in batches:
+                seen[_places([b.column(i).to_numpy() for i in range(3)], bits)] = True
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen, bitorder="little").tobytes()], pa.binary())], ["bits"])
+
+        self.set = np.zeros(1 << bits - 3, dtype=np.uint8)
+        for r in grams.select("a", "b", "c").coalesce(4).mapInArrow(run, "bits binary").collect():
+            self.set |= np.frombuffer(r.bits, dtype=np.uint8)
 
+    def has(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        at = _places([a, b, c], self.bits)
+        return (self.set[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
-def _gram_counts(train: DataFrame, ids: Ids, grams_of, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of the n-grams that reach ``least`` (a bounded number); grams_of(numbers) gives a text's keys."""
-    held = train.sparkSession.sparkContext.broadcast((ids, grams_of))
+
+def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different rows and how often each is there."""
+    values, place = np.unique(np.concatenate(columns), return_inverse=True)
+    bits = max(1, len(values).bit_length())
+    if bits * len(columns) > 63:
+        rows, n = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
+        return list(rows.T), n
+    key = np.zeros(len(columns[0]), dtype=np.int64)
+    for part in place.reshape(len(columns), -1):
+        key = key << bits | part
+    key, n = np.unique(key, return_counts=True)
+    return [values[key >> bits * i & (1 << bits) - 1] for i in reversed(range(len(columns)))], n
+
+
+def _gram_counts(train: DataFrame, held, order: int, least: float) -> DataFrame:
+    """a, b, c and n of the n-grams that reach ``least``; of triples, those whose pairs pass the sieve are counted."""
+
+    def grams(n, sieve):
+        a, b = n[:-1], n[1:]
+        ok = (a != GAP) & (b != GAP)
+        if order == 3:
+            ok &= sieve.has(a, b, np.full(len(a), NONE))
+            ok = ok[:-1] & ok[1:]
+        columns, times = _distinct([n[i:len(n) - order + 1 + i][ok] for i in range(order)])
+        if order == 2:
+            columns.append(np.full(len(times), NONE))
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*columns, times)], ["a", "b", "c", "n"])
 
     def run(batches):
-        known, grams = held.value
-        number, begin, end = known.__getitem__, len(known), known[b""]
+        ids, sieve = held.value
         wait, size = [], 0
         for b in batches:
             for t in _texts(b, 0):
-                n = np.array([begin, *map(number, _words(t)), end], dtype=np.int64)
-                wait.append(g := grams(n))
-                size += len(g)
+                wait += [n := ids.of(_words(t)), np.array([GAP])]
+                size += len(n)
                 if size > FLUSH_GRAMS:
-                    yield _sums(np.concatenate(wait))
+                    yield grams(np.concatenate(wait), sieve)
                     wait, size = [], 0
         if size:
-            yield _sums(np.concatenate(wait))
-
-    rows = (train.select("text").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-            .where(F.col("c") >= least).collect())
-    held.unpersist()
-    out = np.array(sorted((r.gram, r.c) for r in rows), dtype=np.int64).reshape(-1, 2)
-    return out[:, 0], out[:, 1]
-
-
-class Pairs:
-    """Keys of a text's word pairs; the word after the last number is the begin mark's."""
-
-    def __init__(self, width: int):
-        self.width = width
-
-    def __call__(self, n: np.ndarray) -> np.ndarray:
-        a, b = n[:-1], n[1:]
-        return (a * self.width + b)[(a >= 0) & (b >= 0)]
+            yield grams(np.concatenate(wait), sieve)
 
+    return (train.select("text").mapInArrow(run, f"{ARC}, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= least))
 
-class Triples:
-    """Keys (place of the first pair among the kept ones, third word) of the triples whose two pairs are kept."""
 
-    def __init__(self, width: int, pairs: np.ndarray):
-        self.width, self.pairs = width, pairs
+def _numbered(counts: DataFrame, held) -> DataFrame:
+    """id and c of the words."""
 
-    def __call__(self, n: np.ndarray) -> np.ndarray:
-        if len(n) < 3 or not len(self.pairs):
-            return np.empty(0, dtype=np.int64)
-        a, b = n[:-1], n[1:]
-        key = np.where((a >= 0) & (b >= 0), a * self.width + b, -1)
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        kept = self.pairs[at] == key
-        both = kept[:-1] & kept[1:]
-        return (at[:-1] * self.width + n[2:])[both]
-
-
-class Automaton:
-    """States 0 (root), word contexts, pair contexts; arcs[state * width + word] = (next state, weight)."""
-
-    def __init__(self, ids: Ids, counts: np.ndarray, starts: int, total: int, distinct: int,
-                 pairs: np.ndarray, pair_counts: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray):
-        self.ids, self.width = ids, len(ids) + 1
-        width, z = self.width, total + 0.5 * (distinct + 1)
-        base = (np.r_[counts, 0] + 0.5) / z  # per word number; the begin mark never follows anything
-        context = np.r_[counts, starts].astype(float)
-        first, second = pairs // width, pairs % width
-        p2 = (pair_counts - DISCOUNT) / context[first] if len(pairs) else np.empty(0)
-        given = lambda which, w: np.bincount(which, w, minlength=width)
-        left, lower = 1 - given(first, p2), 1 - given(first, base[second]) if len(pairs) else np.ones(width)
-        alpha1 = np.maximum(left, 1e-12) / np.maximum(lower, 1e-12)
-        # P(c | b) of any pair of word numbers, by place among the kept pairs or backed off
-        head, third = triples // width, triples % width
-        p3 = (triple_counts - DISCOUNT) / pair_counts[head] if len(triples) else np.empty(0)
-        tail_key = second[head] * width + third if len(triples) else np.empty(0, dtype=np.int64)
-        at = np.searchsorted(pairs, tail_key)
-        n2 = len(pairs)
-        left3 = 1 - np.bincount(head, p3, minlength=n2)
-        lower3 = 1 - np.bincount(head, p2[at], minlength=n2) if len(triples) else np.ones(n2)
-        alpha2 = np.maximum(left3, 1e-12) / np.maximum(lower3, 1e-12)
-
-        has1 = np.zeros(width, dtype=bool)
-        has1[first] = True
-        has2 = np.zeros(n2, dtype=bool)
-        has2[head] = True
-        state1 = np.where(has1, np.cumsum(has1), 0)  # 1.. for words with arcs, else the root
-        state2 = np.where(has2, has1.sum() + np.cumsum(has2), state1[second] if n2 else 0)
-        n_states = int(1 + has1.sum() + has2.sum())
-        self.fail_state, self.fail_weight = [0] * n_states, [0.0] * n_states
-        for w in np.flatnonzero(has1):
-            self.fail_weight[state1[w]] = math.log10(alpha1[w])
-        for i in np.flatnonzero(has2):
-            self.fail_state[state2[i]] = int(state1[second[i]])
-            self.fail_weight[state2[i]] = math.log10(alpha2[i])
-        self.to_root = list(self.fail_weight)  # whole way down, states with the longer context come later
-        for s in range(1, n_states):
-            self.to_root[s] += self.to_root[self.fail_state[s]]
-        self.arcs = {int(w): (int(state1[w]), 0.0) for w in np.flatnonzero(has1[:-1])}
-        weight2 = np.log10(p2) - np.log10(base[second]) if n2 else np.empty(0)
-        for f, s, to, w in zip(first.tolist(), second.tolist(), state2.tolist(), weight2.tolist()):
-            self.arcs[int(state1[f]) * width + s] = (to, w)
-        if len(triples):
-            weight3 = np.log10(p3) - np.log10(base[third])
-            for h, t, i, w in zip(head.tolist(), third.tolist(), at.tolist(), weight3.tolist()):
-                self.arcs[int(state2[h]) * width + t] = (int(state2[i]), w)
-        self.start = int(state1[width - 1])
-
-    def traverse(self, numbers) -> float:
-        """Sum of log10 weights relative to the unigram model, over the text and its end."""
-        arcs, width, fail, weight, to_root = self.arcs, self.width, self.fail_state, self.fail_weight, self.to_root
-        state, total = self.start, 0.0
-        for n in numbers:
-            if n < 0:
-                total += to_root[state]
-                state = 0
-                continue
-            arc = arcs.get(state * width + n)
-            while arc is None and state:
-                total += weight[state]
-                state = fail[state]
-                arc = arcs.get(state * width + n)
-            if arc is None:
-                state = 0
-            else:
-                state, w = arc
-                total += w
-        return total
+    def run(batches):
+        ids = held.value[0]
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([ids[w] for w in _texts(b, 0)], pa.int64()), b.column(1)], ["id", "c"])
+
+    return counts.mapInArrow(run, "id long, c long")
+
+
+def _backoff(left, lower):
+    """log10 of the mass that a context hands on over the mass that the shorter one has for it."""
+    return F.log10(F.greatest(1 - F.sum(left), F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12)))
+
+
+def train_arcs(train: DataFrame, counts: DataFrame, ids: Ids, n: int, v: int, starts: int, scratch: Scratch) -> DataFrame:
+    """a, b, c, n and weight of every arc; NONE in place of c for pairs, of b and c for a word's backoff weight."""
+    spark = train.sparkSession
+    least, z = max(float(LEAST), SHARE * n), n + 0.5 * (v + 1)
+    held = spark.sparkContext.broadcast((ids, None))
+    # the begin mark's row is for contexts only: it never follows anything
+    words = scratch.store(_numbered(counts.where(F.col("c") >= least), held).unionByName(
+        spark.createDataFrame([(len(ids), int(starts))], "id long, c long")), "words")
+    first = words.select(F.col("id").alias("a"), F.col("c").alias("context"))
+    second = words.select(F.col("id").alias("b"), ((F.col("c") + 0.5) / F.lit(float(z))).alias("base"))
+    kept = scratch.store(_gram_counts(train, held, 2, least), "pair-counts")
+    pairs = scratch.store(
+        kept.join(first, "a").join(second, "b").select("a", "b", "c", "n", "context", "base", ((F.col("n") - DISCOUNT) / F.col("context")).alias("p2")),
+        "pairs")
+    scratch.drop(kept)
+    held = spark.sparkContext.broadcast((ids, Sieve(pairs)))
+    kept = scratch.store(_gram_counts(train, held, 3, least), "triple-counts")
+    held.unpersist()
+    head = pairs.select("a", "b", F.col("n").alias("n2"))
+    tail = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("p2").alias("lower"))
+    triples = scratch.store(
+        kept.join(head, ["a", "b"]).join(tail, ["b", "c"]).select("a", "b", "c", "n", "lower", ((F.col("n") - DISCOUNT) / F.col("n2")).alias("p3")),
+        "triples")
+    one = pairs.groupBy("a").agg(F.max("context").alias("n"), _backoff(F.col("p2"), F.col("base")).alias("one"))
+    two = triples.groupBy("a", "b").agg(_backoff(F.col("p3"), F.col("lower")).alias("two"))
+    none = F.lit(NONE).cast("long")
+    arcs = scratch.store(
+        one.select("a", none.alias("b"), none.alias("c"), "n", F.col("one").alias("weight"))
+        .unionByName(pairs.join(one.drop("n"), "a").join(two, ["a", "b"], "left").select(
+            "a", "b", "c", "n", (F.log10("p2") - F.log10("base") - F.col("one") + F.coalesce("two", F.lit(0.0))).alias("weight")))
+        .unionByName(triples.join(two, ["a", "b"]).select(
+            "a", "b", "c", "n", (F.log10("p3") - F.log10("lower") - F.col("two")).alias("weight"))), "arcs")
+    scratch.drop(words, kept, pairs, triples)
+    return arcs
+
+
+class Arcs:
+    """The frequent arcs, looked up by key, and the sieve of the others."""
+
+    def __init__(self, ids: Ids, arcs: DataFrame, least: float):
+        # every text has the begin mark, however rare it is among the tokens
+        hot = (F.col("a") >= 0) & (F.col("b") >= 0) & (F.col("c") >= 0) & (
+            (F.col("n") >= least) | ((F.col("a") == len(ids)) & (F.col("b") == NONE)))
+        rows = arcs.where(hot).select("a", "b", "c", "weight").toArrow()  # at most 3 / HOT rows
+        a, b, c, weight = [rows.column(i).to_numpy() for i in range(4)]
+        keys = self.keys_of(a, b, c)
+        order = np.argsort(keys)
+        self.ids, self.keys, self.weights = ids, np.r_[keys[order], np.iinfo(np.int64).max], np.r_[weight[order], 0.0]
+        self.cold = arcs.where(~hot)
+        self.sieve = Sieve(self.cold)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "cold"}
+
+    @staticmethod
+    def keys_of(a, b, c):
+        return np.where((a >= 0) & (b >= 0) & (c >= 0), a << 2 * WIDTH | b << WIDTH | c, -1)
+
+    def walk(self, words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """All arcs (a, b, c) that a text and its end may take, which of them are frequent, and those arcs' weights."""
+        n = self.ids.of(words)
+        none = np.full(len(n) - 1, NONE)
+        a, b, c = (np.concatenate(x) for x in ((n[:-1], n[:-1], n[:-2]), (none, n[1:], n[1:-1]), (none, none, n[2:])))
+        keys = self.keys_of(a, b, c)
+        at = np.searchsorted(self.keys, keys)
+        hit = self.keys[at] == keys
+        return [a, b, c], hit, self.weights[at[hit]]
 
 
 def train_model(train: DataFrame, scratch: Scratch):
-    """(count table, N, V, frequent words' counts, automaton)."""
+    """(count table, N, V, frequent words' counts, arcs)."""
     counts = scratch.store(word_counts(train), "counts")
     n, v, starts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)),
                               F.coalesce(F.sum(F.when(F.col("word") == END, F.col("c"))), F.lit(0))).first()
     common = {r.word.encode(): r.c for r in counts.where(F.col("c") >= COMMON * n).collect()}  # at most 1 / COMMON rows
     if starts:
         common[END.encode()] = starts  # however rare among the tokens, each text has one
-    least = max(2.0, SHARE * n)
-    known = sorted({END.encode()} | {w for w, c in common.items() if c >= least})
-    ids = Ids((w, i) for i, w in enumerate(known))
-    width = len(ids) + 1
-    pairs, pair_counts = _gram_counts(train, ids, Pairs(width), least)
-    triples, triple_counts = _gram_counts(train, ids, Triples(width, pairs), least)
-    automaton = Automaton(ids, np.array([common.get(w, 0) for w in known], dtype=float), starts, n, v,
-                          pairs, pair_counts, triples, triple_counts)
-    return counts, n, v, common, automaton
+    ids = Ids((w, i) for i, w in enumerate(sorted({END.encode(), *common})))
+    arcs = train_arcs(train, counts, ids, n, v, starts, scratch)
+    return counts, n, v, common, Arcs(ids, arcs, HOT * n)
 
 
 def score(docs: DataFrame, mod: int = HELD_OUT_MOD, held: int = HELD_OUT) -> DataFrame:
@@ -237,14 +278,14 @@ def score(docs: DataFrame, mod: int = HELD_OUT_MOD, held: int = HELD_OUT) -> Dat
     scratch = Scratch(spark, "lm")
     out = F.coalesce(remainder(F.col("doc_id"), mod) == held, F.lit(False))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), F.col("text").cast("string").alias("text"))
-    counts, n, v, common, automaton = train_model(slim.where(~F.col("held_out")), scratch)
+    counts, n, v, common, arcs = train_model(slim.where(~F.col("held_out")), scratch)
     z = n + 0.5 * (v + 1)
     logs = {w: math.log10((c + 0.5) / z) for w, c in common.items()}
-    shared = spark.sparkContext.broadcast((automaton, logs))
+    shared = spark.sparkContext.broadcast((arcs, logs))
 
     def run(batches):
         a, log = shared.value
-        number, end, end_log = a.ids.__getitem__, a.ids[b""], log.get(b"")
+        end_log = log.get(b"")
         for b in batches:
             rows = {k: [] for k in ("n_tokens", "n_known", "base", "gain", "rare")}
             for t in _texts(b, 3):
@@ -253,23 +294,40 @@ def score(docs: DataFrame, mod: int = HELD_OUT_MOD, held: int = HELD_OUT) -> Dat
                 rows["n_tokens"].append(len(w) + 1)
                 rows["n_known"].append(len(w) - len(rare) + (end_log is not None))
                 rows["base"].append(math.fsum([log[x] for x in w if x in log]) + (math.log10(0.5 / z) if end_log is None else end_log))
-                rows["gain"].append(a.traverse([*map(number, w), end]))
+                rows["gain"].append(float(a.walk(w)[2].sum()))
                 rows["rare"].append(rare)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), b.column(2), pa.array(rows["n_tokens"], pa.int64()), pa.array(rows["n_known"], pa.int64()),
                  pa.array(rows["base"], pa.float64()), pa.array(rows["gain"], pa.float64()),
-                 pa.array(rows["rare"], pa.list_(pa.binary())).cast(pa.list_(pa.string()))],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain", "rare"])
+                 pa.array(rows["rare"], pa.list_(pa.binary())).cast(pa.list_(pa.string())), b.column(3)],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain", "rare", "text"])
+
+    def others(batches):
+        a = shared.value[0]
+        for b in batches:
+            out = []
+            for row, t in zip(b.column(0).to_pylist(), _texts(b, 1)):
+                columns, hit, _ = a.walk(_words(t))
+                rest = ~hit
+                rest[rest] = a.sieve.has(*[x[rest] for x in columns])
+                if rest.any():
+                    columns, times = _distinct([x[rest] for x in columns])
+                    out.append([np.full(len(times), row), *columns, times])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out)], ["row", "a", "b", "c", "times"])
 
     walked = scratch.store(
         slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
-            run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, rare array<string>"),
+            run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, rare array<string>, text string"),
         "walked")
     log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(z)))
     tail = (walked.select("row", F.explode("rare").alias("word"))
             .join(counts.where(F.col("c") < COMMON * n), "word", "left")
             .groupBy("row").agg(F.sum(log).alias("tail"), F.count("c").alias("tail_known")))
+    far = (walked.select("row", "text").mapInArrow(others, f"row long, {ARC}, times long")
+           .join(arcs.cold.select("a", "b", "c", "weight"), ["a", "b", "c"])
+           .groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("far")))
     base = F.col("base") + F.coalesce("tail", F.lit(0.0))
-    return walked.drop("rare").join(tail, "row", "left").select(
+    return walked.drop("rare", "text").join(tail, "row", "left").join(far, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(int(n)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+        F.lit(int(n)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain") + F.coalesce("far", F.lit(0.0))).alias("score"))

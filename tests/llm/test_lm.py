@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from commerce_lake.llm import lm as L
 
 
@@ -92,3 +94,29 @@ def test_empty_and_untrained(spark):
     only = next(i for i in range(100) if held(i))
     r = L.score(spark.createDataFrame([(only, "a b")], "doc_id long, text string")).collect()[0]
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize("hot", [1e-5, 0.05])  # the second sends most arcs through the join
+def test_every_ngram_seen_twice_is_kept(spark, monkeypatch, hot):
+    monkeypatch.setattr(L, "HOT", hot)
+    monkeypatch.setattr(L, "COMMON", 0.002)
+    rows = corpus()
+    got = sorted((tuple(r) for r in L.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=lambda r: (r[0] is None, r[0]))
+    want = sorted(slow(rows, 0), key=lambda r: (r[0] is None, r[0]))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert g[5] == pytest.approx(w[5], abs=1e-6) and g[6] == pytest.approx(w[6], abs=1e-5), (g, w)
+
+
+def test_kept_ngrams_grow_with_other_text(spark):
+    """Pairs seen twice stay kept when 250,000 other tokens come, where a share of the tokens (1e-5) would ask for 3."""
+    def pairs(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        arcs = L.train_model(df, L.Scratch(spark, "lm-test"))[4]
+        sets = arcs.cold.where((F.col("b") != L.NONE) & (F.col("c") == L.NONE)).count()
+        return sets + int(((arcs.keys[:-1] >> L.WIDTH & L.NONE) != L.NONE).sum() - ((arcs.keys[:-1] & L.NONE) != L.NONE).sum())
+
+    few = [(2 * i + j, f"x{i} y{i}") for i in range(50) for j in range(2)]
+    other = [(1000 + 2 * i + j, " ".join(f"u{i}v{k}" for k in range(500))) for i in range(250) for j in range(2)]
+    assert (small := pairs(few)) == 150  # begin x, x y, y end
+    assert pairs(few + other) == small + 250 * 501
