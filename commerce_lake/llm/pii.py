@@ -14,6 +14,11 @@ replaced by another value of the same format, under a key:
 * social security numbers are permuted over the valid area, group and serial;
 * phone numbers keep a country code, e-mail addresses keep their domain.
 
+A candidate that fails as a whole may hide a card or account number next to
+other groups (an expiry date, a currency): its parts at group borders are then
+validated, from the first group on and longest first, an account number by its
+country's length; the text around the valid part is searched again.
+
 Each step is a bijection, so different values stay different, and it depends on
 key and value alone (card, account and phone numbers without separators), so
 equal values stay linked across documents.  Spark expressions only.
@@ -42,6 +47,15 @@ PATTERNS = {
     "card": r"(?<![\w.\-])[0-9](?:[ \-]?[0-9]){12,18}(?![\w\-])",
 }
 ANY = "|".join(PATTERNS.values())
+# Cards that begin after another group: undivided or in the usual groups only.
+CARD_GROUPS = r"^(?:[0-9]{13,19}|[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ \-])[0-9]{6}\2[0-9]{4,5})$"
+# Account number lengths by country (IBAN registry).
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 "
+    "MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
+    "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+SHORTEST = 13  # characters of a card or account number
 DAYS, FIRST_DAY = (773, 189), "1800-01-01"  # 773 * 189 = 146,097 days of 400 Gregorian years
 
 
@@ -230,6 +244,59 @@ def kind_of(m: Column) -> Column:
             .when(whole["phone"] & n.between(8, 15), "phone"))
 
 
+def _hidden(m: Column) -> Column:
+    """at and s of the first card or account number at group borders inside a candidate, else null."""
+    n = F.length(m)
+    borders = F.filter(F.sequence(F.lit(1), n), lambda i: _char(m, i).isin(" ", "-"))
+    starts = F.concat(F.array(F.lit(1)), F.transform(borders, lambda i: i + 1))
+    ends = F.reverse(F.concat(F.transform(borders, lambda i: i - 1), F.array(n)))  # longest first
+    spans = F.flatten(F.transform(starts, lambda a: F.transform(
+        F.filter(ends, lambda z: z - a >= SHORTEST - 1),
+        lambda z: F.struct(a.alias("at"), F.substr(m, a, z - a + 1).alias("s")))))
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+
+    def valid(span):
+        at, s = span["at"], span["s"]
+        account = F.replace(s, F.lit(" "), F.lit(""))
+        length = F.try_element_at(lengths, F.substr(s, F.lit(1), F.lit(2)))
+        card = s.rlike(f"^(?:{PATTERNS['card']})$") & ((at == 1) | s.rlike(CARD_GROUPS)) & (luhn_sum(_digits(s)) == 0)
+        iban = s.rlike(f"^(?:{PATTERNS['iban']})$") & F.coalesce(F.length(account) == length, at == 1) & (_mod97(account) == 1)
+        return card | iban
+
+    return F.when((n > SHORTEST) & m.rlike("[ \\-]"), F.get(F.filter(spans, valid), F.lit(0)))
+
+
+def _found(s: Column) -> Column:
+    return F.regexp_extract_all(s, F.lit(f"({ANY})"), F.lit(1))
+
+
+def _cut(s: Column) -> Column:
+    """Text, hidden number, text, .., text: ``s`` cut where its failed candidates hide numbers."""
+    def step(acc, x):
+        m, h = x["m"], x["h"]
+        before = F.concat(acc["open"], x["p"], F.substr(m, F.lit(1), h["at"] - 1))
+        return (F.when(h.isNotNull(), F.struct(F.concat(acc["done"], F.array(before, h["s"])).alias("done"),
+                                               F.substr(m, h["at"] + F.length(h["s"]), F.length(m)).alias("open")))
+                .otherwise(F.struct(acc["done"].alias("done"), F.concat(acc["open"], x["p"], F.coalesce(m, F.lit(""))).alias("open"))))
+
+    pairs = F.zip_with(F.split(s, ANY, -1), _found(s), lambda p, m: F.struct(
+        p.alias("p"), m.alias("m"), F.when(kind_of(m).isNull(), _hidden(m)).alias("h")))
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    return F.aggregate(pairs, start, step, lambda acc: F.concat(acc["done"], F.array(acc["open"])))
+
+
+def _segments(t: Column) -> Column:
+    """``t`` cut until no failed candidate hides a number; every second segment is one."""
+    def step(acc, _):
+        more = F.flatten(F.transform(acc["segments"], lambda s, i: F.when(i % 2 == 0, _cut(s)).otherwise(F.array(s))))
+        return (F.when(acc["before"] == F.size(acc["segments"]), acc)
+                .otherwise(F.struct(F.size(acc["segments"]).alias("before"), more.alias("segments"))))
+
+    start = F.struct(F.lit(0).alias("before"), F.array(t).alias("segments"))
+    turns = F.sequence(F.lit(0), F.floor(F.length(t) / SHORTEST).cast("int") + 1)  # each cuts a number off, or is the last
+    return F.aggregate(turns, start, step, lambda acc: acc["segments"])
+
+
 def _replacement(m: Column, kind: Column, key: str) -> Column:
     return (F.when(kind == "email", _email(m, key)).when(kind == "iban", _iban(m, key)).when(kind == "date", _date(m, key))
             .when(kind == "ip", _ip(m, key)).when(kind == "ssn", _ssn(m, key)).when(kind == "card", _card(m, key))
@@ -239,15 +306,23 @@ def _replacement(m: Column, kind: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with ``text`` pseudonymised, and ``pii``: kind, found and pseudonym per place, in order."""
     t = F.col(f"`{text}`")
-    found = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(f"({ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
-    # kinds first, so that a validation is evaluated once per candidate
-    kinds = F.transform(F.col("__found"), lambda m: F.struct(m.alias("found"), kind_of(m).alias("kind")))
+    found = F.when(t.rlike("[0-9@]"), _found(t)).otherwise(F.array().cast("array<string>"))
+
+    def kinds(found):  # kinds first, so that a validation is evaluated once per candidate
+        return F.transform(found, lambda m: F.struct(m.alias("found"), kind_of(m).alias("kind")))
+
+    hides = F.exists(F.col("__kinds"), lambda k: F.when(k["kind"].isNull(), _hidden(k["found"])).isNotNull())
+    segments = F.col("__segments")
+    again = F.flatten(F.transform(segments, lambda s, i: F.when(i % 2 == 0, _found(s)).otherwise(F.array(s))))
     marks = F.transform(F.col("__kinds"), lambda k: F.struct(
         k["kind"].alias("kind"), k["found"].alias("found"), _replacement(k["found"], k["kind"], key).alias("pseudonym")))
-    pieces = F.split(t, ANY, -1)
+    pieces = F.when(segments.isNull(), F.split(t, ANY, -1)).otherwise(
+        F.flatten(F.transform(F.filter(segments, lambda s, i: i % 2 == 0), lambda s: F.split(s, ANY, -1))))
     woven = F.array_join(F.zip_with(pieces, F.transform(F.col("__marks"), lambda k: k["pseudonym"]),
                                     lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = (docs.withColumn("__found", found).withColumn("__kinds", kinds).withColumn("__marks", marks)
+    out = (docs.withColumn("__found", found).withColumn("__kinds", kinds(F.col("__found")))
+           .withColumn("__segments", F.when(hides, _segments(t)))
+           .withColumn("__kinds", F.when(segments.isNull(), F.col("__kinds")).otherwise(kinds(again))).withColumn("__marks", marks)
            .withColumn("__text", F.when(F.size("__marks") > 0, woven).otherwise(t)))
     kept = [F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != "pii"]
     return out.select(*kept, F.filter("__marks", lambda k: k["kind"].isNotNull()).alias("pii"))

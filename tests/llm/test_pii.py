@@ -110,3 +110,39 @@ def test_no_python_in_the_plan(spark):
 @pytest.mark.parametrize("text", ["no digits at all", "mail me"])
 def test_unchanged(spark, text):
     assert run(spark, [text])[0].text == text
+
+
+HIDDEN = {  # text: the values to be found in it
+    "card 4111 1111 1111 1111 12/26 ok": ["4111 1111 1111 1111"],
+    "card 4111 1111 1111 1111 123": ["4111 1111 1111 1111"],
+    "4111-1111-1111-1111-123": ["4111-1111-1111-1111"],
+    "3782 822463 10005 1234": ["3782 822463 10005"],
+    "cvv 123 4111 1111 1111 1111.": ["4111 1111 1111 1111"],
+    "4111 1111 1111 1111 12/26/2026": ["4111 1111 1111 1111", "12/26/2026"],
+    "4111 1111 1111 1111 123 4111 1111 1111 1111 123": ["4111 1111 1111 1111"] * 2,
+    "IBAN ES91 2100 0418 4502 0005 1332 EUR 5": ["ES91 2100 0418 4502 0005 1332"],
+    "BE68539007547034 EUR": ["BE68539007547034"],
+    "BE68 5390 0754 7034 NO93 8601 1117 947": ["BE68 5390 0754 7034", "NO93 8601 1117 947"],
+    "8.8.8.8 and BE68539007547034 EURO PAID a@b.org": ["8.8.8.8", "BE68539007547034", "a@b.org"],
+}
+
+
+def test_numbers_next_to_other_groups(spark):
+    for (t, values), r in zip(HIDDEN.items(), run(spark, list(HIDDEN))):
+        assert [p.found for p in r.pii] == values, t
+        want = t
+        for p in r.pii:
+            assert p.pseudonym != p.found
+            want = want.replace(p.found, p.pseudonym)
+        assert r.text == want
+        for p in r.pii:
+            if p.kind == "card":
+                assert luhn(re.sub(r"\D", "", p.pseudonym))
+            if p.kind == "iban":
+                assert mod97(p.pseudonym) == 1
+
+
+def test_groups_without_a_valid_number_stay(spark):
+    texts = ["4111 1111 1111 1112 123", "BE68539007547035 EUR"]
+    for t, r in zip(texts, run(spark, texts)):
+        assert r.text == t and not r.pii
