@@ -99,3 +99,21 @@ def test_held_out_accuracy():
     p = np.array(m.scores([t for t, _ in test])) >= 0.7
     y = np.array([y for _, y in test]) == 1
     assert (p == y).mean() > 0.95 and (p & y).sum() / y.sum() > 0.8 and (p & ~y).sum() / (~y).sum() < 0.03
+
+
+def test_held_out_accuracy_of_train(spark, monkeypatch):
+    """train() with its production bounds, on more labels of both classes than they take."""
+    base = "/root/testdata/check_s"
+    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
+    taken, fit = [], T.fit
+    monkeypatch.setattr(T, "fit", lambda rows: taken.extend(rows) or fit(rows))
+    m = T.train(docs, labels, lambda i: T.remainder(i, 10) != 1)
+    ys = [y for _, y in taken]
+    assert ys.count(0) >= 0.95 * 1800 and ys.count(1) >= 0.95 * 1500  # texts over the length bound are not used
+    test = (docs.select("doc_id", "text").join(labels.where("toxic is not null").select("doc_id", "toxic"), "doc_id")
+            .where(T.remainder(labels["doc_id"], 10) == 1).collect())
+    p = np.array(m.scores([r.text for r in test])) >= T.THRESHOLD
+    y = np.array([r.toxic for r in test]) == 1
+    figures = (p == y).mean(), (p & y).sum() / y.sum(), (p & ~y).sum() / (~y).sum()
+    print("accuracy, recall, false alarms", len(test), figures)
+    assert figures[0] > 0.95 and figures[1] > 0.8 and figures[2] < 0.03
