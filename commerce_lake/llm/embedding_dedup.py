@@ -15,6 +15,9 @@ into blocks by a hash; each pair of blocks is a group of its own, so a list of
 any length is processed in bounded memory and no pair is lost.  Equal vectors
 of a label are one class before any of this.
 
+More pivots make two near vectors name fewer of the same, so ``k`` grows with
+them (``nearest_count``).
+
 Defined cases: a vector that is null, zero-length, zero or holds null or
 non-finite components, or has no label, links with nothing; vectors of another
 length than most (the sample's commonest) are compared only with the same
@@ -36,7 +39,7 @@ from .components import connected_components
 from .scratch import Scratch
 
 COSINE = 0.93
-NEAREST, SHARED = 8, 2
+NEAREST, MOST, SHARED = 8, 16, 2
 MAX_PIVOTS, THIN = 8192, 0.8
 BLOCK = 2048
 
@@ -45,6 +48,11 @@ def pivot_count(n: int) -> int:
     return min(MAX_PIVOTS, max(16, math.ceil(4 * math.sqrt(n))))
 
 
+def nearest_count(pivots: int) -> int:
+    """k for a number of pivots: 8 up to 64, 12 at 180, 16 from 513 on."""
+    return min(MOST, max(NEAREST, 2 * math.ceil(math.log2(max(1, pivots))) - 4))
+
+
 def _unit(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     x = np.asarray(col.flatten(), dtype=np.float64).reshape(-1, dim)
     return x / np.sqrt((x * x).sum(1))[:, None]
@@ -154,7 +162,7 @@ def _posted(described: DataFrame, block: int) -> DataFrame:
                     "cid", "n", "part", "perm", "embedding"))
 
 
-def link(vectors: DataFrame, cosine: float = COSINE, k: int = NEAREST, shared: int = SHARED,
+def link(vectors: DataFrame, cosine: float = COSINE, k: int | None = None, shared: int = SHARED,
          block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
@@ -178,7 +186,7 @@ def link(vectors: DataFrame, cosine: float = COSINE, k: int = NEAREST, shared: i
         sample = (same.select("k1", "k2", "embedding").orderBy("k1", "k2").limit(pivot_count(same.count()))
                   .select("embedding").collect())
         pivots = choose_pivots([r.embedding for r in sample])
-        described = scratch.store(_describe(same, pivots, k), "described")
+        described = scratch.store(_describe(same, pivots, k or nearest_count(len(pivots))), "described")
         keys = ["label", "pivot", "i", "j"]
         n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
         lists = _posted(described, block).repartition(n, *keys).sortWithinPartitions(*keys)

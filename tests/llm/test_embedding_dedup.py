@@ -86,3 +86,18 @@ def test_pivots_are_thinned():
 
 def test_empty(spark):
     assert E.link(frame(spark, corpus(5)).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("pivots", [180, 8192])
+def test_near_pairs_share_pivots(spark, pivots):
+    """Pairs at the threshold, 16 dimensions, are retrieved at any number of pivots."""
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(1000, 16)))
+    z = rng.normal(size=x.shape)
+    z = unit(z - (z * x).sum(1)[:, None] * x)
+    rows = [(i, 0, 1, v.tolist()) for i, v in enumerate(np.concatenate([x, 0.93 * x + np.sqrt(1 - 0.93 ** 2) * z]))]
+    classes = spark.createDataFrame(rows, "cid long, label int, n long, embedding array<float>")
+    p = unit(rng.normal(size=(pivots, 16))).astype(np.float32)
+    perm = {r.cid: set(r.perm) for r in E._describe(classes, p, E.nearest_count(pivots)).collect()}
+    assert sum(len(perm[i] & perm[1000 + i]) >= E.SHARED for i in range(1000)) >= 999
