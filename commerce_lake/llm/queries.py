@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding_dedup, lm, mixing, pii, quality, sampling, simhash, token_store, toxicity
+from . import (chat, decontaminate, embedding_dedup, lm, mixing, periodic_runs, pii, quality, sampling, simhash, token_store,
+               toxicity)
 from .scratch import Scratch
 
 
@@ -87,9 +88,30 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # every tenth text gets a periodic tail: words from a on repeat the p words there
+    docs = (_table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+            .select("doc_id", "text", "g", F.when(F.col("h") % 10 == 0, periodic_runs.words_of(F.col("text"))).alias("w"))
+            .select("doc_id", "text", "g", "w", F.size("w").alias("n"))
+            .select("doc_id", "text", "g", "w", "n", F.when(F.col("n") > 0, F.col("g") % F.col("n")).alias("a"))
+            .select("doc_id", "text", "w", "a", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p")))
+    made = F.array_join(F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(
+        F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))), " ")
+    texts = docs.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+    best = periodic_runs.longest(F.col("runs"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return (periodic_runs.find_runs(texts).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.k")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * -F.col("best.k") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_embedding_dedup, op3_toxicity, op4_mixing, op5_simhash, op6_token_ids, op7_pii,
-    op8_quality, op9_chat, op10_lm_scoring)}
+    op8_quality, op9_chat, op10_lm_scoring, op12_periodic_runs)}
 
 ORACLE_SQL = {
     # items with fewer than ten words are one window; a window's occurrences are found word by word
