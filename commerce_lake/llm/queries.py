@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, embedding_dedup, lm, mixing, periodic_runs, pii, quality, sampling, simhash, token_store,
-               toxicity)
+from . import (chat, decontaminate, embedding_dedup, hard_negatives, lm, mixing, periodic_runs, pii, quality, sampling, simhash,
+               token_counts, token_store, toxicity)
 from .scratch import Scratch
 
 
@@ -88,6 +88,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), token_store.vocabulary())
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     # every tenth text gets a periodic tail: words from a on repeat the p words there
@@ -109,9 +113,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), label)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_embedding_dedup, op3_toxicity, op4_mixing, op5_simhash, op6_token_ids, op7_pii,
-    op8_quality, op9_chat, op10_lm_scoring, op12_periodic_runs)}
+    op8_quality, op9_chat, op10_lm_scoring, op11_token_counts, op12_periodic_runs, op13_hard_negatives)}
 
 ORACLE_SQL = {
     # items with fewer than ten words are one window; a window's occurrences are found word by word
@@ -176,5 +185,26 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(coded) + 8 + CASE WHEN before IS NULL OR before <> role THEN length(coded_role) + 6 ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 3
 """,
 }

@@ -12,16 +12,14 @@ from commerce_lake.llm.queries import QUERIES
 
 
 def slow_runs(w, least=6, times=4):
-    n, out = len(w), {}
+    codes = {}
+    x, n, out = np.array([codes.setdefault(v, len(codes)) for v in w]), len(w), {}
     for q in range(1, n // times + 1):
-        i = 0
-        while i + q < n:
-            j = i
-            while j + q < n and w[j] == w[j + q]:
-                j += 1
-            if (j > i) and j + q - i >= max(least, times * q):
+        same = np.r_[False, x[q:] == x[:-q], False]
+        first, last = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(~same[1:] & same[:-1])
+        for i, j in zip(first.tolist(), last.tolist()):
+            if j + q - i >= max(least, times * q):
                 out.setdefault((i, j + q - i), q)  # q grows: the first one is the smallest period
-            i = max(j, i + 1)
     return sorted((s, length, q) for (s, length), q in out.items())
 
 
