@@ -1,333 +1,284 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Counts come from all training documents.  Unigrams are smoothed by adding 1/2;
-an n-gram of two or three words is kept when it occurs ``LEAST`` times, a fixed
-count at any corpus size, so the kept n-grams grow with the text.  (``SHARE``, a
-share of the tokens below which n-grams are pruned, is 0.)  Kept n-grams are
-discounted and the rest of a context's mass is handed to the shorter context, so
-every state's probabilities add up to one.
-
-The automaton is a table of arcs.  Its states are contexts, its arcs kept n-grams
-and its failure arcs the backoff weights; the failure weights are pushed onto the
-arcs, so that a text's log10 weight relative to the unigram model is a plain sum:
-a word in front of another adds its backoff weight, a kept pair adds what it gains
-over that and its own backoff weight, a kept triple what it gains over both.
-Arcs of at least ``HOT`` of the tokens (at most 3 / HOT) are looked up on the
-spot, all others are joined on their words.
-
-The text's unigram score is exact for every word: frequent words (``COMMON`` of
-the tokens, so at most 1 / COMMON of them) are looked up on the spot, the rest
-are joined with the count table.  The score is the sum of both.
-
-Frequent words are numbered, other words have 63 bits of their BLAKE2 hash in the
-arc table.  Sieves (hashed bit sets of bounded size) only drop n-grams that
-cannot be kept before a shuffle: those that pass wrongly are counted and joined
-in full.
+The model: words are smoothed by adding 1/2; a pair's and a triple's probability
+mix its count with the shorter context's probability, which weighs like
+``PRIOR`` observations, (n(h w) + K P(w | h')) / (n(h) + K).  Every n-gram of
+the training texts counts, a single one too, so what the model holds grows with
+the text, and the probabilities of every context add up to one.
+
+The automaton: a state is a context that training has seen (the last two words,
+the last word, or nothing); an arc is an n-gram that training has seen, with its
+log10 probability, and leads to the longest context that ends it; a failure arc
+leads to the context one word shorter, with the log10 weight K / (n(h) + K).  A
+text is read once from left to right: it holds a state, takes failure arcs until
+the word has an arc, and adds the weights.
+
+On Spark: the rows are dealt to chunks (by row number, so no text, source or id
+makes one large).  A chunk asks for the training counts of its different n-grams
+- sorted 64-bit hashes, cut into ranges, each a packed difference list - which
+meet by range; sums go back to the chunks in the same order, where they become
+the part of the automaton that the chunk's texts can reach.  The texts are
+shuffled once (both uses read the same exchange), an n-gram is sent once a chunk
+however often it occurs, and no task holds more than a chunk or a range.  Nothing
+is collected but three totals.
+
+Two words (or n-grams) of equal 64-bit hash count as one.
 
 Defined cases: a null or blank text has the end token alone; a null doc_id is
 not held out; without training documents all counts are 0 and every token has
-probability one; repeated rows are counted and scored each; empty tables give
-no rows; further columns are ignored.
+probability one; repeated rows are counted and scored each; a very long text is
+in a chunk like any other; empty tables give no rows; further columns are
+ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import remainder
-from .scratch import Scratch
 
 HELD_OUT_MOD, HELD_OUT = 5, 1
-LEAST, SHARE = 2, 0.0
-COMMON, HOT = 1e-6, 1e-5
-DISCOUNT = 0.75
-END = ""  # no word is empty
-FLUSH_WORDS, FLUSH_GRAMS = 200_000, 1 << 20
-WIDTH = 21  # bits of a frequent word's number; 1 / COMMON words fit
-NONE, GAP = (1 << WIDTH) - 1, 1 << 62  # in place of a missing word of an n-gram; between texts
-SIEVE_BITS = 26  # at most 8 MB
-ARC = "a long, b long, c long"
-
-
-class Ids(dict):
-    """Word bytes to number; any other word has a negative number, its hash."""
-
-    def __missing__(self, word):
-        return -1 - (int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """The text's numbers between the begin mark's and the end token's."""
-        return np.array([len(self), *map(self.__getitem__, words), self[b""]], dtype=np.int64)
-
-
-def _words(text: bytes | None) -> list[bytes]:
-    """A-Z lower-cased, split at the six ASCII white-space bytes."""
-    return (text or b"").lower().split()
-
-
-def _texts(b: pa.RecordBatch, column: int) -> list[bytes | None]:
-    return b.column(column).cast(pa.binary()).to_pylist()
-
-
-def word_counts(train: DataFrame) -> DataFrame:
-    """word and c over all texts, the end token (empty word) included."""
-
-    def run(batches):
-        counts: dict[bytes, int] = {}
-
-        def out():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
-
-        for b in batches:
-            for t in _texts(b, 0):
-                for w in _words(t):
-                    counts[w] = counts.get(w, 0) + 1
-                counts[b""] = counts.get(b"", 0) + 1
-                if len(counts) > FLUSH_WORDS:
-                    yield from out()
-                    counts = {}
-        if counts:
-            yield from out()
-
-    return train.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-def _places(columns: list[np.ndarray], bits: int) -> np.ndarray:
-    """A place of 2 ** bits for each n-gram."""
-    x = np.zeros(len(columns[0]), dtype=np.uint64)
-    for c in columns:
-        x = (x + c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        x ^= x >> np.uint64(32)
-    return (x * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-class Sieve:
-    """Bit set of hashed n-grams (a, b, c): all of the table pass, and few others."""
-
-    def __init__(self, grams: DataFrame):
-        self.bits = bits = min(SIEVE_BITS, max(10, (8 * grams.count()).bit_length()))
-
-        def run(batches):
-            seen = np.zeros(1 << bits, dtype=bool)
-            for b in batches:
-                seen[_places([b.column(i).to_numpy() for i in range(3)], bits)] = True
-            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen, bitorder="little").tobytes()], pa.binary())], ["bits"])
-
-        self.set = np.zeros(1 << bits - 3, dtype=np.uint8)
-        for r in grams.select("a", "b", "c").coalesce(4).mapInArrow(run, "bits binary").collect():
-            self.set |= np.frombuffer(r.bits, dtype=np.uint8)
-
-    def has(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        at = _places([a, b, c], self.bits)
-        return (self.set[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The different rows and how often each is there."""
-    values, place = np.unique(np.concatenate(columns), return_inverse=True)
-    bits = max(1, len(values).bit_length())
-    if bits * len(columns) > 63:
-        rows, n = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
-        return list(rows.T), n
-    key = np.zeros(len(columns[0]), dtype=np.int64)
-    for part in place.reshape(len(columns), -1):
-        key = key << bits | part
-    key, n = np.unique(key, return_counts=True)
-    return [values[key >> bits * i & (1 << bits) - 1] for i in reversed(range(len(columns)))], n
-
-
-def _gram_counts(train: DataFrame, held, order: int, least: float) -> DataFrame:
-    """a, b, c and n of the n-grams that reach ``least``; of triples, those whose pairs pass the sieve are counted."""
-
-    def grams(n, sieve):
-        a, b = n[:-1], n[1:]
-        ok = (a != GAP) & (b != GAP)
-        if order == 3:
-            ok &= sieve.has(a, b, np.full(len(a), NONE))
-            ok = ok[:-1] & ok[1:]
-        columns, times = _distinct([n[i:len(n) - order + 1 + i][ok] for i in range(order)])
-        if order == 2:
-            columns.append(np.full(len(times), NONE))
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*columns, times)], ["a", "b", "c", "n"])
+#: Observations that the shorter context's probability is worth in a pair's and in a triple's context.
+PRIOR = (3000.0, 5.0)
+CHUNK_TOKENS = 3_000_000
+BEGIN, END = b" ", b""  # no word is blank or empty
+_M = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of hashes."""
+    x = a * np.uint64(_M[0]) + b
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(_M[1])
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(_M[2])
+    return x ^ x >> np.uint64(32)
+
+
+class Words:
+    """The texts' words as numbers, a begin mark before and an end token after each text's."""
+
+    def __init__(self, texts: pa.Array):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+        coded = split.flatten().dictionary_encode()
+        code = np.asarray(coded.indices, dtype=np.int64)
+        doc = np.repeat(np.arange(len(split)), np.diff(np.asarray(split.offsets)))
+        found = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        if END in found:  # around white space at a text's ends
+            none = found.index(END)
+            real = code != none
+            code, doc = code[real], doc[real]
+            code -= code > none
+            del found[none]
+        self.words = [*found, BEGIN, END]
+        self.begin, self.end = len(found), len(found) + 1
+        n = np.bincount(doc, minlength=len(split))
+        self.first = np.cumsum(n + 2) - (n + 2)
+        self.size = n + 1  # tokens: words and the end
+        self.seq = np.full(int((n + 2).sum()), self.end, dtype=np.int64)
+        self.seq[self.first] = self.begin
+        self.seq[np.arange(len(code)) + 2 * doc + 1] = code
+        self.doc = np.repeat(np.arange(len(n)), n + 2)
+        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.words), dtype=np.uint64, count=len(self.words))
+
+
+class Grams:
+    """The different words, pairs and triples of a chunk, their keys, and how often each occurs in training texts."""
+
+    def __init__(self, words: Words, training: np.ndarray):
+        w, seq, v = words, words.seq, len(words.words)
+        self.v, self.of = v, words
+        learned = training[w.doc]
+        self.word_count = np.bincount(seq[learned], minlength=v)
+        at = np.flatnonzero(seq[:-1] != w.end)  # a pair begins at each of these
+        self.pairs, pair = np.unique(seq[at] * v + seq[at + 1], return_inverse=True)
+        self.pair_count = np.bincount(pair[learned[at]], minlength=len(self.pairs))
+        next_is_pair = np.flatnonzero(seq[at[:-1] + 1] != w.end) if len(at) else np.zeros(0, np.int64)
+        three = pair[next_is_pair] * v + seq[at[next_is_pair] + 2]
+        self.triples, place, triple = np.unique(three, return_index=True, return_inverse=True)
+        self.triple_count = np.bincount(triple[learned[at[next_is_pair]]], minlength=len(self.triples))
+        self.tail = pair[next_is_pair[place] + 1]  # the pair that ends the triple
+        hash_of_pairs = _mix(w.hash[self.pairs // v], w.hash[self.pairs % v])
+        keys = np.concatenate([_mix(w.hash, np.full(v, 1, np.uint64)), hash_of_pairs,
+                               _mix(hash_of_pairs[self.triples // v], w.hash[self.triples % v])])
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+        self.counts = np.concatenate([self.word_count, self.pair_count, self.triple_count])[self.order]
+
+    def totals(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts in the order of the keys, as those of words, pairs and triples."""
+        out = np.empty(len(counts), dtype=np.int64)
+        out[self.order] = counts
+        return np.split(out, [self.v, self.v + len(self.pairs)])
+
+
+class Automaton:
+    """States, arcs and failure arcs that a chunk's texts can reach, with log10 weights.
+
+    A state is a pair's number, a word's number after those of the pairs, or -1.
+    """
+
+    def __init__(self, grams: Grams, counts: np.ndarray, n: int, v: int, prior: tuple[float, float] = PRIOR):
+        self.g = g = grams
+        words, pairs, triples = g.totals(counts)
+        k2, k3 = prior
+        self.known = words > 0
+        p1 = (words + 0.5) / (n + 0.5 * (v + 1))
+        a, b = g.pairs // g.v, g.pairs % g.v
+        p2 = (pairs + k2 * p1[b]) / (words[a] + k2)
+        head = g.triples // g.v
+        p3 = (triples + k3 * p2[g.tail]) / (pairs[head] + k3)
+        self.word_arc, self.pair_arc, self.triple_arc = np.log10(p1), np.log10(p2), np.log10(p3)
+        self.pair_seen, self.triple_seen = pairs > 0, triples > 0
+        self.word_fails, self.pair_fails = np.log10(k2 / (words + k2)), np.log10(k3 / (pairs + k3))
+        first = len(g.pairs)
+        self.last = b
+        #: the longest known context after a word, and after a pair
+        self.after_word = np.where(words > 0, first + np.arange(g.v), -1)
+        self.after_pair = np.where(pairs > 0, np.arange(first), self.after_word[b])
+
+    def walk(self) -> np.ndarray:
+        """Log10 weight of every text: one pass over its words, all texts of the chunk side by side."""
+        g, w = self.g, self.g.of
+        total = np.zeros(len(w.first))
+        by = np.argsort(-w.size, kind="stable")
+        ends = np.searchsorted(-w.size[by], -np.arange(1, (w.size.max() if len(by) else 0) + 1), side="right")
+        state = np.full(len(by), self.after_word[w.begin])
+        for place, live in enumerate(ends.tolist(), 1):  # the texts of at least ``place`` tokens
+            docs = by[:live]
+            state[:live], weight = self.step(state[:live], w.seq[w.first[docs] + place])
+            total[docs] += weight
+        return total
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and the weights of the failure arcs and the arc taken."""
+        g, pairs = self.g, len(self.g.pairs)
+        weight, to = np.zeros(len(state)), np.full(len(state), -2, dtype=np.int64)
+        deep = np.flatnonzero((state >= 0) & (state < pairs))
+        if len(deep):
+            s = state[deep]
+            k = np.minimum(np.searchsorted(g.triples, s * g.v + word[deep]), len(g.triples) - 1)
+            hit = (g.triples[k] == s * g.v + word[deep]) & self.triple_seen[k] if len(g.triples) else np.zeros(len(deep), bool)
+            weight[deep] = np.where(hit, self.triple_arc[k] if len(g.triples) else 0.0, self.pair_fails[s])
+            to[deep[hit]] = self.after_pair[g.tail[k[hit]]]
+            fails = deep[~hit]
+            state = state.copy()
+            state[fails] = pairs + self.last[state[fails]]
+        one = np.flatnonzero((to == -2) & (state >= 0))
+        if len(one):
+            b = state[one] - pairs
+            k = np.minimum(np.searchsorted(g.pairs, b * g.v + word[one]), pairs - 1)
+            hit = (g.pairs[k] == b * g.v + word[one]) & self.pair_seen[k]
+            weight[one] += np.where(hit, self.pair_arc[k], self.word_fails[b])
+            to[one[hit]] = self.after_pair[k[hit]]
+        rest = np.flatnonzero(to == -2)
+        weight[rest] += self.word_arc[word[rest]]
+        to[rest] = self.after_word[word[rest]]
+        return to, weight
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers with equal bytes side by side, which the shuffle compresses."""
+    return np.ascontiguousarray(np.ascontiguousarray(x, dtype="<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _training(held: pa.ChunkedArray) -> np.ndarray:
+    return ~np.asarray(held.to_numpy(zero_copy_only=False), dtype=bool)
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    out = table.column(name).combine_chunks()
+    return pa.concat_arrays(out.chunks) if isinstance(out, pa.ChunkedArray) else out
+
+
+def totals(slim: DataFrame) -> tuple[int, int, int]:
+    """Training tokens N, different training tokens V, tokens of all texts."""
 
     def run(batches):
-        ids, sieve = held.value
-        wait, size = [], 0
         for b in batches:
-            for t in _texts(b, 0):
-                wait += [n := ids.of(_words(t)), np.array([GAP])]
-                size += len(n)
-                if size > FLUSH_GRAMS:
-                    yield grams(np.concatenate(wait), sieve)
-                    wait, size = [], 0
-        if size:
-            yield grams(np.concatenate(wait), sieve)
-
-    return (train.select("text").mapInArrow(run, f"{ARC}, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= least))
-
-
-def _numbered(counts: DataFrame, held) -> DataFrame:
-    """id and c of the words."""
-
-    def run(batches):
-        ids = held.value[0]
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([ids[w] for w in _texts(b, 0)], pa.int64()), b.column(1)], ["id", "c"])
-
-    return counts.mapInArrow(run, "id long, c long")
-
-
-def _backoff(left, lower):
-    """log10 of the mass that a context hands on over the mass that the shorter one has for it."""
-    return F.log10(F.greatest(1 - F.sum(left), F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12)))
-
-
-def train_arcs(train: DataFrame, counts: DataFrame, ids: Ids, n: int, v: int, starts: int, scratch: Scratch) -> DataFrame:
-    """a, b, c, n and weight of every arc; NONE in place of c for pairs, of b and c for a word's backoff weight."""
-    spark = train.sparkSession
-    least, z = max(float(LEAST), SHARE * n), n + 0.5 * (v + 1)
-    held = spark.sparkContext.broadcast((ids, None))
-    # the begin mark's row is for contexts only: it never follows anything
-    words = scratch.store(_numbered(counts.where(F.col("c") >= least), held).unionByName(
-        spark.createDataFrame([(len(ids), int(starts))], "id long, c long")), "words")
-    first = words.select(F.col("id").alias("a"), F.col("c").alias("context"))
-    second = words.select(F.col("id").alias("b"), ((F.col("c") + 0.5) / F.lit(float(z))).alias("base"))
-    kept = scratch.store(_gram_counts(train, held, 2, least), "pair-counts")
-    pairs = scratch.store(
-        kept.join(first, "a").join(second, "b").select("a", "b", "c", "n", "context", "base", ((F.col("n") - DISCOUNT) / F.col("context")).alias("p2")),
-        "pairs")
-    scratch.drop(kept)
-    held = spark.sparkContext.broadcast((ids, Sieve(pairs)))
-    kept = scratch.store(_gram_counts(train, held, 3, least), "triple-counts")
-    held.unpersist()
-    head = pairs.select("a", "b", F.col("n").alias("n2"))
-    tail = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("p2").alias("lower"))
-    triples = scratch.store(
-        kept.join(head, ["a", "b"]).join(tail, ["b", "c"]).select("a", "b", "c", "n", "lower", ((F.col("n") - DISCOUNT) / F.col("n2")).alias("p3")),
-        "triples")
-    one = pairs.groupBy("a").agg(F.max("context").alias("n"), _backoff(F.col("p2"), F.col("base")).alias("one"))
-    two = triples.groupBy("a", "b").agg(_backoff(F.col("p3"), F.col("lower")).alias("two"))
-    none = F.lit(NONE).cast("long")
-    arcs = scratch.store(
-        one.select("a", none.alias("b"), none.alias("c"), "n", F.col("one").alias("weight"))
-        .unionByName(pairs.join(one.drop("n"), "a").join(two, ["a", "b"], "left").select(
-            "a", "b", "c", "n", (F.log10("p2") - F.log10("base") - F.col("one") + F.coalesce("two", F.lit(0.0))).alias("weight")))
-        .unionByName(triples.join(two, ["a", "b"]).select(
-            "a", "b", "c", "n", (F.log10("p3") - F.log10("lower") - F.col("two")).alias("weight"))), "arcs")
-    scratch.drop(words, kept, pairs, triples)
-    return arcs
-
-
-class Arcs:
-    """The frequent arcs, looked up by key, and the sieve of the others."""
-
-    def __init__(self, ids: Ids, arcs: DataFrame, least: float):
-        # every text has the begin mark, however rare it is among the tokens
-        hot = (F.col("a") >= 0) & (F.col("b") >= 0) & (F.col("c") >= 0) & (
-            (F.col("n") >= least) | ((F.col("a") == len(ids)) & (F.col("b") == NONE)))
-        rows = arcs.where(hot).select("a", "b", "c", "weight").toArrow()  # at most 3 / HOT rows
-        a, b, c, weight = [rows.column(i).to_numpy() for i in range(4)]
-        keys = self.keys_of(a, b, c)
-        order = np.argsort(keys)
-        self.ids, self.keys, self.weights = ids, np.r_[keys[order], np.iinfo(np.int64).max], np.r_[weight[order], 0.0]
-        self.cold = arcs.where(~hot)
-        self.sieve = Sieve(self.cold)
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "cold"}
-
-    @staticmethod
-    def keys_of(a, b, c):
-        return np.where((a >= 0) & (b >= 0) & (c >= 0), a << 2 * WIDTH | b << WIDTH | c, -1)
-
-    def walk(self, words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """All arcs (a, b, c) that a text and its end may take, which of them are frequent, and those arcs' weights."""
-        n = self.ids.of(words)
-        none = np.full(len(n) - 1, NONE)
-        a, b, c = (np.concatenate(x) for x in ((n[:-1], n[:-1], n[:-2]), (none, n[1:], n[1:-1]), (none, none, n[2:])))
-        keys = self.keys_of(a, b, c)
-        at = np.searchsorted(self.keys, keys)
-        hit = self.keys[at] == keys
-        return [a, b, c], hit, self.weights[at[hit]]
-
-
-def train_model(train: DataFrame, scratch: Scratch):
-    """(count table, N, V, frequent words' counts, arcs)."""
-    counts = scratch.store(word_counts(train), "counts")
-    n, v, starts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)),
-                              F.coalesce(F.sum(F.when(F.col("word") == END, F.col("c"))), F.lit(0))).first()
-    common = {r.word.encode(): r.c for r in counts.where(F.col("c") >= COMMON * n).collect()}  # at most 1 / COMMON rows
-    if starts:
-        common[END.encode()] = starts  # however rare among the tokens, each text has one
-    ids = Ids((w, i) for i, w in enumerate(sorted({END.encode(), *common})))
-    arcs = train_arcs(train, counts, ids, n, v, starts, scratch)
-    return counts, n, v, common, Arcs(ids, arcs, HOT * n)
-
-
-def score(docs: DataFrame, mod: int = HELD_OUT_MOD, held: int = HELD_OUT) -> DataFrame:
+            w = Words(b.column(1))
+            token = w.seq != w.begin
+            learned = _training(b.column(0))[w.doc] & token
+            c, t = (np.bincount(w.seq[x], minlength=len(w.words)) for x in (learned, token))
+            yield pa.RecordBatch.from_arrays([pa.array(w.hash.view(np.int64)), pa.array(c, pa.int64()), pa.array(t, pa.int64())], ["h", "c", "t"])
+
+    counts = slim.select("held_out", "text").mapInArrow(run, "h long, c long, t long").groupBy("h").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+    row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.coalesce(F.sum("t"), F.lit(0))).first()
+    return int(row[0]), int(row[1]), int(row[2])
+
+
+ASKED = "chunk int, range int, keys binary, counts binary"
+
+
+def _asked(table: pa.Table, ranges: int) -> pa.Table:
+    """What a chunk asks for: a row a range of keys, with its own training counts."""
+    g = Grams(Words(_column(table, "text")), _training(table.column("held_out")))
+    width = (1 << 64) // ranges + 1
+    at = np.searchsorted(g.keys, np.array([r * width for r in range(ranges)], dtype=np.uint64))
+    rows = [(lo, hi, r) for r, (lo, hi) in enumerate(zip(at.tolist(), [*at.tolist()[1:], len(g.keys)])) if lo < hi]
+    chunk = table.column("chunk")[0].as_py()
+    return pa.table({
+        "chunk": pa.array([chunk] * len(rows), pa.int32()), "range": pa.array([r for _, _, r in rows], pa.int32()),
+        "keys": pa.array([_packed(np.diff(g.keys[lo:hi], prepend=np.uint64(0))) for lo, hi, _ in rows], pa.binary()),
+        "counts": pa.array([_packed(g.counts[lo:hi]) for lo, hi, _ in rows], pa.binary())})
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """The sums over all chunks, to each chunk in the order that it asked in."""
+    keys = [np.cumsum(_unpacked(b), dtype=np.uint64) for b in table.column("keys").to_pylist()]
+    counts = [_unpacked(b).astype(np.int64) for b in table.column("counts").to_pylist()]
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    new = np.r_[True, every[order][1:] != every[order][:-1]]
+    sums = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(new))
+    out = np.empty(len(every), dtype=np.int64)
+    out[order] = sums[np.cumsum(new) - 1]
+    parts = np.split(out, np.cumsum([len(k) for k in keys])[:-1])
+    return pa.table({"chunk": _column(table, "chunk"), "range": _column(table, "range"),
+                     "counts": pa.array([_packed(p) for p in parts], pa.binary())})
+
+
+def score(docs: DataFrame, mod: int = HELD_OUT_MOD, held: int = HELD_OUT, prior: tuple[float, float] = PRIOR,
+          chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lm")
     out = F.coalesce(remainder(F.col("doc_id"), mod) == held, F.lit(False))
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), F.col("text").cast("string").alias("text"))
-    counts, n, v, common, arcs = train_model(slim.where(~F.col("held_out")), scratch)
-    z = n + 0.5 * (v + 1)
-    logs = {w: math.log10((c + 0.5) / z) for w, c in common.items()}
-    shared = spark.sparkContext.broadcast((arcs, logs))
-
-    def run(batches):
-        a, log = shared.value
-        end_log = log.get(b"")
-        for b in batches:
-            rows = {k: [] for k in ("n_tokens", "n_known", "base", "gain", "rare")}
-            for t in _texts(b, 3):
-                w = _words(t)
-                rare = [x for x in w if x not in log]
-                rows["n_tokens"].append(len(w) + 1)
-                rows["n_known"].append(len(w) - len(rare) + (end_log is not None))
-                rows["base"].append(math.fsum([log[x] for x in w if x in log]) + (math.log10(0.5 / z) if end_log is None else end_log))
-                rows["gain"].append(float(a.walk(w)[2].sum()))
-                rows["rare"].append(rare)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(rows["n_tokens"], pa.int64()), pa.array(rows["n_known"], pa.int64()),
-                 pa.array(rows["base"], pa.float64()), pa.array(rows["gain"], pa.float64()),
-                 pa.array(rows["rare"], pa.list_(pa.binary())).cast(pa.list_(pa.string())), b.column(3)],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain", "rare", "text"])
-
-    def others(batches):
-        a = shared.value[0]
-        for b in batches:
-            out = []
-            for row, t in zip(b.column(0).to_pylist(), _texts(b, 1)):
-                columns, hit, _ = a.walk(_words(t))
-                rest = ~hit
-                rest[rest] = a.sieve.has(*[x[rest] for x in columns])
-                if rest.any():
-                    columns, times = _distinct([x[rest] for x in columns])
-                    out.append([np.full(len(times), row), *columns, times])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out)], ["row", "a", "b", "c", "times"])
-
-    walked = scratch.store(
-        slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
-            run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, rare array<string>, text string"),
-        "walked")
-    log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(z)))
-    tail = (walked.select("row", F.explode("rare").alias("word"))
-            .join(counts.where(F.col("c") < COMMON * n), "word", "left")
-            .groupBy("row").agg(F.sum(log).alias("tail"), F.count("c").alias("tail_known")))
-    far = (walked.select("row", "text").mapInArrow(others, f"row long, {ARC}, times long")
-           .join(arcs.cold.select("a", "b", "c", "weight"), ["a", "b", "c"])
-           .groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("far")))
-    base = F.col("base") + F.coalesce("tail", F.lit(0.0))
-    return walked.drop("rare", "text").join(tail, "row", "left").join(far, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(int(n)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain") + F.coalesce("far", F.lit(0.0))).alias("score"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n, v, tokens = totals(slim)
+    chunks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tokens // chunk_tokens))
+    dealt = slim.withColumn("chunk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int"))
+
+    def ask(table):
+        return _asked(table, chunks)
+
+    def scored(texts, answers):
+        if not texts.num_rows:
+            raise RuntimeError("counts came back for a chunk without texts")
+        w = Words(_column(texts, "text"))
+        g = Grams(w, _training(texts.column("held_out")))
+        by = np.argsort(np.asarray(answers.column("range")), kind="stable")
+        sums = [_unpacked(b) for b in answers.column("counts").take(pa.array(by)).to_pylist()]
+        counts = np.concatenate(sums).astype(np.int64) if sums else np.zeros(0, np.int64)
+        if len(counts) != len(g.keys):
+            raise RuntimeError("a chunk's texts are not those that its n-grams were counted for")
+        a = Automaton(g, counts, n, v, prior)
+        token = w.seq != w.begin
+        each = lambda x: np.bincount(w.doc[token], x, minlength=len(w.first))
+        known, base = each(a.known[w.seq[token]]), each(a.word_arc[w.seq[token]])
+        return pa.table({
+            "doc_id": _column(texts, "doc_id"), "held_out": _column(texts, "held_out"), "n_tokens": pa.array(w.size, pa.int64()),
+            "n_known": pa.array(known.astype(np.int64)), "train_tokens": pa.array(np.full(len(w.first), n, np.int64)),
+            "base_score": pa.array(base), "score": pa.array(a.walk())})
+
+    answers = dealt.groupBy("chunk").applyInArrow(ask, ASKED).groupBy("range").applyInArrow(_answered, "chunk int, range int, counts binary")
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

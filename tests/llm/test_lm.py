@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -30,38 +31,22 @@ def held(i):
     return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
 
 
-def slow(rows, share):
-    """score of each text by the recursion P(w | h) = kept or backoff(h) * P(w | shorter h)."""
+def slow(rows, prior=L.PRIOR):
+    """score of each text by the recursion P(w | h) = (n(h w) + K P(w | shorter h)) / (n(h) + K)."""
     docs = [([w for w in words(t) if w], i) for i, t in rows]
     train = [w + [""] for w, i in docs if not held(i)]
     c1 = Counter(w for d in train for w in d)
     n, v = sum(c1.values()), len(c1)
     c2 = Counter(p for d in train for p in zip(["<s>"] + d, d))
     c3 = Counter(p for d in train for p in zip(["<s>"] + d, d, d[1:]))
-    least = max(2, share * n)
-    ok = {w for w, c in c1.items() if c >= least} | {"", "<s>"}
-    k2 = {p: c for p, c in c2.items() if c >= least and set(p) <= ok}
-    k3 = {p: c for p, c in c3.items() if c >= least and p[:2] in k2 and p[1:] in k2}
+    ctx = Counter(a for d in train for a in ["<s>"] + d[:-1])
     base = lambda w: (c1[w] + 0.5) / (n + 0.5 * (v + 1))
-    ctx = lambda w: len(train) if w == "<s>" else c1[w]
 
     def p2(a, b):
-        if (a, b) in k2:
-            return (k2[a, b] - L.DISCOUNT) / ctx(a)
-        kept = [y for x, y in k2 if x == a]
-        if not kept:
-            return base(b)
-        left = 1 - sum((k2[a, y] - L.DISCOUNT) / ctx(a) for y in kept)
-        return left / (1 - sum(map(base, kept))) * base(b)
+        return (c2[a, b] + prior[0] * base(b)) / (ctx[a] + prior[0])
 
     def p3(a, b, c):
-        if (a, b, c) in k3:
-            return (k3[a, b, c] - L.DISCOUNT) / k2[a, b]
-        kept = [z for x, y, z in k3 if (x, y) == (a, b)]
-        if not kept:
-            return p2(b, c)
-        left = 1 - sum((k3[a, b, z] - L.DISCOUNT) / k2[a, b] for z in kept)
-        return left / (1 - sum(p2(b, z) for z in kept)) * p2(b, c)
+        return (c3[a, b, c] + prior[1] * p2(b, c)) / (c2[a, b] + prior[1])
 
     out = []
     for w, i in docs:
@@ -72,22 +57,56 @@ def slow(rows, share):
     return out
 
 
-@pytest.mark.parametrize("common", [1e-6, 0.01])  # the second sends most words through the join
-def test_equals_direct_recursion(spark, monkeypatch, common):
-    monkeypatch.setattr(L, "SHARE", 0.002)
-    monkeypatch.setattr(L, "COMMON", min(common, 0.002))
-    monkeypatch.setattr(L, "FLUSH_WORDS", 20)
-    monkeypatch.setattr(L, "FLUSH_GRAMS", 50)
+@pytest.mark.parametrize("chunk_tokens", [L.CHUNK_TOKENS, 700])
+def test_equals_direct_recursion(spark, chunk_tokens):
     rows = corpus()
-    df = spark.createDataFrame([(*r, 1, "c") for r in rows], "doc_id long, text string, row int, word string")
-    got = sorted((tuple(r) for r in L.score(df).collect()), key=lambda r: (r[0] is None, r[0]))
-    want = sorted(slow(rows, 0.002), key=lambda r: (r[0] is None, r[0]))
+    df = spark.createDataFrame([(*r, 1, "c") for r in rows], "doc_id long, text string, chunk int, range string")
+    got = sorted((tuple(r) for r in L.score(df, chunk_tokens=chunk_tokens).collect()), key=lambda r: (r[0] is None, r[0]))
+    want = sorted(slow(rows), key=lambda r: (r[0] is None, r[0]))
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want):
-        assert g[5] == pytest.approx(w[5], abs=1e-6) and g[6] == pytest.approx(w[6], abs=1e-5), (g, w)
+        assert g[5] == pytest.approx(w[5], rel=1e-9, abs=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9, abs=1e-9), (g, w)
     assert any(abs(g[6] - g[5]) > 1 for g in got)
 
 
+def automaton(rows, prior=L.PRIOR):
+    w = L.Words(pa.array([t for _, t in rows], pa.string()))
+    g = L.Grams(w, np.array([not held(i) for i, _ in rows]))
+    n = int(g.word_count.sum() - g.word_count[w.begin])
+    return w, g, L.Automaton(g, g.counts, n, int((g.word_count > 0).sum()) - bool(g.word_count[w.begin]), prior)
+
+
+def test_states_arcs_and_failures():
+    """A hand-made corpus: the state after each word is the longest context seen in training."""
+    learned = [i for i in range(99) if not held(i)]
+    rows = [(learned[0], "a b c"), (learned[1], "a b d"), (next(i for i in range(99) if held(i)), "a b zz c a")]
+    w, g, a = automaton(rows)
+    number = {x: i for i, x in enumerate(w.words)}
+    pair = {(w.words[p // g.v], w.words[p % g.v]): i for i, p in enumerate(g.pairs.tolist())}
+    state, states = np.array([a.after_word[w.begin]]), []
+    for x in (b"a", b"b", b"zz", b"c", b"a", b""):
+        state, _ = a.step(state, np.array([number[x]]))
+        states.append(int(state[0]))
+    one = lambda x: len(g.pairs) + number[x]
+    assert states == [pair[b" ", b"a"], pair[b"a", b"b"], -1, one(b"c"), one(b"a"), one(b"")]
+
+
+def test_probabilities_of_a_context_add_up_to_one():
+    rows = [(i, t) for i, t in corpus() if i is not None and not held(i)][:200]
+    w, g, a = automaton(rows)
+    every = np.array([i for i in range(g.v) if i != w.begin])
+    for state in [-1, *range(0, len(g.pairs), 97), *(len(g.pairs) + np.arange(0, g.v, 7))]:
+        if not -1 <= state < len(g.pairs) or w.end != g.pairs[state] % g.v:
+            _, weight = a.step(np.full(len(every), state), every)
+            left = 0.5 / (g.word_count[every].sum() + 0.5 * ((g.word_count[every] > 0).sum() + 1))  # of an unknown word
+            path = 1.0
+            if 0 <= state < len(g.pairs):
+                path, state = 10 ** a.pair_fails[state], len(g.pairs) + a.last[state]
+            if state >= 0:
+                path *= 10 ** a.word_fails[state - len(g.pairs)]
+            assert (10 ** weight).sum() + path * left == pytest.approx(1)
+
+
 def test_empty_and_untrained(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert L.score(df.limit(0)).count() == 0
@@ -96,27 +115,22 @@ def test_empty_and_untrained(spark):
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
 
 
-@pytest.mark.parametrize("hot", [1e-5, 0.05])  # the second sends most arcs through the join
-def test_every_ngram_seen_twice_is_kept(spark, monkeypatch, hot):
-    monkeypatch.setattr(L, "HOT", hot)
-    monkeypatch.setattr(L, "COMMON", 0.002)
-    rows = corpus()
-    got = sorted((tuple(r) for r in L.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=lambda r: (r[0] is None, r[0]))
-    want = sorted(slow(rows, 0), key=lambda r: (r[0] is None, r[0]))
-    assert [g[:5] for g in got] == [w[:5] for w in want]
-    for g, w in zip(got, want):
-        assert g[5] == pytest.approx(w[5], abs=1e-6) and g[6] == pytest.approx(w[6], abs=1e-5), (g, w)
-
-
-def test_kept_ngrams_grow_with_other_text(spark):
-    """Pairs seen twice stay kept when 250,000 other tokens come, where a share of the tokens (1e-5) would ask for 3."""
-    def pairs(rows):
-        df = spark.createDataFrame(rows, "doc_id long, text string")
-        arcs = L.train_model(df, L.Scratch(spark, "lm-test"))[4]
-        sets = arcs.cold.where((F.col("b") != L.NONE) & (F.col("c") == L.NONE)).count()
-        return sets + int(((arcs.keys[:-1] >> L.WIDTH & L.NONE) != L.NONE).sum() - ((arcs.keys[:-1] & L.NONE) != L.NONE).sum())
-
-    few = [(2 * i + j, f"x{i} y{i}") for i in range(50) for j in range(2)]
-    other = [(1000 + 2 * i + j, " ".join(f"u{i}v{k}" for k in range(500))) for i in range(250) for j in range(2)]
-    assert (small := pairs(few)) == 150  # begin x, x y, y end
-    assert pairs(few + other) == small + 250 * 501
+def test_every_ngram_counts_however_much_other_text_there_is(spark):
+    """Single n-grams keep their arcs when 125,000 other tokens come: the score changes by the larger N and V alone."""
+    some, turned = [i for i in range(10_000, 10_100) if held(i)][:2]
+    few = [(10 * i, f"x{i} y{i}") for i in range(50)] + [(some, "x0 y0"), (turned, "y0 x0")]
+    assert not held(0)
+    other = [(1000 + i, " ".join(f"u{i}v{k}" for k in range(500))) for i in range(250)]
+    for rows in (few, few + other):
+        got = {r.doc_id: r for r in L.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        want = {w[0]: w for w in slow(rows)}
+        assert got[some].score == pytest.approx(want[some][6]) and got[turned].score == pytest.approx(want[turned][6])
+        assert got[some].base_score == pytest.approx(got[turned].base_score) and got[some].score > got[turned].score + 0.1
+
+
+def test_held_out_texts_gain(spark):
+    base = "/root/testdata/sf0.01"
+    rows = L.score(spark.read.parquet(f"{base}/documents.parquet")).where("held_out").agg(
+        F.sum("base_score"), F.sum("score")).first()
+    print("held-out log10, base and model", rows)
+    assert rows[1] > 0.94 * rows[0]
