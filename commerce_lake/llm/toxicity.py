@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import labelled_sample, remainder
+from .sampling import labelled_texts, remainder
 
 DECAY, SPAN, PIECE, STEP = 0.6, 6, 24, 16
 LANDMARKS, ROUNDS = 192, 5
@@ -226,30 +226,48 @@ def _platt(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
+def units_of(text: str | None) -> list[str]:
+    """The different words of a text, sorted."""
+    return sorted({u for t in tokens(text) for u in units(t)})
+
+
 def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | Constant:
     """A model from (text, label) rows; deterministic in the order of ``rows``."""
-    y = np.array([r[1] for r in rows], dtype=int)
+    return fit_bags(pa.array([units_of(t) for t, _ in rows], pa.list_(pa.string())), np.array([y for _, y in rows], dtype=int), landmarks)
+
+
+def fit_bags(bags: pa.ListArray, y: np.ndarray, landmarks: int = LANDMARKS) -> Model | Constant:
+    """A model from the texts' words (without repeats) and labels.
+
+    Held at a time: the words as one Arrow dictionary, a number per word of each
+    text, a margin per word, and kernel rows for the words that train.
+    """
     if not len(y) or y.min() == y.max():
         return Constant(float(y.mean()) if len(y) else 0.0)
-    seen: dict[str, int] = {}  # words to numbers, so that a word is held once however many texts have it
-    members = [np.array(sorted({seen.setdefault(u, len(seen)) for t in sorted(tokens(text)) for u in units(t)}), dtype=np.int32)
-               for text, _ in rows]
-    vocabulary = list(seen)
-    df = [Counter(), Counter()]
-    for bag, label in zip(members, y):
-        df[label].update([vocabulary[i] for i in bag])
+    coded = bags.values.dictionary_encode()
+    vocabulary = coded.dictionary.to_pylist()
+    by_text = sorted(range(len(vocabulary)), key=vocabulary.__getitem__)
+    number = np.empty(len(vocabulary), dtype=np.int32)
+    number[by_text] = np.arange(len(by_text), dtype=np.int32)  # words are numbered in text order, which breaks ties
+    vocabulary = [vocabulary[i] for i in by_text]
+    codes, at = number[np.asarray(coded.indices)] if len(vocabulary) else np.zeros(0, np.int32), np.asarray(bags.offsets)
+    members = [codes[lo:hi] for lo, hi in zip(at[:-1], at[1:])]
+    label_of = np.repeat(y, np.diff(at))
+    df = [np.bincount(codes[label_of == c], minlength=len(vocabulary)) for c in (0, 1)]
     n_docs = [(y == 0).sum(), (y == 1).sum()]
     # texts with the word times its log lift over the clean texts, beyond a lift of 3
-    evidence = {u: n * np.log((n + 0.5) / n_docs[1] * n_docs[0] / (df[0][u] + 0.5) / 3) for u, n in df[1].items()}
-    toxic = [u for u in sorted(evidence, key=lambda u: (-evidence[u], u))[:landmarks // 2] if evidence[u] > 0]
-    if not toxic:
+    evidence = df[1] * np.log((df[1] + 0.5) / n_docs[1] * n_docs[0] / (df[0] + 0.5) / 3)
+    toxic = np.argsort(-evidence, kind="stable")[:landmarks // 2]
+    toxic = toxic[evidence[toxic] > 0]
+    if not len(toxic):
         return Constant(float(y.mean()))
-    clean = [u for u in sorted(df[0], key=lambda u: (-df[0][u], u)) if u not in set(toxic)][:landmarks - len(toxic)]
-    marks = toxic + clean
+    common = np.argsort(-df[0], kind="stable")
+    common = common[df[0][common] > 0]
+    clean = common[~np.isin(common, toxic)][:landmarks - len(toxic)]
+    marks = [vocabulary[i] for i in (*toxic, *clean)]
     letters = Counter(c for w in marks for c in w)
     triples = Triples("".join(sorted(letters, key=lambda c: (-letters[c], c))))
 
-    place = seen
     size = SYMBOLS ** 3
     key, weight = triples.of(marks)
     used = np.unique(key[key >= 0])
@@ -260,58 +278,72 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | Cons
         ok = key[j] >= 0
         np.add.at(maps[:, j], row_of[key[j][ok]], weight[j][ok] / n)
 
-    def kernel(words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(marks)), dtype=np.float32)
-        for idx in _by_length(words, 512):
+    def kernel(words: list[str], columns: np.ndarray = maps) -> np.ndarray:
+        out = np.zeros((len(words), columns.shape[1]), dtype=np.float32)
+        for idx in _by_length(words, 64):
             k, w = triples.of([words[i] for i in idx])
             norm = triples.norms(k, w)
             rows_ = np.where(k >= 0, row_of[np.maximum(k, 0)], 0)
-            out[idx] = np.einsum("rt,rtm->rm", w.astype(np.float32), maps[rows_]) / norm[:, None]
+            out[idx] = np.einsum("rt,rtm->rm", w.astype(np.float32), columns[rows_]) / norm[:, None]
         return out
 
     kmm = kernel(marks).astype(float)
     val, vec = np.linalg.eigh((kmm + kmm.T) / 2)
     half = vec @ np.diag(np.where(val > 1e-4, 1 / np.sqrt(np.maximum(val, 1e-4)), 0.0)) @ vec.T  # K_mm^(-1/2)
-    strength = np.sqrt([evidence[u] / evidence[toxic[0]] for u in toxic])
-    x = np.empty((len(vocabulary), len(marks)), dtype=np.float32)
+    strength = np.sqrt(evidence[toxic] / evidence[toxic[0]])
+    toxic_maps = np.ascontiguousarray(maps[:, :len(toxic)])
     margin = np.empty(len(vocabulary))
-    for at in range(0, len(vocabulary), 8192):
-        k = kernel(vocabulary[at:at + 8192])
-        margin[at:at + 8192] = (k[:, :len(toxic)] * strength).max(1)
-        x[at:at + 8192] = k @ half.astype(np.float32)
+    for lo in range(0, len(vocabulary), 8192):
+        margin[lo:lo + 8192] = (kernel(vocabulary[lo:lo + 8192], toxic_maps) * strength).max(1)
 
-    beta, bias = None, 0.0
+    model = None
     # a toxic text's witness has to be rarer in clean texts; texts without such a word teach nothing
-    plausible = np.array([evidence.get(u, 0.0) > 0 for u in vocabulary])
-    witnesses_of = [m[plausible[m]] for m, label in zip(members, y) if label == 1]
+    witnesses_of = [m[evidence[m] > 0] for m, label in zip(members, y) if label == 1]
     met = Counter()
-    common = np.array([place[u] for u in sorted(df[0], key=lambda u: (-df[0][u], u))[:4000]], dtype=int)
     for _ in range(ROUNDS):
         top = [m[np.argmax(margin[m])] for m in witnesses_of if len(m)]
         worst = [m[np.argsort(-margin[m], kind="stable")[:3]] for m, label in zip(members, y) if len(m) and label == 0]
         witnesses, times = np.unique(np.array(top, dtype=int), return_counts=True)
         met += Counter(np.concatenate(worst).tolist()) if worst else Counter()  # hard negatives stay once met
-        against = np.array(sorted(set(common.tolist()) | set(met)), dtype=int)
+        against = np.array(sorted(set(common[:4000].tolist()) | set(met)), dtype=int)
         if not len(witnesses) or not len(against):
             return Constant(float(y.mean()))
         idx = np.concatenate([witnesses, against])
         sign = np.r_[np.ones(len(witnesses)), -np.ones(len(against))]
         often = np.array([1.0 + met[i] for i in against.tolist()])
         balance = np.r_[0.5 * times / times.sum(), 0.5 * often / often.sum()]
-        w, bias = _hinge(x[idx].astype(float), sign, balance)
-        beta = half @ w
-        margin = x @ w + bias
-    table = np.zeros(size, dtype=np.float32)
-    table[used] = maps[1:] @ beta
-    model = Model(triples, table, bias, 1.0, 0.0)
+        w, bias = _hinge(kernel([vocabulary[i] for i in idx]).astype(float) @ half, sign, balance)
+        table = np.zeros(size, dtype=np.float32)
+        table[used] = maps[1:] @ (half @ w)
+        model = Model(triples, table, bias, 1.0, 0.0)
+        margin = model.margins(vocabulary)
     doc = np.array([margin[m].max() if len(m) else bias - 1.0 for m in members])
     model.slope, model.shift = _platt(np.maximum(doc, bias - 1.0), y)
     return model
 
 
+def labelled_bags(docs: DataFrame, labels: DataFrame, usable, per_class: dict[int, int]) -> tuple[pa.ListArray, np.ndarray]:
+    """Words and label of the sample's rows, by id, label and words; the executors take the words out of the texts."""
+
+    def run(batches):
+        for b in batches:
+            words = pa.array([units_of(t) for t in b.column(1).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), words], ["doc_id", "y", "units"])
+
+    rows = (labelled_texts(docs, labels, "toxic", usable, per_class).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y")
+            .mapInArrow(run, "doc_id long, y int, units array<string>")
+            .select("doc_id", "y", "units", F.xxhash64("units").alias("h")).toArrow().combine_chunks())
+    keys = [rows.column(c).to_pylist() for c in ("doc_id", "y", "h")]
+    # equal rows count once
+    order = sorted({k: i for i, k in reversed(list(enumerate(zip(*keys))))}.items())
+    taken = rows.take(pa.array([i for _, i in order], pa.int64()))
+    bags = taken.column("units").combine_chunks()
+    return bags.chunk(0) if isinstance(bags, pa.ChunkedArray) else bags, np.array([k[1] for k, _ in order], dtype=int)
+
+
 def train(docs: DataFrame, labels: DataFrame, usable=None) -> Model | Constant:
     usable = usable or (lambda i: remainder(i, HELD_OUT_MOD) != HELD_OUT)
-    return fit(labelled_sample(docs, labels, "toxic", usable, PER_CLASS))
+    return fit_bags(*labelled_bags(docs, labels, usable, PER_CLASS))
 
 
 def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:

@@ -103,17 +103,22 @@ def test_held_out_accuracy():
 
 def test_held_out_accuracy_of_train(spark, monkeypatch):
     """train() with its production bounds, on more labels of both classes than they take."""
-    base = "/root/testdata/check_s"
-    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
-    taken, fit = [], T.fit
-    monkeypatch.setattr(T, "fit", lambda rows: taken.extend(rows) or fit(rows))
+    rows = sentences(8000)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    taken, fit = [], T.fit_bags
+    monkeypatch.setattr(T, "fit_bags", lambda bags, y: taken.extend(y.tolist()) or fit(bags, y))
     m = T.train(docs, labels, lambda i: T.remainder(i, 10) != 1)
-    ys = [y for _, y in taken]
-    assert ys.count(0) >= 0.95 * 1800 and ys.count(1) >= 0.95 * 1500  # texts over the length bound are not used
-    test = (docs.select("doc_id", "text").join(labels.where("toxic is not null").select("doc_id", "toxic"), "doc_id")
-            .where(T.remainder(labels["doc_id"], 10) == 1).collect())
-    p = np.array(m.scores([r.text for r in test])) >= T.THRESHOLD
-    y = np.array([r.toxic for r in test]) == 1
-    figures = (p == y).mean(), (p & y).sum() / y.sum(), (p & ~y).sum() / (~y).sum()
-    print("accuracy, recall, false alarms", len(test), figures)
-    assert figures[0] > 0.95 and figures[1] > 0.8 and figures[2] < 0.03
+    assert taken.count(0) == T.PER_CLASS[0] and taken.count(1) == T.PER_CLASS[1]
+    test = [(t, y) for i, (t, y) in enumerate(rows) if zlib.crc32(str(i).encode()) % 10 == 1]
+    p = np.array(m.scores([t for t, _ in test])) >= T.THRESHOLD
+    y = np.array([y for _, y in test]) == 1
+    assert len(test) > 500 and (p == y).mean() > 0.95 and (p & y).sum() / y.sum() > 0.8 and (p & ~y).sum() / (~y).sum() < 0.03
+
+
+def test_words_taken_on_executors_are_those_of_the_texts(spark):
+    rows = [(3, "The garden, idiot"), (1, "b  a"), (1, "b  a"), (2, None), (4, "x" * 60_000), (None, "lost")]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, y string")
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, 1), (None, 1)], "doc_id long, toxic int")
+    bags, y = T.labelled_bags(docs, labels, lambda i: i.isNotNull(), T.PER_CLASS)
+    assert bags.to_pylist() == [T.units_of("b  a"), [], T.units_of("The garden, idiot")] and y.tolist() == [0, 0, 1]
