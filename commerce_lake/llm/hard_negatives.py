@@ -46,7 +46,7 @@ from .scratch import Scratch
 EVERY, POSITIVES, NEGATIVES = 50, 5, 3
 LOW, HIGH = 50, 95  # percent of the positive's score
 SCALE = 256
-SHARD_ROWS = 50_000
+SHARD_ROWS, LEAST_SHARD_ROWS = 50_000, 2_000
 SAMPLE, MAX_CODES, ROUNDS = 20_000, 64, 8
 LIST_ROWS = 24  # rows a cell that the number of codes aims at
 BLOCK_ROWS = 512  # rows that are scored at once
@@ -291,7 +291,8 @@ def _answers_of_negatives(n: int, low: int, high: int):
 
 def _mine_length(spark, rows: DataFrame, dim: int, n_rows: int, scratch: Scratch, every: int, positives: int, negatives: int,
                  low: int, high: int, shard_rows: int) -> DataFrame:
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // shard_rows))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, -(-n_rows // shard_rows), min(parts, n_rows // LEAST_SHARD_ROWS))  # each shard answers every anchor
     sample = rows.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     codes = max(2, min(MAX_CODES, int(np.sqrt(n_rows / shards / LIST_ROWS))))
     books = codebooks(np.array([r.v for r in sample], dtype=np.float64).reshape(len(sample), dim), codes)
