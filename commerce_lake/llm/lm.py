@@ -15,14 +15,16 @@ the word has an arc, and adds the weights.
 
 On Spark: the rows are dealt to chunks (by row number, so no text, source or id
 makes one large).  A chunk asks for the training counts of its different n-grams
-- sorted 64-bit hashes, cut into ranges, each a packed difference list - which
-meet by range; sums go back to the chunks in the same order, where they become
+- sorted hashes, cut into ranges, each a packed difference list - which meet by
+range; sums go back to the chunks in the same order, where they become
 the part of the automaton that the chunk's texts can reach.  The texts are
 shuffled once (both uses read the same exchange), an n-gram is sent once a chunk
 however often it occurs, and no task holds more than a chunk or a range.  Nothing
 is collected but three totals.
 
-Two words (or n-grams) of equal 64-bit hash count as one.
+N-grams of equal hash count as one.  Hashes get two bits a doubling of the
+tokens (``hash_bits``, 64 at most), so of a whole corpus's n-grams some dozens
+collide, at any size up to 2^34 tokens.
 
 Defined cases: a null or blank text has the end token alone; a null doc_id is
 not held out; without training documents all counts are 0 and every token has
@@ -45,7 +47,7 @@ from .sampling import remainder
 HELD_OUT_MOD, HELD_OUT = 5, 1
 #: Observations that the shorter context's probability is worth in a pair's and in a triple's context.
 PRIOR = (3000.0, 5.0)
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_200_000
 BEGIN, END = b" ", b""  # no word is blank or empty
 _M = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 
@@ -60,6 +62,10 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
+def hash_bits(tokens: int) -> int:
+    return min(64, max(40, 2 * int(tokens).bit_length() - 4))
+
+
 class Words:
     """The texts' words as numbers, a begin mark before and an end token after each text's."""
 
@@ -83,32 +89,60 @@ class Words:
         self.seq = np.full(int((n + 2).sum()), self.end, dtype=np.int64)
         self.seq[self.first] = self.begin
         self.seq[np.arange(len(code)) + 2 * doc + 1] = code
-        self.doc = np.repeat(np.arange(len(n)), n + 2)
+        self.doc = np.repeat(np.arange(len(n), dtype=np.int32), n + 2)
         self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.words), dtype=np.uint64, count=len(self.words))
 
 
+def _counted(key: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and how often each is learned from."""
+    k = np.sort(key << 1 | ~learned)
+    first = np.flatnonzero(np.r_[True, k[1:] >> 1 != k[:-1] >> 1]) if len(k) else np.zeros(0, np.int64)
+    return k[first] >> 1, np.add.reduceat(1 - (k & 1), first) if len(k) else np.zeros(0, np.int64)
+
+
+def _keys(w: Words, pairs: np.ndarray, of_pair: np.ndarray, third: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes of the words, the pairs and the triples (the number of their pair, their last word)."""
+    v = len(w.words)
+    hashed = _mix(w.hash[pairs // v], w.hash[pairs % v])
+    keys = [_mix(w.hash, np.full(v, 1, np.uint64)), hashed, _mix(hashed[of_pair], w.hash[third])]
+    return np.concatenate(keys) >> np.uint64(64 - bits)
+
+
+def gram_counts(w: Words, training: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of a chunk's different words, pairs and triples, and their counts in its training texts."""
+    seq, v, learned = w.seq, len(w.words), training[w.doc]
+    at = np.flatnonzero(seq[:-1] != w.end)
+    key = seq[at] * v + seq[at + 1]
+    pairs, n2 = _counted(key, learned[at])
+    more = np.flatnonzero(seq[at + 1] != w.end)
+    if v ** 3 < 1 << 61:
+        triples, n3 = _counted(key[more] * v + seq[at[more] + 2], learned[at[more]])
+        of_pair = np.searchsorted(pairs, triples // v)
+    else:
+        number = np.searchsorted(pairs, key[more])
+        triples, n3 = _counted(number * v + seq[at[more] + 2], learned[at[more]])
+        of_pair = triples // v
+    keys = _keys(w, pairs, of_pair, triples % v, bits)
+    order = np.argsort(keys)
+    return keys[order], np.concatenate([np.bincount(seq[learned], minlength=v), n2, n3])[order]
+
+
 class Grams:
-    """The different words, pairs and triples of a chunk, their keys, and how often each occurs in training texts."""
+    """The different words, pairs and triples of a chunk, and where each place of its texts has them (-1: none begins)."""
 
-    def __init__(self, words: Words, training: np.ndarray):
+    def __init__(self, words: Words, bits: int = 64):
         w, seq, v = words, words.seq, len(words.words)
         self.v, self.of = v, words
-        learned = training[w.doc]
-        self.word_count = np.bincount(seq[learned], minlength=v)
         at = np.flatnonzero(seq[:-1] != w.end)  # a pair begins at each of these
         self.pairs, pair = np.unique(seq[at] * v + seq[at + 1], return_inverse=True)
-        self.pair_count = np.bincount(pair[learned[at]], minlength=len(self.pairs))
-        next_is_pair = np.flatnonzero(seq[at[:-1] + 1] != w.end) if len(at) else np.zeros(0, np.int64)
-        three = pair[next_is_pair] * v + seq[at[next_is_pair] + 2]
-        self.triples, place, triple = np.unique(three, return_index=True, return_inverse=True)
-        self.triple_count = np.bincount(triple[learned[at[next_is_pair]]], minlength=len(self.triples))
-        self.tail = pair[next_is_pair[place] + 1]  # the pair that ends the triple
-        hash_of_pairs = _mix(w.hash[self.pairs // v], w.hash[self.pairs % v])
-        keys = np.concatenate([_mix(w.hash, np.full(v, 1, np.uint64)), hash_of_pairs,
-                               _mix(hash_of_pairs[self.triples // v], w.hash[self.triples % v])])
-        self.order = np.argsort(keys, kind="stable")
+        more = np.flatnonzero(seq[at + 1] != w.end)  # the next pair begins at the next place
+        self.triples, place, triple = np.unique(pair[more] * v + seq[at[more] + 2], return_index=True, return_inverse=True)
+        self.tail = pair[more[place] + 1]  # the pair that ends the triple
+        self.pair_at, self.triple_at = (np.full(len(seq), -1, dtype=np.int32) for _ in range(2))
+        self.pair_at[at], self.triple_at[at[more]] = pair, triple
+        keys = _keys(w, self.pairs, self.triples // v, self.triples % v, bits)
+        self.order = np.argsort(keys)
         self.keys = keys[self.order]
-        self.counts = np.concatenate([self.word_count, self.pair_count, self.triple_count])[self.order]
 
     def totals(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts in the order of the keys, as those of words, pairs and triples."""
@@ -142,40 +176,61 @@ class Automaton:
         self.after_word = np.where(words > 0, first + np.arange(g.v), -1)
         self.after_pair = np.where(pairs > 0, np.arange(first), self.after_word[b])
 
+    def compiled(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each place of the texts and each length of the state's context (0, 1, 2): weight, and the next length."""
+        g, w = self.g, self.g.of
+        pairs, none = len(g.pairs), np.full(1, -1, dtype=np.int32)
+        pair = np.r_[none, g.pair_at[:-1]]  # that ends here
+        before = np.r_[none, pair[:-1]]  # that ends one place before
+        triple = np.r_[none, none, g.triple_at[:-2]]
+        word = np.r_[w.end, w.seq[:-1]]
+        weights, lengths = np.empty((3, len(w.seq))), np.empty((3, len(w.seq)), dtype=np.int8)
+        for lo in range(0, len(word), 1 << 18):
+            some = slice(lo, lo + (1 << 18))
+            for k, state in enumerate((np.full(len(word[some]), -1), pairs + word[some], before[some])):
+                to, weights[k, some] = self.step(state, w.seq[some], pair[some], triple[some])
+                lengths[k, some] = np.where(to < 0, 0, np.where(to < pairs, 2, 1))
+        return weights, lengths
+
     def walk(self) -> np.ndarray:
         """Log10 weight of every text: one pass over its words, all texts of the chunk side by side."""
-        g, w = self.g, self.g.of
-        total = np.zeros(len(w.first))
+        w = self.g.of
+        weights, lengths = (x.ravel() for x in self.compiled())
         by = np.argsort(-w.size, kind="stable")
+        at = w.first[by]
         ends = np.searchsorted(-w.size[by], -np.arange(1, (w.size.max() if len(by) else 0) + 1), side="right")
-        state = np.full(len(by), self.after_word[w.begin])
+        total, state = np.zeros(len(by)), np.full(len(by), int(self.after_word[w.begin] >= 0))
         for place, live in enumerate(ends.tolist(), 1):  # the texts of at least ``place`` tokens
-            docs = by[:live]
-            state[:live], weight = self.step(state[:live], w.seq[w.first[docs] + place])
-            total[docs] += weight
-        return total
-
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next states, and the weights of the failure arcs and the arc taken."""
+            arc = state[:live] * len(w.seq) + at[:live] + place
+            total[:live] += weights[arc]
+            state = lengths[arc].astype(np.int64)
+        out = np.empty_like(total)
+        out[by] = total
+        return out
+
+    def step(self, state: np.ndarray, word: np.ndarray, pair: np.ndarray, triple: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and the weights of the failure arcs and the arc taken.
+
+        ``pair`` and ``triple`` number the arcs that read ``word`` from a
+        one-word and a two-word state (-1: the chunk has no such arc).
+        """
         g, pairs = self.g, len(self.g.pairs)
+        deep = (state >= 0) & (state < pairs)
+        three = deep & (triple >= 0)
+        three[three] = self.triple_seen[triple[three]]
         weight, to = np.zeros(len(state)), np.full(len(state), -2, dtype=np.int64)
-        deep = np.flatnonzero((state >= 0) & (state < pairs))
-        if len(deep):
-            s = state[deep]
-            k = np.minimum(np.searchsorted(g.triples, s * g.v + word[deep]), len(g.triples) - 1)
-            hit = (g.triples[k] == s * g.v + word[deep]) & self.triple_seen[k] if len(g.triples) else np.zeros(len(deep), bool)
-            weight[deep] = np.where(hit, self.triple_arc[k] if len(g.triples) else 0.0, self.pair_fails[s])
-            to[deep[hit]] = self.after_pair[g.tail[k[hit]]]
-            fails = deep[~hit]
-            state = state.copy()
-            state[fails] = pairs + self.last[state[fails]]
-        one = np.flatnonzero((to == -2) & (state >= 0))
-        if len(one):
-            b = state[one] - pairs
-            k = np.minimum(np.searchsorted(g.pairs, b * g.v + word[one]), pairs - 1)
-            hit = (g.pairs[k] == b * g.v + word[one]) & self.pair_seen[k]
-            weight[one] += np.where(hit, self.pair_arc[k], self.word_fails[b])
-            to[one[hit]] = self.after_pair[k[hit]]
+        weight[three] = self.triple_arc[triple[three]]
+        to[three] = self.after_pair[g.tail[triple[three]]]
+        fails = np.flatnonzero(deep & ~three)
+        weight[fails] = self.pair_fails[state[fails]]
+        word_state = np.where(deep, 0, state - pairs)
+        word_state[fails] = self.last[state[fails]]
+        one = np.flatnonzero(~three & (word_state >= 0))
+        b, k = word_state[one], pair[one]
+        hit = k >= 0
+        hit[hit] = self.pair_seen[k[hit]]
+        weight[one] += np.where(hit, self.pair_arc[k] if pairs else 0.0, self.word_fails[b])
+        to[one[hit]] = self.after_pair[k[hit]]
         rest = np.flatnonzero(to == -2)
         weight[rest] += self.word_arc[word[rest]]
         to[rest] = self.after_word[word[rest]]
@@ -208,32 +263,36 @@ def totals(slim: DataFrame) -> tuple[int, int, int]:
             w = Words(b.column(1))
             token = w.seq != w.begin
             learned = _training(b.column(0))[w.doc] & token
-            c, t = (np.bincount(w.seq[x], minlength=len(w.words)) for x in (learned, token))
-            yield pa.RecordBatch.from_arrays([pa.array(w.hash.view(np.int64)), pa.array(c, pa.int64()), pa.array(t, pa.int64())], ["h", "c", "t"])
-
-    counts = slim.select("held_out", "text").mapInArrow(run, "h long, c long, t long").groupBy("h").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
-    row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.coalesce(F.sum("t"), F.lit(0))).first()
+            c = np.bincount(w.seq[learned], minlength=len(w.words))
+            met = np.flatnonzero(c)
+            # the null word holds the number of all tokens
+            yield pa.RecordBatch.from_arrays([pa.array([*w.hash[met].view(np.int64).tolist(), None], pa.int64()),
+                                              pa.array(np.r_[c[met], token.sum()].astype(np.int64))], ["h", "c"])
+
+    counts = slim.select("held_out", "text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    total = lambda on: F.coalesce(F.sum(F.when(on, F.col("c"))), F.lit(0))
+    row = counts.agg(total(F.col("h").isNotNull()), F.count("h"), total(F.col("h").isNull())).first()
     return int(row[0]), int(row[1]), int(row[2])
 
 
 ASKED = "chunk int, range int, keys binary, counts binary"
 
 
-def _asked(table: pa.Table, ranges: int) -> pa.Table:
+def _asked(table: pa.Table, ranges: int, bits: int) -> pa.Table:
     """What a chunk asks for: a row a range of keys, with its own training counts."""
-    g = Grams(Words(_column(table, "text")), _training(table.column("held_out")))
-    width = (1 << 64) // ranges + 1
-    at = np.searchsorted(g.keys, np.array([r * width for r in range(ranges)], dtype=np.uint64))
-    rows = [(lo, hi, r) for r, (lo, hi) in enumerate(zip(at.tolist(), [*at.tolist()[1:], len(g.keys)])) if lo < hi]
+    keys, counts = gram_counts(Words(_column(table, "text")), _training(table.column("held_out")), bits)
+    width = (1 << bits) // ranges + 1
+    at = np.searchsorted(keys, np.array([r * width for r in range(ranges)], dtype=np.uint64))
+    rows = [(lo, hi, r) for r, (lo, hi) in enumerate(zip(at.tolist(), [*at.tolist()[1:], len(keys)])) if lo < hi]
     chunk = table.column("chunk")[0].as_py()
     return pa.table({
         "chunk": pa.array([chunk] * len(rows), pa.int32()), "range": pa.array([r for _, _, r in rows], pa.int32()),
-        "keys": pa.array([_packed(np.diff(g.keys[lo:hi], prepend=np.uint64(0))) for lo, hi, _ in rows], pa.binary()),
-        "counts": pa.array([_packed(g.counts[lo:hi]) for lo, hi, _ in rows], pa.binary())})
+        "keys": pa.array([_packed(np.diff(keys[lo:hi], prepend=np.uint64(r * width))) for lo, hi, r in rows], pa.binary()),
+        "counts": pa.array([_packed(counts[lo:hi]) for lo, hi, _ in rows], pa.binary())})
 
 
 def _answered(table: pa.Table) -> pa.Table:
-    """The sums over all chunks, to each chunk in the order that it asked in."""
+    """The sums over all chunks, to each chunk in the order that it asked in (keys count from the range's first)."""
     keys = [np.cumsum(_unpacked(b), dtype=np.uint64) for b in table.column("keys").to_pylist()]
     counts = [_unpacked(b).astype(np.int64) for b in table.column("counts").to_pylist()]
     every = np.concatenate(keys)
@@ -255,16 +314,17 @@ def score(docs: DataFrame, mod: int = HELD_OUT_MOD, held: int = HELD_OUT, prior:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n, v, tokens = totals(slim)
     chunks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tokens // chunk_tokens))
+    bits = hash_bits(tokens)
     dealt = slim.withColumn("chunk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int"))
 
     def ask(table):
-        return _asked(table, chunks)
+        return _asked(table, chunks, bits)
 
     def scored(texts, answers):
         if not texts.num_rows:
             raise RuntimeError("counts came back for a chunk without texts")
         w = Words(_column(texts, "text"))
-        g = Grams(w, _training(texts.column("held_out")))
+        g = Grams(w, bits)
         by = np.argsort(np.asarray(answers.column("range")), kind="stable")
         sums = [_unpacked(b) for b in answers.column("counts").take(pa.array(by)).to_pylist()]
         counts = np.concatenate(sums).astype(np.int64) if sums else np.zeros(0, np.int64)

@@ -71,34 +71,48 @@ def test_equals_direct_recursion(spark, chunk_tokens):
 
 def automaton(rows, prior=L.PRIOR):
     w = L.Words(pa.array([t for _, t in rows], pa.string()))
-    g = L.Grams(w, np.array([not held(i) for i, _ in rows]))
-    n = int(g.word_count.sum() - g.word_count[w.begin])
-    return w, g, L.Automaton(g, g.counts, n, int((g.word_count > 0).sum()) - bool(g.word_count[w.begin]), prior)
+    g = L.Grams(w)
+    keys, counts = L.gram_counts(w, np.array([not held(i) for i, _ in rows]), 64)
+    assert (keys == g.keys).all()
+    words = g.totals(counts)[0]
+    n, v = int(words.sum() - words[w.begin]), int((words > 0).sum()) - bool(words[w.begin])
+    return w, g, L.Automaton(g, counts, n, v, prior), n, v
+
+
+def step(w, g, a, state, word):
+    """From one state, by any words: the arcs found by search."""
+    word = np.asarray(word)
+    two = g.pairs[state] if 0 <= state < len(g.pairs) else None
+    b = two % g.v if two is not None else state - len(g.pairs)
+    index = lambda keys, k: np.array([np.flatnonzero(keys == x)[0] if (keys == x).any() else -1 for x in k])
+    pair = index(g.pairs, b * g.v + word) if b >= 0 else np.full(len(word), -1)
+    triple = index(g.triples, state * g.v + word) if two is not None else np.full(len(word), -1)
+    return a.step(np.full(len(word), state), word, pair, triple)
 
 
 def test_states_arcs_and_failures():
     """A hand-made corpus: the state after each word is the longest context seen in training."""
     learned = [i for i in range(99) if not held(i)]
     rows = [(learned[0], "a b c"), (learned[1], "a b d"), (next(i for i in range(99) if held(i)), "a b zz c a")]
-    w, g, a = automaton(rows)
+    w, g, a, _, _ = automaton(rows)
     number = {x: i for i, x in enumerate(w.words)}
     pair = {(w.words[p // g.v], w.words[p % g.v]): i for i, p in enumerate(g.pairs.tolist())}
-    state, states = np.array([a.after_word[w.begin]]), []
+    state, states = int(a.after_word[w.begin]), []
     for x in (b"a", b"b", b"zz", b"c", b"a", b""):
-        state, _ = a.step(state, np.array([number[x]]))
-        states.append(int(state[0]))
+        state = int(step(w, g, a, state, [number[x]])[0][0])
+        states.append(state)
     one = lambda x: len(g.pairs) + number[x]
     assert states == [pair[b" ", b"a"], pair[b"a", b"b"], -1, one(b"c"), one(b"a"), one(b"")]
 
 
 def test_probabilities_of_a_context_add_up_to_one():
     rows = [(i, t) for i, t in corpus() if i is not None and not held(i)][:200]
-    w, g, a = automaton(rows)
+    w, g, a, n, v = automaton(rows)
     every = np.array([i for i in range(g.v) if i != w.begin])
     for state in [-1, *range(0, len(g.pairs), 97), *(len(g.pairs) + np.arange(0, g.v, 7))]:
         if not -1 <= state < len(g.pairs) or w.end != g.pairs[state] % g.v:
-            _, weight = a.step(np.full(len(every), state), every)
-            left = 0.5 / (g.word_count[every].sum() + 0.5 * ((g.word_count[every] > 0).sum() + 1))  # of an unknown word
+            _, weight = step(w, g, a, int(state), every)
+            left = 0.5 / (n + 0.5 * (v + 1))  # of an unknown word
             path = 1.0
             if 0 <= state < len(g.pairs):
                 path, state = 10 ** a.pair_fails[state], len(g.pairs) + a.last[state]
