@@ -47,7 +47,7 @@ from .sampling import remainder
 HELD_OUT_MOD, HELD_OUT = 5, 1
 #: Observations that the shorter context's probability is worth in a pair's and in a triple's context.
 PRIOR = (3000.0, 5.0)
-CHUNK_TOKENS = 1_200_000
+CHUNK_TOKENS = 1_000_000
 BEGIN, END = b" ", b""  # no word is blank or empty
 _M = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 
@@ -237,13 +237,18 @@ class Automaton:
         return to, weight
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
 def _packed(x: np.ndarray) -> bytes:
-    """64-bit numbers with equal bytes side by side, which the shuffle compresses."""
-    return np.ascontiguousarray(np.ascontiguousarray(x, dtype="<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers, equal bytes side by side, compressed."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(x, dtype="<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(x).to_bytes(8, "little") + _ZSTD.compress(planes, asbytes=True)
 
 
 def _unpacked(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    planes = _ZSTD.decompress(b[8:], 8 * int.from_bytes(b[:8], "little"))
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
 def _training(held: pa.ChunkedArray) -> np.ndarray:
