@@ -1,10 +1,14 @@
 """As-of join: the dimension version valid at the fact's time.
 
-An equi-join on the business key with a half-open interval as the residual
-condition (``valid_from <= t < valid_to``).  Spark keeps the hash/sort-merge
-strategy on the key and evaluates the interval per candidate pair; versions
-per key are few in a type-2 dimension, so the candidate set is the fact size
-times a small factor - no range join, no cross join.
+``asof_join`` is an equi-join on the business key with the half-open interval
+(``valid_from <= t < valid_to``) as a residual condition: right for keys of few
+versions, whatever overlaps.
+
+``asof_ordered`` puts facts and versions of a key in one time order and carries
+the last version forward: each fact meets one version however many its key has,
+and a heavy key is cut into slices that hand their last version on
+(``operators.skew``), so it is neither multiplied nor gathered.  It expects
+versions of a key that don't overlap (``assert_no_overlap``).
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commerce_lake.operators.skew import Sliced
+
 
 def asof_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_time: str,
               how: str = "left", valid_from: str = "valid_from", valid_to: str = "valid_to",
@@ -29,6 +35,31 @@ def asof_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact
     return fact.join(d, cond, how)
 
 
+def asof_ordered(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_time: str,
+                 how: str = "left", valid_from: str = "valid_from", valid_to: str = "valid_to",
+                 prefix: str = "d_", heavy: dict[int, int] | None = None) -> DataFrame:
+    """The rows and columns of ``asof_join``, by one ordered pass per key.
+
+    A fact exactly at ``valid_from`` belongs to that version, one at
+    ``valid_to`` to the next; a null key or time meets no version; an open end
+    is a far date or null.  ``how`` is left or inner."""
+    kind = dict(fact.dtypes)[fact_key]
+    facts = fact.select(F.col(fact_key).alias("__k"), F.col(fact_time).cast("timestamp").alias("__t"), F.lit(1).alias("__o"),
+                        F.struct(*fact.columns).alias("__f"), F.lit(None).alias("__v"))
+    versions = dim.where(F.col(dim_key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(dim_key).cast(kind).alias("__k"), F.col(valid_from).cast("timestamp").alias("__t"), F.lit(0).alias("__o"),
+        F.lit(None).alias("__f"), F.struct(*dim.columns).alias("__v"))
+    s = Sliced.of(facts.unionByName(versions), ["__k"], ["__t", "__o"], heavy).last_known(F.col("__v"), "__now")
+    end = F.col(f"__now.{valid_to}")
+    holds = F.col("__k").isNotNull() & F.col("__t").isNotNull() & (end.isNull() | (F.col("__t") < end))
+    rows = s.df.where(F.col("__f").isNotNull()).withColumn("__now", F.when(holds, F.col("__now")))
+    if how == "inner":
+        rows = rows.where(F.col("__now").isNotNull())
+    elif how != "left":
+        raise ValueError(f"left or inner, got {how}")
+    return rows.select("__f.*", *[F.col(f"__now.{c}").alias(f"{prefix}{c}") for c in dim.columns])
+
+
 def assert_no_overlap(dim: DataFrame, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> int:
     """Number of versions that start before the previous version of the same
     key ends (0 for a well-formed type-2 dimension)."""

@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commerce_lake.operators.skew import Sliced
 from commerce_lake.session import ensure_checkpoint_dir, shuffle_partitions
 
 _LOW33 = (1 << 33) - 1
@@ -137,43 +138,18 @@ def naive_running_sum(df: DataFrame, value: str, order: Sequence[Column], out_co
     return df.withColumn(out_col, F.sum(value).over(Window.orderBy(*order)))
 
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out_col: str,
-                      n: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY keys ORDER BY order)`` for keys that
-    may be hot: a global row number over (keys, order) minus the first global
-    position of the key.  The first position is a ``groupBy`` minimum
-    (partial aggregation); joining it back is many-to-one, and a key holding
-    a third of the rows is spread over many range partitions and split by
-    AQE's skew join instead of being sorted by one task."""
-    full = [F.col(k).asc() for k in keys] + list(order)
-    g = global_row_number(df, full, "_g", n)
-    first = g.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    return g.join(first, list(keys)).withColumn(out_col, F.col("_g") - F.col("_g0") + 1).drop(
-        "_g", "_g0")
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out_col: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order)`` (ascending) for
+    keys that may be hot: one window whose heavy keys are cut into slices."""
+    s = Sliced.of(df, keys, order).number(out_col)
+    return s.select(*df.columns, out_col)
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str],
-               n: int | None = None) -> DataFrame:
+def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """``lag`` / ``lead`` of ``cols`` within ``keys`` (``prev_<c>``,
-    ``next_<c>``, plus ``is_first``) without a window per key: every row is
-    joined to the rows at global positions -1 and +1 of the total order
-    (keys, order).  Positions are unique, so these equi-joins cannot skew."""
-    full = [F.col(k).asc() for k in keys] + list(order)
-    g = global_row_number(df, full, "_g", n)
-    prev = g.select((F.col("_g") + 1).alias("_g"), *[F.col(k).alias(f"_pk_{k}") for k in keys],
-                    *[F.col(c).alias(f"prev_{c}") for c in cols])
-    nxt = g.select((F.col("_g") - 1).alias("_g"), *[F.col(k).alias(f"_nk_{k}") for k in keys],
-                   *[F.col(c).alias(f"next_{c}") for c in cols])
-    out = g.join(prev, "_g", "left").join(nxt, "_g", "left")
-    same_prev = None
-    same_next = None
-    for k in keys:
-        p = F.col(k).eqNullSafe(F.col(f"_pk_{k}"))
-        q = F.col(k).eqNullSafe(F.col(f"_nk_{k}"))
-        same_prev = p if same_prev is None else same_prev & p
-        same_next = q if same_next is None else same_next & q
-    sel = [F.col(c) for c in df.columns]
-    sel += [F.when(same_prev, F.col(f"prev_{c}")).alias(f"prev_{c}") for c in cols]
-    sel += [F.when(same_next, F.col(f"next_{c}")).alias(f"next_{c}") for c in cols]
-    sel.append((~F.coalesce(same_prev, F.lit(False))).alias("is_first"))
-    return out.select(*sel)
+    ``next_<c>``, plus ``is_first``), heavy keys in slices: one exchange and
+    one sort, border rows handed on between the slices of a key."""
+    held = F.struct(*[F.col(c) for c in cols])
+    s = Sliced.of(df, keys, order).before(held, "__prev").after(held, "__next")
+    return s.select(*df.columns, *[F.col(f"__prev.v.{c}").alias(f"prev_{c}") for c in cols],
+                    *[F.col(f"__next.v.{c}").alias(f"next_{c}") for c in cols], F.col("__prev").isNull().alias("is_first"))

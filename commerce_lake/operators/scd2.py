@@ -4,13 +4,13 @@
   snapshot (check strategy: any listed column changed, null-safe;
   timestamp strategy: ``updated_at`` advanced).  Changed keys get their open
   row closed and a new row opened; new keys are inserted; keys absent from
-  the run stay open (no hard deletes).  One equi-join of the run with the
-  open rows on the key - no window.
+  the run stay open (no hard deletes).  One full outer join of the open rows
+  with the run on the key, whose pairs become one or two rows; a key that the
+  run repeats raises.
 * ``history_from_changes`` builds the same intervals in one pass from many
   observations (backfill): keep rows whose tracked values differ from the
   previous observation of the key, close each with the next kept row's
-  start - lag / lead taken from neighbouring positions of a global order,
-  not from a window per key.
+  start.  One exchange and one sort; heavy keys are cut into slices.
 * ``dimension_view`` turns a snapshot into a dimension: version number,
   back-dated first version, open end, current flag, md5 surrogate key.
 
@@ -22,11 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.expr import md5_key
-from commerce_lake.operators.ranking import global_row_number, neighbours
+from commerce_lake.operators.skew import Sliced
 from commerce_lake.schemas import OPEN_END, OPEN_START
 
 VALID_FROM = "snapshot_valid_from"
@@ -34,90 +34,58 @@ VALID_TO = "snapshot_valid_to"
 UPDATED = "snapshot_updated_at"
 
 
-def _changed(cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        d = ~F.col(f"s.{c}").eqNullSafe(F.col(f"n.{c}"))
-        cond = d if cond is None else cond | d
-    return cond
-
-
-def _apply(snapshot: DataFrame | None, run: DataFrame, key: str, change: Column | None,
-           new_from: Column, run_ts: Column) -> DataFrame:
-    cols = run.columns
-    opened = run.withColumn(VALID_FROM, new_from).withColumn(VALID_TO, F.lit(None).cast("timestamp")).withColumn(
-        UPDATED, new_from)
+def _apply(snapshot: DataFrame | None, run: DataFrame, key: str, new_from: Column, changed) -> DataFrame:
+    """``changed(old, new)``: whether a pair opens a new version; ``old`` and ``new`` name a side's columns."""
+    opened = run.withColumns({VALID_FROM: new_from, VALID_TO: F.lit(None).cast("timestamp"), UPDATED: new_from})
+    # a row a key; the aggregate's exchange on the key is the join's as well
+    new = opened.groupBy(key).agg(F.first(F.struct(*opened.columns)).alias("n"), F.count(F.lit(1)).alias("times")).select(
+        key, F.when(F.col("times") > 1, F.raise_error(F.concat(F.lit(f"the run repeats {key} "), F.col(key).cast("string"))))
+        .otherwise(F.col("n")).alias("n"))
     if snapshot is None:
-        return opened
-    is_open = F.col(VALID_TO).isNull()
-    closed_hist = snapshot.where(~is_open)
-    open_rows = snapshot.where(is_open)
-    s, n = open_rows.alias("s"), opened.alias("n")
-    pair = s.join(n, F.col(f"s.{key}") == F.col(f"n.{key}"), "inner")
-    changed = pair.where(change)
-    # open rows of changed keys get closed at the new version's start
-    closing = changed.select(*[F.col(f"s.{c}").alias(c) for c in cols],
-                             F.col(f"s.{VALID_FROM}").alias(VALID_FROM),
-                             F.col(f"n.{VALID_FROM}").alias(VALID_TO),
-                             F.col(f"s.{UPDATED}").alias(UPDATED))
-    new_versions = changed.select(*[F.col(f"n.{c}").alias(c) for c in [*cols, VALID_FROM, VALID_TO, UPDATED]])
-    keep_open = open_rows.join(changed.select(F.col(f"s.{key}").alias(key)), key, "left_anti")
-    new_keys = opened.join(open_rows.select(key), key, "left_anti")
-    out = closed_hist.unionByName(keep_open).unionByName(closing).unionByName(new_versions).unionByName(new_keys)
-    return out
+        return new.select("n.*")
+    open_ = snapshot.where(F.col(VALID_TO).isNull()).select(F.col(key).alias("__key"), F.struct(*opened.columns).alias("s"))
+    pair = open_.join(new, F.col("__key") == F.col(key), "full_outer")
+    both = F.col("s").isNotNull() & F.col("n").isNotNull()
+    change = F.coalesce(both & changed(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"n.{c}")), F.lit(False))
+    old = F.when(change, F.col("s").withField(VALID_TO, F.col(f"n.{VALID_FROM}"))).otherwise(F.col("s"))
+    rows = F.filter(F.array(old, F.when(change | F.col("s").isNull(), F.col("n"))), lambda r: r.isNotNull())
+    return snapshot.where(F.col(VALID_TO).isNotNull()).select(*opened.columns).unionByName(pair.select(F.inline(rows)))
 
 
 def snapshot_check(snapshot: DataFrame | None, run: DataFrame, key: str, check_cols: Sequence[str],
                    run_ts: str) -> DataFrame:
     """Check strategy: a new version when any of ``check_cols`` changes."""
-    ts = F.lit(run_ts).cast("timestamp")
-    return _apply(snapshot, run, key, _changed(check_cols), ts, ts)
+    return _apply(snapshot, run, key, F.lit(run_ts).cast("timestamp"),
+                  lambda old, new: ~F.struct(*map(old, check_cols)).eqNullSafe(F.struct(*map(new, check_cols))))
 
 
 def snapshot_timestamp(snapshot: DataFrame | None, run: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
     """Timestamp strategy: a new version when ``updated_at`` is newer than the
     open version's; the version starts at ``updated_at``."""
-    change = F.col(f"n.{UPDATED}") > F.col(f"s.{UPDATED}")
-    return _apply(snapshot, run, key, change, F.col(updated_at).cast("timestamp"), None)
+    return _apply(snapshot, run, key, F.col(updated_at).cast("timestamp"), lambda old, new: new(UPDATED) > old(UPDATED))
 
 
 def history_from_changes(obs: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str],
                          start_col: str = "valid_from", end_col: str = "valid_to",
-                         n: int | None = None) -> DataFrame:
+                         heavy: dict[int, int] | None = None) -> DataFrame:
     """One-pass type-2 history from repeated observations of ``key``.
 
     ``order`` must be total within a key (e.g. ts, id); the start of a
-    version is the first column of ``order``.  No window per key: the
-    previous observation comes from the neighbour at global position -1 of
-    the total order (key, order), the next version's start from position +1
-    among the kept rows, and the version number from the key's first
-    position (``groupBy`` minimum) - so a key holding a third of all
-    observations is still processed by many tasks."""
-    ordc = [F.col(c).asc() for c in order]
-    nb = neighbours(obs, [key], ordc, list(tracked), n)
-    changed = F.col("is_first")
-    for c in tracked:
-        changed = changed | ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))
-    kept = nb.where(changed).select(*obs.columns)
-    g = global_row_number(kept, [F.col(key).asc(), *ordc], "_g", n)
-    first = g.groupBy(key).agg(F.min("_g").alias("_g0"))
-    nxt = g.select((F.col("_g") - 1).alias("_g"), F.col(key).alias("_nk"), F.col(order[0]).alias("_next_start"))
-    out = g.join(first, key).join(nxt, "_g", "left")
-    valid_to = F.when(F.col(key).eqNullSafe(F.col("_nk")), F.col("_next_start"))
-    return out.select(
-        *obs.columns,
-        F.col(order[0]).alias(start_col),
-        valid_to.alias(end_col),
-        (F.col("_g") - F.col("_g0") + 1).cast("long").alias("version_no"),
-        valid_to.isNull().alias("is_current"),
-    )
+    version is the first column of ``order``.  The windows before and after the
+    filter share one exchange and one sort on (key, order); a key holding a
+    third of all observations is cut into slices (``operators.skew``)."""
+    now = F.struct(*tracked)
+    seen = Sliced.of(obs, [key], order, heavy).before(now, "__prev")
+    kept = seen.where(F.col("__prev").isNull() | ~F.col("__prev.v").eqNullSafe(now))
+    kept = kept.after(F.col(order[0]), "__next").number("__no")
+    return kept.select(*obs.columns, F.col(order[0]).alias(start_col), F.col("__next.v").alias(end_col),
+                       F.col("__no").alias("version_no"), F.col("__next.v").isNull().alias("is_current"))
 
 
 def dimension_view(snapshot: DataFrame, key: str, surrogate: str, columns: Sequence[str]) -> DataFrame:
     """Dimension rows from a snapshot: ``surrogate`` = md5(key|valid_from text),
     first version valid from 1900-01-01, open end 9999-12-31, current flag."""
-    w = Window.partitionBy(key).orderBy(F.col(VALID_FROM).asc())
-    v = snapshot.withColumn("_version_no", F.row_number().over(w))
+    v = Sliced.of(snapshot, [key], [VALID_FROM]).number("_version_no").df
     return v.select(
         md5_key(F.col(key).cast("string"), F.col(VALID_FROM).cast("string")).alias(surrogate),
         *columns,

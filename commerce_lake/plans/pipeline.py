@@ -1,32 +1,24 @@
-"""Curated run (D9): build the curated tables in dependency order and store
-each one before its consumers are built.
-
-Order: products, customers, selected payments, orders, order lines,
-payments, deliveries, quarantine.  Every table is handed to a ``store``
-callable that writes it and returns a DataFrame reading it back, so the
-next builder reads a stored, columnar table (pushdown, pruning, no
-re-computation of the upstream plan) instead of the whole lineage.
-
-Two stores are provided:
-* ``ParquetStore`` - plain Parquet folders (orders and lines partitioned by
-  month), overwritten per run; used for the zone that queries read;
-* ``ChangeLogStore`` - keyed upserts into versioned change logs (replays of
-  the same run date add nothing); quarantine is deduplicated on its key.
+"""Curated run (D9): the curated zone built, stored and handed to its consumers.
+
+``ParquetStore`` writes plain Parquet folders, each name once per run in a fresh
+folder; the classified rows of a feed lie there, accepted and rejected ones in
+partitions of one table.  ``run_curated`` takes a second store for the curated
+tables themselves: ``ChangeLogStore`` upserts them into versioned change logs
+(replays of the same run date add nothing), after which the run's own folder is
+removed.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from commerce_lake.operators.upsert import ChangeLog
-from commerce_lake.plans import curated as C
-from commerce_lake.session import ensure_checkpoint_dir
+from commerce_lake.plans.curated import CURATED, CuratedZone
+from commerce_lake.session import ensure_checkpoint_dir, remove_path
 
 PARTITIONS = {"orders": ["order_year_month"], "order_lines": ["order_year_month"], "quarantine": ["source"]}
 KEYS = {
@@ -35,9 +27,6 @@ KEYS = {
     "deliveries": ["delivery_id"], "quarantine": ["source", "record_key", "reason", "payload"],
 }
 
-Store = Callable[[str, DataFrame], DataFrame]
-
-
 @dataclass
 class ParquetStore:
     spark: SparkSession
@@ -51,22 +40,24 @@ class ParquetStore:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         return cls(spark, f"{root}/{label}-{uuid.uuid4().hex[:12]}")
 
-    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+    def __call__(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.base}/{name}"
         t0 = time.time()
-        parts = PARTITIONS.get(name)
-        # REBALANCE lets AQE size the written files: rows of one month go to
-        # few tasks (few files), and a month holding a third of the data is
+        # REBALANCE lets AQE size the written files: rows of one partition go to
+        # few tasks (few files), and one holding a third of the data is
         # still split across tasks instead of landing in one
-        src = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
-        w = src.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
+        src = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+        w = src.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         w.parquet(path)
         self.written[name] = round(time.time() - t0, 3)
-        out = self.spark.read.parquet(path)
-        # partition columns come back last; keep the builder's column order
-        return out.select(*df.columns)
+        # the types are known: nothing is inferred from folder names or files
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def remove(self) -> None:
+        """Deletes the folder, when no reader is left."""
+        remove_path(self.spark, self.base)
 
 
 @dataclass
@@ -81,42 +72,12 @@ class ChangeLogStore:
         return log.current().select(*df.columns)
 
 
-def run_curated(raw: dict[str, DataFrame], salt: str, run_date: str, store: Store) -> dict[str, DataFrame]:
-    """Build and store every curated table; returns the stored frames."""
-    out: dict[str, DataFrame] = {}
-    keep: list[DataFrame] = []  # classified frames shared by a clean and a quarantine write
-    out["products"] = store("products", C.build_products(raw["products"]))
-    customers, cust_q = C.build_customers(raw["customers"], salt)
-    out["customers"] = store("customers", customers)
-    out["selected_payments"] = store("selected_payments", C.selected_payments(raw["payments"]))
-    orders, orders_q = C.build_orders(raw["orders"], raw["order_lines"], raw["products"],
-                                      C.ambiguous_customer_ids(raw["customers"]), out["selected_payments"],
-                                      keep=keep)
-    out["orders"] = store("orders", orders)
-    lines, lines_q = C.build_order_lines(raw["order_lines"], raw["products"], out["orders"], keep=keep)
-    out["order_lines"] = store("order_lines", lines)
-    out["payments"] = store("payments", C.build_payments(raw["payments"], out["selected_payments"]))
-    deliveries, deliv_q = C.build_deliveries(raw["deliveries"], out["orders"], keep=keep)
-    out["deliveries"] = store("deliveries", deliveries)
-    parts = [
-        ("quarantine_products", C.to_quarantine(C.product_quarantine(out["products"]), "products", "product_id",
-                                                F.col("dq_flag"), run_date)),
-        ("quarantine_customers", C.to_quarantine(cust_q, "customers", "customer_id", F.col("dq_reason"), run_date)),
-        ("quarantine_orders", C.to_quarantine(orders_q, "orders", "order_id", F.col("dq_reason"), run_date)),
-        ("quarantine_order_lines", C.to_quarantine(lines_q, "order_lines", "order_line_id", F.col("dq_reason"),
-                                                   run_date)),
-        ("quarantine_deliveries", C.to_quarantine(deliv_q, "deliveries", "delivery_id", F.col("dq_reason"),
-                                                  run_date)),
-    ]
-    q = parts[0][1]
-    for _, p in parts[1:]:
-        q = q.unionByName(p)
-    out["quarantine"] = store("quarantine", q.dropDuplicates(["source", "record_key", "reason", "payload"]))
-    for df in keep:
-        df.unpersist()
-    # per-feed rejected rows with their typed columns (views over the stored quarantine would lose types)
-    out["quarantine_orders"] = orders_q
-    out["quarantine_order_lines"] = lines_q
-    out["quarantine_deliveries"] = deliv_q
-    out["quarantine_customers"] = cust_q
-    return out
+def run_curated(raw: dict[str, DataFrame], salt: str, run_date: str, store: ChangeLogStore,
+                strict_amounts: bool = False) -> dict[str, DataFrame]:
+    """Every curated table, upserted into ``store``; returns the stored frames."""
+    scratch = ParquetStore.scratch(store.spark)
+    zone = CuratedZone(raw, salt, run_date, scratch, strict_amounts)
+    try:
+        return {name: store(name, zone[name]) for name in CURATED}
+    finally:
+        scratch.remove()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.expr import date_key, dec, md5_key, year_month
-from commerce_lake.operators.asof import asof_join
+from commerce_lake.operators.asof import asof_ordered
 from commerce_lake.operators.ranking import global_ntile, global_running_sum
 from commerce_lake.operators.scd2 import dimension_view, snapshot_check, snapshot_timestamp
 from commerce_lake.operators.upsert import upsert_frames
@@ -280,9 +280,9 @@ def fact_order_line(cur: dict[str, DataFrame], dim_cust: DataFrame, dim_prod: Da
     le = lines_enriched(cur)
     o = orders_enriched(cur).withColumn("_cust", F.col("customer_id").cast("string"))
     j = le.join(o.drop("customer_id"), "order_id", "inner")
-    j = asof_join(j, dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to"),
+    j = asof_ordered(j, dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to"),
                   "_cust", "customer_id", "order_date", how="left", prefix="c_")
-    j = asof_join(j, dim_prod.select("product_key", "product_id", "valid_from", "valid_to"),
+    j = asof_ordered(j, dim_prod.select("product_key", "product_id", "valid_from", "valid_to"),
                   "product_id", "product_id", "order_date", how="inner", prefix="p_")
     # one row per distinct status value; their size is known only once the
     # data is read, so AQE measures them and broadcasts them at run time
@@ -366,9 +366,8 @@ def return_rate_lines(cur: dict[str, DataFrame], min_month: str | None = None) -
     column first, so only the recomputed months are read (a line carries
     its order's month)."""
     if min_month is not None:
-        cur = dict(cur)
-        for t in ("orders", "order_lines"):
-            cur[t] = cur[t].where(F.col("order_year_month") >= F.lit(min_month))
+        pruned = {t: cur[t].where(F.col("order_year_month") >= F.lit(min_month)) for t in ("orders", "order_lines")}
+        cur = {**pruned, **{t: cur[t] for t in ("products", "payments", "deliveries")}}
     le = lines_enriched(cur).select("order_id", "product_id", "line_total")
     o = orders_enriched(cur).where(~F.col("order_status").isin(*NOT_IN_RETURN_RATE)).select(
         "order_id", "order_date", "country_code", "order_status")

@@ -128,8 +128,9 @@ FEED_KEYS = {
     "deliveries": "delivery_id",
 }
 
-# Columns removed from quarantine payloads (data minimisation).
+# Columns removed from quarantine payloads (data minimisation), and unsalted hashes that get the salt there too.
 PAYLOAD_REDACT = {"customers": ["first_name", "last_name"]}
+PAYLOAD_HASHES = {"customers": ["email_hash", "phone_hash"]}
 
 LINEAGE_COLUMNS = ["_source_file", "_ingested_at", "_run_date"]
 

@@ -93,18 +93,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines numbered 1.. within their order by every other column.  The
-    number comes from ``row_number_within`` (global order minus the order's
-    first position), so one order holding a third of all lines is still
-    numbered by many tasks."""
+    number comes from ``row_number_within`` (heavy orders in slices), so one
+    order holding a third of all lines is still numbered by many tasks."""
     from commerce_lake.operators.ranking import row_number_within
 
     others = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate"]
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *others)
-    numbered = row_number_within(li, ["l_orderkey"], [F.col(c).asc() for c in others], "_rn")
+    numbered = row_number_within(li, ["l_orderkey"], others, "_rn")
     return _lineage(
         numbered.selectExpr(
-            "l_orderkey * 1000 + _rn AS order_line_id",
+            "concat_ws('-', l_orderkey, _rn) AS order_line_id",
             "l_orderkey AS order_id",
             f"CASE WHEN (l_orderkey + l_partkey) % 50 = 0 THEN l_partkey + {ORPHAN_OFFSET} ELSE l_partkey END"
             " AS product_id",
@@ -240,5 +239,44 @@ def cached_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return dict(cache[sf_dir])
 
 
+# ----------------------------------------------------------------------------- made versions
+# Fixed rules, repeated in the oracle: three versions of each customer and 65 of each product over the order
+# dates, and what three snapshot runs saw.  All follow from the keys of the curated tables.
+def customer_versions(customers: DataFrame) -> DataFrame:
+    at = "TIMESTAMP'1995-01-01 00:00:00' + make_dt_interval(CAST(customer_id * 37 % 700 + ({j}) * 500 AS INT))"
+    return customers.selectExpr("customer_id", "explode(sequence(0, 2)) AS version_no").selectExpr(
+        "customer_id", "version_no",
+        f"CASE WHEN version_no = 0 THEN TIMESTAMP'1900-01-01 00:00:00' ELSE {at.format(j='version_no')} END AS valid_from",
+        f"CASE WHEN version_no = 2 THEN TIMESTAMP'9999-12-31 00:00:00' ELSE {at.format(j='version_no + 1')} END AS valid_to")
+
+
+def product_versions(products: DataFrame) -> DataFrame:
+    """Every ninth version ends 20 days before the next one begins."""
+    return products.selectExpr("product_id", "explode(sequence(0, 64)) AS version_no").selectExpr(
+        "product_id", "version_no",
+        "TIMESTAMP'1994-01-01 00:00:00' + make_dt_interval(CAST(product_id % 45 + version_no * 45 AS INT)) AS valid_from",
+        "TIMESTAMP'1994-01-01 00:00:00' + make_dt_interval(CAST(product_id % 45 + (version_no + 1) * 45"
+        " - IF(version_no % 9 = 4, 20, 0) AS INT)) AS valid_to")
+
+
+def customer_runs(customers: DataFrame) -> list[tuple[str, DataFrame]]:
+    """(run time, what the run saw): some customers are missing in a run, some change, one change is not tracked."""
+    second = {"customer_segment": F.expr("IF(customer_id % 7 = 0, 'VIP', customer_segment)"),
+              "city": F.expr("IF(customer_id % 17 = 0, NULL, city)")}
+    third = {"customer_segment": F.expr("IF(customer_id % 14 = 0, 'VIP', customer_segment)"),
+             "birth_year": F.expr("IF(customer_id % 5 = 0, 2000, birth_year)")}
+    return [("2001-08-02 00:00:00", customers.where("customer_id % 11 <> 3")),
+            ("2001-08-03 00:00:00", customers.where("customer_id % 13 <> 5").withColumns(second)),
+            ("2001-08-04 00:00:00", customers.withColumns(third))]
+
+
+def product_runs(products: DataFrame) -> list[DataFrame]:
+    """What three runs saw: newer versions, changes under an old time, and an older time after a newer one."""
+    second = {"updated_at": F.expr("IF(product_id % 3 = 0, updated_at + INTERVAL 10 DAY, updated_at)"),
+              "unit_cost": F.expr("CAST(IF(product_id % 3 = 0 OR product_id % 5 = 0, unit_cost + 1, unit_cost) AS DECIMAL(10,2))")}
+    third = {"updated_at": F.expr("IF(product_id % 4 = 0, updated_at + INTERVAL 5 DAY, updated_at)")}
+    return [products, products.withColumns(second), products.withColumns(third)]
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

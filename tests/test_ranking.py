@@ -73,7 +73,7 @@ def test_ranks_consistent_over_shuffled_input(spark):
     got = sorted(r["rn"] for r in ranking.global_row_number(shuffled, [F.col("c").desc(), F.col("k").asc()],
                                                              "rn", n=5).collect())
     assert got == list(range(1, 998))
-    nb = ranking.neighbours(shuffled, ["c"], [F.col("k").asc()], ["k"], n=5)
+    nb = ranking.neighbours(shuffled, ["c"], ["k"], ["k"])
     rows = {r["k"]: r for r in nb.collect()}
     for r in rows.values():
         if r["prev_k"] is not None:
