@@ -274,13 +274,13 @@ class Pieces:
         return np.array(out, dtype=np.int64)
 
 
-class Counter:
-    """The compiled tokenizer; its library serves normal forms and character classes only."""
+class Splitter:
+    """Texts to pieces; the file's library serves normal forms and character classes only."""
 
     def __init__(self, text: str):
         from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-        spec = json.loads(text)
+        self.spec = spec = json.loads(text)
         if (spec["model"]["type"], spec["model"].get("end_of_word_suffix")) != ("BPE", "</w>") or any(
                 spec["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")):
             raise ValueError("a byte-level BPE with an end-of-word suffix is expected")
@@ -288,10 +288,9 @@ class Counter:
             raise ValueError("another split rule is expected")
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("added tokens that match as they stand are expected")
-        library = Tokenizer.from_str(text)
-        self.normal = library.normalizer.normalize_str
+        self.library = Tokenizer.from_str(text)
+        self.normal = self.library.normalizer.normalize_str
         self.split = pre_tokenizers.Split(Regex(SPLIT), behavior="removed", invert=True).pre_tokenize_str
-        self.pieces = Pieces(Merges(spec["model"], byte_names()))
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
         self.classes = np.full(0x110000, 255, dtype=np.uint8)  # 255: not asked yet
@@ -333,6 +332,26 @@ class Counter:
         low = text.lower() if text.isascii() or not LATE.search(text) else self.normal(text)
         return low.encode()
 
+    def pieces(self, plain: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
+        """All pieces of the normalised texts one after another, and how many there are up to the end of each text."""
+        b = np.frombuffer(b" ".join(plain), dtype=np.uint8)
+        classes = self.classes_of(b)
+        starts = piece_starts(classes)
+        # white space goes: the pieces lie one after another, each as long as the way to the next start
+        solid = np.flatnonzero(classes != SPACE)
+        first = np.flatnonzero(starts[solid])
+        ends = np.r_[first, len(solid)].astype(np.int32)
+        found = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(b[solid].tobytes())])
+        return found, np.searchsorted(solid[first], np.cumsum([len(p) + 1 for p in plain]))
+
+
+class Counter(Splitter):
+    """The compiled tokenizer."""
+
+    def __init__(self, text: str):
+        super().__init__(text)
+        self.counter = Pieces(Merges(self.spec["model"], byte_names()))
+
     def parts(self, texts: list[str | None]):
         """(text number, normalised bytes, special tokens in it) in parts of bounded size that end at white space."""
         for k, t in enumerate(texts):
@@ -359,25 +378,11 @@ class Counter:
         return out
 
     def _count(self, parts: list, out: np.ndarray) -> None:
-        b = np.frombuffer(b" ".join(p[1] for p in parts), dtype=np.uint8)
-        if not len(b):
-            return
-        classes = self.classes_of(b)
-        starts = piece_starts(classes)
-        # white space goes: the pieces lie one after another, each as long as the way to the next start
-        solid = np.flatnonzero(classes != SPACE)
-        first = np.flatnonzero(starts[solid])
-        if not len(first):
-            return
-        text = b[solid].tobytes()
-        ends = np.r_[first, len(solid)].astype(np.int32)
-        pieces = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(text)])
-        coded = pieces.dictionary_encode()
-        n = self.pieces.counts(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        found, upto = self.pieces([p[1] for p in parts])
+        coded = found.dictionary_encode()
+        n = self.counter.counts(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
         total = np.r_[0, np.cumsum(n)]
-        border = np.cumsum([len(p[1]) + 1 for p in parts])  # where each part ends
-        upto = total[np.searchsorted(solid[first], border)]
-        np.add.at(out, [p[0] for p in parts], np.diff(upto, prepend=0))
+        np.add.at(out, [p[0] for p in parts], np.diff(total[upto], prepend=0))
 
 
 _counters: dict[int, Counter] = {}

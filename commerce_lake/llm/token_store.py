@@ -8,10 +8,10 @@ tasks; stripe and row-group statistics plus the Bloom filter let a look-up by
 doc_id skip almost all of them.  ``read`` returns the rows with their global
 start: the sums of the parts (one row a part) precede the offset inside a part.
 
-Encoding goes through the tokenizer's own library.  The vocabularies here drop
-white space and never merge across it, so a white-space separated chunk has the
-same ids wherever it stands; each distinct chunk is encoded once per worker and
-kept in a bounded cache.
+Encoding goes through the tokenizer's own model.  Texts are cut into its pieces
+(``token_counts.Splitter``); each distinct piece is encoded once per worker and
+kept in a bounded cache.  A text that holds the string of an added special token
+is encoded by the library as a whole.
 
 Defined cases: a null text is an empty one and has the end id alone; a null
 doc_id comes last; rows that share a doc_id are ordered by a hash of their
@@ -21,6 +21,7 @@ table gives an empty folder; further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -30,8 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import token_counts
+
 END_ID = 1
-CACHE_CHUNKS = 1_000_000
+CACHE_PIECES = 1_000_000
 SLICE_BYTES = 4 << 20
 #: Writer options of the store (fixed values): stripes, rows per index entry, Bloom filter.
 ORC_OPTIONS = {
@@ -53,51 +56,62 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """encode(texts) by distinct chunks: all ids in a row, and the number of ids of each text.
+    """encode(texts) by distinct pieces: all ids in a row, and the number of ids of each text.
 
-    The ids of the chunks met so far lie one after another in ``flat``; chunk k
-    has ``size[k]`` of them from ``start[k]`` on.  Chunk 0 is the end of a text.
+    The ids of the pieces met so far lie one after another in ``flat``; piece k
+    has ``size[k]`` of them from ``start[k]`` on.  Piece 0 is the end of a text.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.splitter = token_counts.Splitter(f.read())
+        self.model = self.splitter.library.model
+        self.spelled = {byte: name for name, byte in token_counts.byte_names().items()}
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[bytes, int] = {}
         self.flat = np.array([END_ID], dtype=np.int32)
         self.start, self.size = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
 
-    def learn(self, chunks: list[str]) -> None:
-        flat, sizes = [self.flat], [self.size]
-        for at in range(0, len(chunks), 500):  # one call for many chunks; offsets tell whose an id is
-            part = chunks[at:at + 500]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            flat.append(np.array(e.ids, dtype=np.int32))
-            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(flat[-1]))
-            chunk_of = np.searchsorted(np.cumsum([len(c) + 1 for c in part]), starts, side="right")
-            sizes.append(np.bincount(chunk_of, minlength=len(part)))
-        self.number.update(zip(chunks, range(len(self.size), len(self.size) + len(chunks))))
-        self.flat, self.size = np.concatenate(flat), np.concatenate(sizes)
+    def learn(self, pieces: list[bytes]) -> None:
+        tokenize, spelled = self.model.tokenize, self.spelled
+        made = [[t.id for t in tokenize(p.decode("latin-1").translate(spelled))] for p in pieces]
+        self.number.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces))))
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(made), dtype=np.int32)])
+        self.size = np.concatenate([self.size, np.fromiter(map(len, made), dtype=np.int64, count=len(made))])
         self.start = np.cumsum(self.size) - self.size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.number) > CACHE_CHUNKS:
+        if len(self.number) > CACHE_PIECES:
             self.clear()
-        chunks = pc.ascii_split_whitespace(texts)
-        coded = chunks.values.dictionary_encode()
+        s = self.splitter
+        texts = [t or "" for t in texts.to_pylist()]
+        whole = [k for k, t in enumerate(texts) if s.special and "<" in t and s.special.search(t)]
+        plain = [s.plain(t) for t in texts]
+        for k in whole:
+            plain[k] = b""
+        found, upto = s.pieces(plain)
+        coded = found.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if new := [c for c in distinct if c not in self.number]:
+        if new := [p for p in distinct if p not in self.number]:
             self.learn(new)
         numbers = np.fromiter(map(self.number.__getitem__, distinct), dtype=np.int64, count=len(distinct))
-        ends = np.asarray(chunks.offsets)[1:]
-        k = np.insert(numbers[np.asarray(coded.indices)], ends, 0)
+        k = np.insert(numbers[np.asarray(coded.indices)], upto, 0)
         sizes = self.size[k]
         after = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.start[k] - after + sizes, sizes) + np.arange(after[-1])]
-        return ids, np.diff(after[ends + np.arange(len(ends))], prepend=0)
+        # places in ``flat``: one step on inside a piece, a jump where the next piece begins
+        step = np.ones(after[-1], dtype=np.int32)
+        step[0], step[after[:-1]] = self.start[k[0]], self.start[k[1:]] - self.start[k[:-1]] - sizes[:-1] + 1
+        ids = self.flat[np.cumsum(step, dtype=np.int32)]
+        n = np.diff(after[upto + np.arange(len(upto))], prepend=0)
+        if whole:
+            parts = np.split(ids, np.cumsum(n)[:-1])
+            for k in whole:
+                own = s.library.encode(texts[k], add_special_tokens=False).ids
+                parts[k] = np.array([*own, END_ID], dtype=np.int32)
+            ids, n = np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+        return ids, n
 
 
 def encoder(path: str) -> Encoder:

@@ -68,7 +68,7 @@ def test_scan_of_state_maps_is_the_sequential_run(chunk):
 
 
 def test_emitted_counts_are_never_negative_and_add_up(library, counter):
-    p = counter.pieces
+    p = counter.counter
     for word in (b"antidisestablishmentarianism", b"aaaaaaaaaaaaa", "stra\xdfenbahn".encode()):
         k, total = 0, 0
         for byte in word[:-1]:

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc as orc
 from tokenizers import Tokenizer
 
@@ -39,6 +40,15 @@ def test_round_trip_equals_whole_text_encoding(spark):
     assert spans[0][0] == 0 and spans[-1][1] == total and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_pieces_have_the_ids_of_whole_texts():
+    from tests.llm.test_token_counts import odd_texts
+
+    texts = odd_texts()[::3]
+    ids, n = S.Encoder(S.vocabulary()).encode(pa.array(texts))
+    want = [e.ids + [1] for e in Tokenizer.from_file(S.vocabulary()).encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_metadata_and_lookup(spark):
     path = Scratch(spark, "t").path("orc")
     docs = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text")
