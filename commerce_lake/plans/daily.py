@@ -2,7 +2,8 @@
 the curated zone, rebuild the marts, run the quality checks and record the
 run's metrics row.  Replaying the same run date changes nothing: landing
 overwrites its own partition, curated tables are keyed upserts (unchanged
-rows are not appended), marts are rebuilt whole, the metrics row is
+rows are not appended), marts are replaced by one commit record each (the return
+rate recomputes the months that the change logs touch), the metrics row is
 upserted by run id.
 
 This composes the library; it is not a scheduler (no retries, no
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.operators.asof import assert_no_overlap
+from commerce_lake.operators.manifest import Manifest
 from commerce_lake.operators.upsert import ChangeLog
 from commerce_lake.plans import quality as Q
 from commerce_lake.plans import runs as R
@@ -41,6 +43,7 @@ class DailyResult:
     landed: dict = field(default_factory=dict)
     failed_expectations: int = 0
     failed_tests: int = 0
+    recomputed_months: list = field(default_factory=list)  # of the return rate; empty at its first build
 
 
 def _now() -> _dt.datetime:
@@ -86,12 +89,14 @@ def daily_run(spark: SparkSession, source_dir: str, base: str, run_date: str, sa
     lake = Lake(spark, base, as_of=as_of)
     lake.__dict__["cur"] = cur  # the warehouse reads the stored curated zone
 
+    marts = mart_store(spark, base)
+
     def build_marts():
         from commerce_lake.plans import warehouse as W
 
-        def stored(name, df):
-            df.write.mode("overwrite").parquet(f"{base}/marts/{name}")
-            return spark.read.schema(df.schema).parquet(f"{base}/marts/{name}")
+        def stored(name, df, note=None):
+            lake._stored[name] = marts.write(name, df, note)
+            return lake._stored[name]
 
         # dimensions first: the fact reads the stored versions, checked for overlaps
         for name, key, df in (("dim_customer", "customer_id", _snapshot_dim(spark, base, cur, "customers", run_ts)),
@@ -102,28 +107,51 @@ def daily_run(spark: SparkSession, source_dir: str, base: str, run_date: str, sa
             lake.__dict__[name] = dim
         models = {"dim_date": W.dim_date(spark, orders=cur["orders"]), "dim_payment_method": W.dim_payment_method(cur),
                   "dim_delivery_status": W.dim_delivery_status(cur), "fact_order_line": lake.fact(),
-                  "mart_customer_rfm": lake.rfm(), "mart_product_rotation": lake.rotation(),
-                  "mart_category_return_rate": lake.return_rate()}
+                  "int_customer_order_stats": lake.customer_stats(), "mart_customer_rfm": lake.rfm(),
+                  "mart_product_rotation": lake.rotation()}
         for name, df in models.items():
             stored(name, df)
+        # the return rate is kept up by what changed in the curated logs since it was built
+        logs = {t: ChangeLog(spark, f"{base}/curated/{t}", KEYS[t], PARTITIONS.get(t)) for t in W.RETURN_RATE_SOURCES}
+        name, versions = "mart_category_return_rate", {t: log.latest_version() for t, log in logs.items()}
+        if since := marts.note(name):
+            res.recomputed_months = W.changed_months(logs, since)
+            if res.recomputed_months:
+                stored(name, W.mart_category_return_rate_from_changes(cur, marts.read(name), res.recomputed_months), versions)
+            else:
+                lake._stored[name] = marts.read(name)
+        else:
+            stored(name, lake.return_rate(), versions)
 
     step("marts", build_marts)
 
     def quality():
+        from commerce_lake.plans import warehouse as W
+
+        at = f"{base}/quality/{run_date}"
         exp = Q.expectation_results(cur)
-        R.write_summary(exp, f"{base}/quality/{run_date}/expectations")
+        R.write_summary(exp, f"{at}/expectations")
+        R.write_summary(Q.suite_summary(exp), f"{at}/expectation_summary")
         tests = Q.relational_tests(lake)
-        R.write_summary(tests, f"{base}/quality/{run_date}/relational_tests")
-        res.failed_expectations = exp.where(~F.col("success")).count()
-        res.failed_tests = tests.where(F.col("status") == "fail").count()
+        R.write_summary(tests, f"{at}/relational_tests")
+        R.write_summary(L.load_audit(spark, f"{base}/raw", [run_date]), f"{at}/load_audit")
+        R.write_summary(R.volume_report({f: cur[f] for f in FEEDS}, W.stg_quarantine(cur)), f"{at}/volumes")
+        res.failed_expectations = spark.read.json(f"{at}/expectations").where(~F.col("success")).count()
+        res.failed_tests = spark.read.json(f"{at}/relational_tests").where(F.col("status") == "fail").count()
         if fail_on_error and (res.failed_expectations or res.failed_tests):
             raise QualityError(f"{res.failed_expectations} expectations and {res.failed_tests} tests failed")
 
     step("quality", quality)
+    marts.purge()
     _record(spark, base, run_id, run_date, res)
     return res
 
 
+def mart_store(spark: SparkSession, base: str) -> Manifest:
+    """The marts of a lake: each is replaced by one commit record, never in place."""
+    return Manifest(spark, f"{base.rstrip('/')}/marts")
+
+
 def _snapshot_dim(spark: SparkSession, base: str, cur: dict[str, DataFrame], what: str, run_ts: str) -> DataFrame:
     """Customer or product dimension from a stored snapshot: each run applies
     itself to the versions stored so far, so earlier versions are kept."""

@@ -315,17 +315,27 @@ def _generic(test: Test, m: dict[str, DataFrame]) -> DataFrame:
 
 
 def _model_counts(model: str, tests: list[Test], df: DataFrame) -> DataFrame:
-    aggs = []
-    for i, t in enumerate(tests):
-        c = F.col(t.column)
-        if t.kind == "not_null":
-            aggs.append(F.count_if(c.isNull()).alias(f"_f{i}"))
-        else:  # distinct values outside the list (nulls pass)
-            aggs.append(F.count_distinct(F.when(c.isNotNull() & ~c.isin(*t.values), c)).alias(f"_f{i}"))
-    rows = ", ".join(f"'{t.test_id}', '{t.kind}', '{t.model}', '{t.column}', CAST(_f{i} AS BIGINT)"
-                     for i, t in enumerate(tests))
-    return df.agg(*aggs).selectExpr(
-        f"stack({len(tests)}, {rows}) AS (test_id, kind, model, column_name, failures)")
+    """A model's not-null and accepted-values tests: one scan each kind.  The
+    rows that break a list are filtered before their distinct values are counted,
+    so a row that breaks none is neither expanded nor shuffled."""
+    nulls = [t for t in tests if t.kind == "not_null"]
+    lists = [t for t in tests if t.kind == "accepted_values"]
+    out = None
+    if nulls:
+        rows = ", ".join(f"'{t.test_id}', '{t.kind}', '{t.model}', '{t.column}', _f{i}" for i, t in enumerate(nulls))
+        out = df.agg(*[F.count_if(F.col(t.column).isNull()).alias(f"_f{i}") for i, t in enumerate(nulls)]).selectExpr(
+            f"stack({len(nulls)}, {rows}) AS (test_id, kind, model, column_name, failures)")
+    if lists:
+        broken = [F.when(F.col(t.column).isNotNull() & ~F.col(t.column).isin(*t.values),
+                         F.struct(F.lit(t.test_id).alias("test_id"), F.col(t.column).cast("string").alias("value"))) for t in lists]
+        found = (df.select(F.explode(F.filter(F.array(*broken), lambda b: b.isNotNull())).alias("b")).select("b.*").distinct()
+                 .groupBy("test_id").agg(F.count(F.lit(1)).alias("failures")))
+        known = df.sparkSession.createDataFrame([(t.test_id, t.kind, t.model, t.column) for t in lists],
+                                                "test_id string, kind string, model string, column_name string")
+        some = known.join(found, "test_id", "left").select(
+            "test_id", "kind", "model", "column_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
+        out = some if out is None else out.unionByName(some)
+    return out
 
 
 def _singular(name: str, m: dict[str, DataFrame]) -> DataFrame:
@@ -348,19 +358,11 @@ def _singular(name: str, m: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(name)
 
 
-def relational_tests(lake, materialize: bool = True) -> DataFrame:
-    """All 65 tests.  With ``materialize`` each model is computed once and
-    checkpointed (reliable checkpoint in ``spark.checkpoint.dir``, so it
-    survives a lost executor); the 65 small aggregates then read it instead
-    of re-planning the whole model chain per test."""
-    m = models(lake)
-    if materialize:
-        from commerce_lake.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(lake.spark)
-        # staging models are projections of stored tables already; only the
-        # computed models (dimensions, fact, marts, stats) are materialized
-        m = {k: v if k.startswith("stg_") else v.checkpoint(eager=True) for k, v in m.items()}
+def relational_tests(lake) -> DataFrame:
+    """All 65 tests.  Staging models are projections of stored tables; the
+    computed ones (dimensions, fact, marts, stats) are stored once by the lake
+    (or were, by the daily run), and the 65 small aggregates read them."""
+    m = {k: v if k.startswith("stg_") else lake.stored(k, v) for k, v in models(lake).items()}
     parts = []
     # per model, every not-null and accepted-values test is one column of a
     # single aggregate; uniqueness and relationships need their own shuffle

@@ -24,7 +24,7 @@ from commerce_lake.functions.expr import date_key, dec, md5_key, year_month
 from commerce_lake.operators.asof import asof_ordered
 from commerce_lake.operators.ranking import global_ntile, global_running_sum
 from commerce_lake.operators.scd2 import dimension_view, snapshot_check, snapshot_timestamp
-from commerce_lake.operators.upsert import upsert_frames
+from commerce_lake.operators.upsert import ChangeLog, upsert_frames
 from commerce_lake.schemas import (
     ABC_A_SHARE,
     ABC_B_SHARE,
@@ -360,13 +360,15 @@ def mart_product_rotation(dim_prod: DataFrame, stats: DataFrame, as_of: str,
     )
 
 
-def return_rate_lines(cur: dict[str, DataFrame], min_month: str | None = None) -> DataFrame:
+def return_rate_lines(cur: dict[str, DataFrame], min_month: str | None = None,
+                      months: list[str] | None = None) -> DataFrame:
     """Lines of orders that count for the return rate.  With ``min_month``
-    ('yyyy-MM'), stored orders and lines are filtered on their partition
-    column first, so only the recomputed months are read (a line carries
-    its order's month)."""
-    if min_month is not None:
-        pruned = {t: cur[t].where(F.col("order_year_month") >= F.lit(min_month)) for t in ("orders", "order_lines")}
+    ('yyyy-MM') or a list of ``months``, stored orders and lines are filtered on
+    their partition column first, so only those months are read (a line
+    carries its order's month)."""
+    month = F.col("order_year_month")
+    for wanted in ([month >= F.lit(min_month)] if min_month is not None else []) + ([month.isin(months)] if months is not None else []):
+        pruned = {t: cur[t].where(wanted) for t in ("orders", "order_lines")}
         cur = {**pruned, **{t: cur[t] for t in ("products", "payments", "deliveries")}}
     le = lines_enriched(cur).select("order_id", "product_id", "line_total")
     o = orders_enriched(cur).where(~F.col("order_status").isin(*NOT_IN_RETURN_RATE)).select(
@@ -376,10 +378,11 @@ def return_rate_lines(cur: dict[str, DataFrame], min_month: str | None = None) -
         "order_year_month", year_month("order_date"))
 
 
-def mart_category_return_rate(cur: dict[str, DataFrame], min_month: str | None = None) -> DataFrame:
+def mart_category_return_rate(cur: dict[str, DataFrame], min_month: str | None = None,
+                              months: list[str] | None = None) -> DataFrame:
     """Distinct orders, returned orders, rate, revenue per month, country and
     category.  Lines -> one row per (group, order) -> one row per group."""
-    j = return_rate_lines(cur, min_month)
+    j = return_rate_lines(cur, min_month, months)
     keys = ["order_year_month", "country_code", "category_name"]
     per_order = j.groupBy(*keys, "order_id").agg(
         F.sum("line_total").alias("_rev"),
@@ -423,3 +426,46 @@ def mart_category_return_rate_incremental(cur: dict[str, DataFrame], existing: D
         return mart_category_return_rate(cur)
     fresh = mart_category_return_rate(cur, row["_min_month"])
     return upsert_frames(existing, fresh, ["row_key"], check_unique=False)
+
+
+RETURN_RATE_SOURCES = ["orders", "order_lines", "products", "payments", "deliveries"]
+
+
+def changed_months(logs: dict[str, ChangeLog], since: dict[str, int]) -> list[str]:
+    """Months whose return rate may differ from the one built at versions ``since``.
+
+    From the change logs alone: the months of orders and lines that came, went or
+    changed (old and new values), and of the orders behind changed products,
+    payments and deliveries.  The result is a list of calendar months."""
+    def changes(t):
+        now = logs[t].latest_version()
+        return None if now is None or now == since[t] else logs[t].changes(since[t], now)
+
+    parts = []
+    for t in RETURN_RATE_SOURCES:
+        rows = changes(t)
+        if rows is None:
+            continue
+        if t in ("orders", "order_lines"):
+            parts.append(rows.select("order_year_month"))
+        elif t == "products":
+            touched = rows.select("product_id").distinct()
+            parts.append(logs["order_lines"].current().join(touched, "product_id", "left_semi").select("order_year_month"))
+        else:
+            touched = rows.select("order_id").distinct()
+            parts.append(logs["orders"].current().join(touched, "order_id", "left_semi").select("order_year_month"))
+    if not parts:
+        return []
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return sorted(r[0] for r in every.where("order_year_month IS NOT NULL").distinct().collect())
+
+
+def mart_category_return_rate_from_changes(cur: dict[str, DataFrame], stored: DataFrame, months: list[str]) -> DataFrame:
+    """The stored mart with the given months computed anew; groups that left a
+    month go, so the result is that of a full build."""
+    if not months:
+        return stored
+    kept = stored.where(~F.col("order_year_month").isin(months))
+    return kept.unionByName(mart_category_return_rate(cur, months=months))

@@ -19,10 +19,11 @@ from commerce_lake.operators import ranking
 from commerce_lake.operators.asof import asof_ordered
 from commerce_lake.operators.latest import top1_by
 from commerce_lake.operators.scd2 import VALID_FROM, VALID_TO, history_from_changes, snapshot_check, snapshot_timestamp
-from commerce_lake.operators.upsert import upsert_frames
+from commerce_lake.operators.upsert import ChangeLog, upsert_frames
 from commerce_lake.plans import curated as C
 from commerce_lake.plans import profile as PR
 from commerce_lake.plans import quality as Q
+from commerce_lake.plans import runs as R
 from commerce_lake.plans import warehouse as W
 from commerce_lake.plans.pipeline import ParquetStore
 from commerce_lake.sources import fixtures as fx
@@ -54,6 +55,7 @@ class Lake:
         self.sf_dir = sf_dir
         self.orders_filter = orders_filter
         self.as_of = as_of
+        self._stored: dict[str, DataFrame] = {}
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
@@ -69,6 +71,12 @@ class Lake:
         is a stored layer that the marts read."""
         return C.CuratedZone(self.raw, fx.HASH_SALT, fx.RUN_DATE, ParquetStore.scratch(self.spark))
 
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """The frame, written once per lake beside its curated zone."""
+        if name not in self._stored:
+            self._stored[name] = self.cur.store(f"models/{name}", df)
+        return self._stored[name]
+
     @cached_property
     def dim_customer(self) -> DataFrame:
         return W.dim_customer(W.snap_customers(self.cur, RUN_TS))
@@ -371,6 +379,69 @@ def q_scd2_history(spark, sf):
                     F.col("version_no").cast("bigint").alias("version_no"), "is_current")
 
 
+# ----------------------------------------------------------------------------- runs and stored versions
+def step_events(spark, sf):
+    """Step events of made pipeline runs: event i is a step of run i % 500."""
+    return _events(spark, sf).selectExpr(
+        "concat('run-', event_id % 500) AS run_id", "concat('dag-', event_id % 500 % 7) AS dag_id",
+        "concat('day-', event_id % 500) AS logical_date", "event_type AS step",
+        "CASE WHEN event_id % 231 = 0 THEN 'failed' WHEN event_id % 290 = 0 THEN 'upstream_failed' ELSE 'success' END AS state",
+        "ts AS started_at", "ts + make_dt_interval(0, 0, 0, CAST(event_id % 600 AS INT)) AS ended_at", "event_id")
+
+
+def _runs_shown(df):
+    return df.withColumn("failed_tasks", F.array_join("failed_tasks", ","))
+
+
+def q_run_state(spark, sf):
+    return _runs_shown(R.run_state(step_events(spark, sf)))
+
+
+def q_run_metrics(spark, sf):
+    """Metrics rows of a first report, replaced by run id by a later one that saw all steps."""
+    steps = step_events(spark, sf)
+    cur = _lake(spark, sf).cur
+    volumes = lambda runs: R.with_volumes(runs, cur["orders"], cur["quarantine"])
+    first = R.record_runs(None, volumes(R.run_state(steps.where("event_id % 3 = 0 AND event_id % 500 < 400"))), "2001-08-02 07:00:00")
+    return _runs_shown(R.record_runs(first, volumes(R.run_state(steps.where("event_id % 500 >= 100"))), "2001-08-02 08:00:00"))
+
+
+def _event_log(spark, sf) -> ChangeLog:
+    """The events in a change log: the earlier days, then the last day with its corrections."""
+    cache = spark.__dict__.setdefault("_cl_event_logs", {})
+    if sf not in cache:
+        target, batch = event_batches(spark, sf)
+        log = ChangeLog(spark, f"{ParquetStore.scratch(spark, 'events').base}/log", ["event_id"])
+        log.upsert(target)
+        log.upsert(batch)
+        cache[sf] = log
+    return cache[sf]
+
+
+def q_time_travel(spark, sf):
+    log = _event_log(spark, sf)
+    return log.current(0).withColumn("version", F.lit(0).cast("bigint")).unionByName(
+        log.current(1).withColumn("version", F.lit(1).cast("bigint")))
+
+
+def q_version_changes(spark, sf):
+    """Both directions between the two stored versions: rows gone and rows new."""
+    return _event_log(spark, sf).changes(0, 1).withColumnRenamed("_change", "change")
+
+
+def q_restore_rows(spark, sf):
+    """Every twentieth event put back to its state before the newest version that touched it."""
+    log = _event_log(spark, sf).compact(f"{ParquetStore.scratch(spark, 'restored').base}/log")
+    before = event_batches(spark, sf)[0].where("event_id % 20 = 0")
+    log.upsert(before.withColumn("value", F.col("value") - F.lit(5.0)))
+    log.restore_rows(before.select("event_id"))
+    return log.current()
+
+
+def q_stg_quarantine(spark, sf):
+    return W.stg_quarantine(_lake(spark, sf).cur)
+
+
 # ----------------------------------------------------------------------------- quality & profile
 def q_expectation_results(spark, sf):
     return Q.expectation_results(_lake(spark, sf).cur)
@@ -446,6 +517,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_events": q_upsert_events,
     "version_diff": q_version_diff,
     "scd2_history": q_scd2_history,
+    "run_state": q_run_state,
+    "run_metrics": q_run_metrics,
+    "time_travel": q_time_travel,
+    "version_changes": q_version_changes,
+    "restore_rows": q_restore_rows,
+    "stg_quarantine": q_stg_quarantine,
     "expectation_results": q_expectation_results,
     "relational_tests": q_relational_tests,
     "profile_nulls": q_profile_nulls,

@@ -1,9 +1,10 @@
 """Relational sink: full reload of a table over JDBC (truncate + batched
 insert), then a read-back count.
 
-The writer keeps the target table (``truncate``), sends rows in batches and
-bounds the number of concurrent connections with ``numPartitions`` (Spark
-coalesces the DataFrame to that many tasks, one connection each)."""
+The writer keeps the target table (``truncate``) and sends rows in batches over
+as many connections as the target is said to take.  The rows are dealt to that
+many tasks by an exchange, so the stage before it keeps its own parallelism
+(coalescing would narrow it to the connections)."""
 
 from __future__ import annotations
 
@@ -16,13 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 class JdbcTarget:
     url: str
     properties: dict
+    max_connections: int  # the database's limit: there is no default that fits all
     batch_size: int = 5000
-    max_connections: int = 8
+
+    def __post_init__(self):
+        if self.max_connections < 1:
+            raise ValueError("a reload needs a connection")
 
 
 def reload_table(df: DataFrame, target: JdbcTarget, table: str) -> None:
     """Replace the rows of ``table`` (created on first use)."""
-    (df.write.mode("overwrite")
+    (df.repartition(target.max_connections).write.mode("overwrite")
      .option("truncate", "true")
      .option("batchsize", str(target.batch_size))
      .option("numPartitions", str(target.max_connections))

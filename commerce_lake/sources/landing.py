@@ -1,15 +1,16 @@
-"""Landing zone (raw): feeds are copied as text into Parquet, one partition
-per run date, replay-safe.
+"""Landing zone (raw): feeds are copied as text into Parquet, one live copy
+per feed and run date, replay-safe.
 
 * ``read_feed``   - headered UTF-8 CSV, every column text, no inference;
   required columns checked against the declared feed schema (S1).
 * ``with_lineage`` - source file, ingestion time, run date (S2).
-* ``land``        - dynamic partition overwrite of ``ingestion_date``: a
-  replayed run date replaces its partition and nothing else (S3); the row
-  count is observed on the write itself and compared with a count of the
-  stored partition (S5); the original lines are archived compressed (S4).
-* ``load_audit``  - expected feeds x run dates without rows (S6).
-* ``read_raw``    - one run date of one feed, by partition filter (S7).
+* ``land``        - a delivery is written beside what is there and made live by
+  one record in the feed's manifest: a replayed run date replaces its copy and
+  nothing else, an empty delivery is a valid copy (S3); the row count is observed
+  on the write itself and compared with a count of the stored copy before the
+  record is made (S5); the original lines are archived compressed (S4).
+* ``load_audit``  - expected feeds x run dates without rows, from the manifests (S6).
+* ``read_raw``    - one run date of one feed: its live copy's files alone (S7).
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commerce_lake.operators.manifest import Manifest
 from commerce_lake.schemas import FEED_COLUMNS, FEEDS
 
 
@@ -82,22 +84,22 @@ def land(spark: SparkSession, source_dir: str, raw_root: str, feed: str, run_dat
     t0 = _dt.datetime.now()
     file_name = f"{feed}.csv"
     src = f"{source_dir.rstrip('/')}/{file_name}"
-    df = with_lineage(read_feed(spark, src, feed), file_name, run_date).withColumn(
-        "ingestion_date", F.lit(run_date))
-    obs = Observation(f"land_{feed}_{run_date}")
-    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingestion_date").parquet(f"{raw_root.rstrip('/')}/{feed}"))
-    rows_in = int(obs.get["rows"])
-    rows_out = read_raw(spark, raw_root, feed, run_date).count()
+    counts = {}
+
+    def reconciled(rows_in: int, stored: DataFrame) -> None:
+        counts.update(rows_in=rows_in, rows_out=stored.count())
+        if counts["rows_in"] != counts["rows_out"]:
+            raise ReconciliationError(f"row mismatch for {feed}: {counts['rows_in']} != {counts['rows_out']}")
+
+    manifest(spark, raw_root, feed).write(run_date, with_lineage(read_feed(spark, src, feed), file_name, run_date), check=reconciled)
     if archive_root:
         archive(spark, src, f"{archive_root.rstrip('/')}/{feed}/{run_date}")
-    status = "success" if rows_in == rows_out else "row_count_mismatch"
-    res = LandingResult(feed, run_date, rows_in, rows_out, round((_dt.datetime.now() - t0).total_seconds(), 2),
-                        status)
-    if status != "success":
-        raise ReconciliationError(f"row mismatch for {feed}: {rows_in} != {rows_out}")
-    return res
+    return LandingResult(feed, run_date, counts["rows_in"], counts["rows_out"],
+                         round((_dt.datetime.now() - t0).total_seconds(), 2), "success")
+
+
+def manifest(spark: SparkSession, raw_root: str, feed: str) -> Manifest:
+    return Manifest(spark, f"{raw_root.rstrip('/')}/{feed}")
 
 
 def archive(spark: SparkSession, src: str, target: str) -> None:
@@ -107,26 +109,18 @@ def archive(spark: SparkSession, src: str, target: str) -> None:
 
 
 def read_raw(spark: SparkSession, raw_root: str, feed: str, run_date: str) -> DataFrame:
-    """One run date of a feed; the filter on the partition column prunes
-    every other directory."""
-    return (spark.read.parquet(f"{raw_root.rstrip('/')}/{feed}")
-            .where(F.col("ingestion_date") == F.lit(run_date)).drop("ingestion_date"))
+    """One run date of a feed: the files of its live copy."""
+    return manifest(spark, raw_root, feed).read(run_date)
 
 
 def load_audit(spark: SparkSession, raw_root: str, run_dates: Sequence[str],
                feeds: Sequence[str] = FEEDS) -> DataFrame:
     """Expected (feed, run date) pairs with their landed row counts; a
-    missing pair shows 0 rows.  Reads only the partition column."""
+    missing pair shows 0 rows and ``landed`` false.  Reads the manifests only."""
     expected = spark.createDataFrame([(f, d) for f in feeds for d in run_dates], "feed string, run_date string")
     landed = None
     for f in feeds:
-        path = f"{raw_root.rstrip('/')}/{f}"
-        if not _exists(spark, path):
-            continue
-        c = (spark.read.parquet(path).groupBy(F.col("ingestion_date").cast("string").alias("run_date"))
-             .agg(F.count(F.lit(1)).alias("rows")).withColumn("feed", F.lit(f)))
+        c = manifest(spark, raw_root, f).records().select(F.lit(f).alias("feed"), F.col("key").alias("run_date"), "rows")
         landed = c if landed is None else landed.unionByName(c)
-    if landed is None:
-        return expected.withColumn("rows", F.lit(0).cast("long"))
-    return expected.join(landed, ["feed", "run_date"], "left").withColumn(
-        "rows", F.coalesce(F.col("rows"), F.lit(0).cast("long")))
+    out = expected.join(landed, ["feed", "run_date"], "left")
+    return out.select("feed", "run_date", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), F.col("rows").isNotNull().alias("landed"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from commerce_lake.operators.upsert import ChangeLog
 import pytest
 
-from commerce_lake.plans.daily import MARTS, STEPS, _snapshot_dim, daily_run
+from commerce_lake.plans.daily import MARTS, STEPS, _snapshot_dim, daily_run, mart_store
 from commerce_lake.plans.pipeline import KEYS, PARTITIONS
 from commerce_lake.schemas import FEED_COLUMNS
 from commerce_lake.sources import fixtures as fx
@@ -23,7 +23,7 @@ def _write_csv_feeds(spark, folder):
 
 
 def _snapshot(spark, base):
-    marts = {m: spark.read.parquet(f"{base}/marts/{m}") for m in MARTS}
+    marts = {m: mart_store(spark, base).read(m) for m in MARTS}
     return {m: sorted(map(tuple, df.collect()), key=str) for m, df in marts.items()}
 
 
@@ -41,7 +41,40 @@ def test_daily_run_twice_gives_identical_tables(spark, scratch):
         assert hist[-1]["rows_written"] == 0  # the replay appended nothing
     runs = ChangeLog(spark, f"{base}/ops/pipeline_runs", ["run_id"]).current().collect()
     assert len(runs) == 1 and runs[0]["state"] == "success" and runs[0]["orders_count"] > 0
-    assert r2.failed_tests == r1.failed_tests
+    assert r2.failed_tests == r1.failed_tests and r2.recomputed_months == []
+    audit = spark.read.json(f"{base}/quality/2001-08-02/load_audit")
+    assert audit.where("landed").count() == 6 and spark.read.json(f"{base}/quality/2001-08-02/volumes").count() > 6
+
+
+def test_return_rate_from_changes_equals_a_full_build(spark, scratch):
+    """Corrections in old months, a changed category, lines that come and a group that goes."""
+    from commerce_lake.plans import warehouse as W
+    from commerce_lake.plans.pipeline import ChangeLogStore, run_curated
+
+    raw = fx.raw_feeds(spark, SF_SMALL)
+    some = raw["orders"].where("order_id % 4 = 0")
+    store = ChangeLogStore(spark, f"{scratch}/curated")
+    first = {**raw, "orders": some, "order_lines": raw["order_lines"].where("order_id % 4 = 0 and order_id % 40 <> 0")}
+    cur = run_curated(first, "s", "2001-08-01", store)
+    logs = {t: ChangeLog(spark, f"{scratch}/curated/{t}", KEYS[t], PARTITIONS.get(t)) for t in W.RETURN_RATE_SOURCES}
+    since = {t: log.latest_version() for t, log in logs.items()}
+    marts = mart_store(spark, scratch)
+    built = marts.write("m", W.mart_category_return_rate(cur), since)
+    assert W.changed_months(logs, marts.note("m")) == []
+    late = F.col("order_date") < F.lit("1996-01-01").cast("timestamp")
+    second = {**first, "orders": some.withColumn("order_status", F.when(late & (F.col("order_id") % 12 == 0), "RETURNED").otherwise(F.col("order_status")))
+              .withColumn("updated_at", F.when(late & (F.col("order_id") % 12 == 0), F.expr("updated_at + INTERVAL 9 DAYS")).otherwise(F.col("updated_at"))),
+              "order_lines": first["order_lines"].unionByName(raw["order_lines"].where("order_id = 40")),
+              "products": raw["products"].withColumn("category_name", F.when(F.col("product_id") == 7, "MOVED").otherwise(F.col("category_name")))}
+    cur = run_curated(second, "s", "2001-08-02", store)
+    months = W.changed_months(logs, marts.note("m"))
+    assert 0 < len(months) < built.select("order_year_month").distinct().count()
+    got = W.mart_category_return_rate_from_changes(cur, marts.read("m"), months)
+    want = W.mart_category_return_rate(cur)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert not want.exceptAll(built).isEmpty()
+    marts.write("m", got, {t: log.latest_version() for t, log in logs.items()})
+    assert marts.purge() == 1 and marts.read("m").count() == want.count()
 
 
 def test_product_versions_are_kept_from_day_to_day(spark, scratch):

@@ -63,3 +63,31 @@ def test_load_audit_shows_missing_feeds(spark, scratch):
     audit = {(r["feed"], r["run_date"]): r["rows"] for r in
              L.load_audit(spark, raw, ["2026-09-30"], ["orders", "payments"]).collect()}
     assert audit == {("orders", "2026-09-30"): 3, ("payments", "2026-09-30"): 0}
+
+
+def test_an_empty_redelivery_is_a_valid_copy(spark, scratch):
+    src, raw = f"{scratch}/source", f"{scratch}/raw"
+    write_orders_csv(src)
+    L.land(spark, src, raw, "orders", "2026-09-30")
+    write_orders_csv(src, n=0)
+    res = L.land(spark, src, raw, "orders", "2026-09-30")
+    assert (res.rows_in, res.rows_out, res.status) == (0, 0, "success")
+    df = L.read_raw(spark, raw, "orders", "2026-09-30")
+    assert df.count() == 0 and "_ingested_at" in df.columns and "order_id" in df.columns
+    rows = L.load_audit(spark, raw, ["2026-09-30", "2026-10-01"], ["orders"]).collect()
+    assert sorted((r["run_date"], r["rows"], r["landed"]) for r in rows) == [("2026-09-30", 0, True), ("2026-10-01", 0, False)]
+    assert L.manifest(spark, raw, "orders").purge() == 1  # the first delivery
+
+
+def test_a_delivery_that_does_not_reconcile_changes_nothing(spark, scratch, monkeypatch):
+    src, raw = f"{scratch}/source", f"{scratch}/raw"
+    write_orders_csv(src)
+    L.land(spark, src, raw, "orders", "2026-09-30")
+    write_orders_csv(src, n=5)
+    m = L.Manifest.write
+    monkeypatch.setattr(L.Manifest, "write", lambda self, key, df, note=None, check=None: m(self, key, df, note, lambda n, f: check(n + 1, f)))
+    with pytest.raises(L.ReconciliationError):
+        L.land(spark, src, raw, "orders", "2026-09-30")
+    assert L.read_raw(spark, raw, "orders", "2026-09-30").count() == 3
+    with pytest.raises(FileNotFoundError):
+        L.read_raw(spark, raw, "orders", "2026-10-09")
