@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import free_prefix
 from .scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -145,6 +146,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The documents, with all their columns, that no benchmark window occurs in."""
     found = _per_document(_keyed(docs), items, Scratch(docs.sparkSession, "decontaminate"), window, shingle)
-    bad = found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__d"))
-                     & F.xxhash64(docs["text"]).eqNullSafe(F.col("__t")), "left_anti")
+    p = free_prefix(docs)
+    bad = found.select(F.col("doc_id").alias(p + "d"), F.col("text_key").alias(p + "t"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(p + "d"))
+                     & F.xxhash64(docs["text"]).eqNullSafe(F.col(p + "t")), "left_anti")

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .names import free_prefix
 from .scratch import Scratch
 
 WEIGHTS, LIMIT = (1, 2, 3), 3
@@ -219,7 +220,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     _, state = plan(docs, scratch, weights)
-    p = "__mix_"
+    p = free_prefix(docs, "__mix_")
     state = state.select(*[F.col(c).alias(p + c) for c in state.columns])
     state = F.broadcast(state) if state.count() <= 100_000 else state
     whole, words = _taken(p)

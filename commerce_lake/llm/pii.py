@@ -25,7 +25,8 @@ equal values stay linked across documents.  Spark expressions only.
 
 Defined cases: a null text stays null, an empty one empty; whole texts are
 searched; numbers that fail validation stay; repeated rows change alike; empty
-tables give no rows; other columns, also with clashing names, are kept.
+tables give no rows; other columns, whatever their names, are kept, but for one
+named pii, which gives way to the result's.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import free_prefix
+
 ROUNDS = 8  # even, so the halves end in their own places
 DEMO_KEY = "not-a-secret"
 
@@ -305,24 +308,24 @@ def _replacement(m: Column, kind: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with ``text`` pseudonymised, and ``pii``: kind, found and pseudonym per place, in order."""
-    t = F.col(f"`{text}`")
+    t, p = F.col(f"`{text}`"), free_prefix(docs)
     found = F.when(t.rlike("[0-9@]"), _found(t)).otherwise(F.array().cast("array<string>"))
 
     def kinds(found):  # kinds first, so that a validation is evaluated once per candidate
         return F.transform(found, lambda m: F.struct(m.alias("found"), kind_of(m).alias("kind")))
 
-    hides = F.exists(F.col("__kinds"), lambda k: F.when(k["kind"].isNull(), _hidden(k["found"])).isNotNull())
-    segments = F.col("__segments")
+    hides = F.exists(F.col(p + "kinds"), lambda k: F.when(k["kind"].isNull(), _hidden(k["found"])).isNotNull())
+    segments = F.col(p + "segments")
     again = F.flatten(F.transform(segments, lambda s, i: F.when(i % 2 == 0, _found(s)).otherwise(F.array(s))))
-    marks = F.transform(F.col("__kinds"), lambda k: F.struct(
+    marks = F.transform(F.col(p + "kinds"), lambda k: F.struct(
         k["kind"].alias("kind"), k["found"].alias("found"), _replacement(k["found"], k["kind"], key).alias("pseudonym")))
     pieces = F.when(segments.isNull(), F.split(t, ANY, -1)).otherwise(
         F.flatten(F.transform(F.filter(segments, lambda s, i: i % 2 == 0), lambda s: F.split(s, ANY, -1))))
-    woven = F.array_join(F.zip_with(pieces, F.transform(F.col("__marks"), lambda k: k["pseudonym"]),
+    woven = F.array_join(F.zip_with(pieces, F.transform(F.col(p + "marks"), lambda k: k["pseudonym"]),
                                     lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = (docs.withColumn("__found", found).withColumn("__kinds", kinds(F.col("__found")))
-           .withColumn("__segments", F.when(hides, _segments(t)))
-           .withColumn("__kinds", F.when(segments.isNull(), F.col("__kinds")).otherwise(kinds(again))).withColumn("__marks", marks)
-           .withColumn("__text", F.when(F.size("__marks") > 0, woven).otherwise(t)))
-    kept = [F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != "pii"]
-    return out.select(*kept, F.filter("__marks", lambda k: k["kind"].isNotNull()).alias("pii"))
+    out = (docs.withColumn(p + "found", found).withColumn(p + "kinds", kinds(F.col(p + "found")))
+           .withColumn(p + "segments", F.when(hides, _segments(t)))
+           .withColumn(p + "kinds", F.when(segments.isNull(), F.col(p + "kinds")).otherwise(kinds(again))).withColumn(p + "marks", marks)
+           .withColumn(p + "text", F.when(F.size(p + "marks") > 0, woven).otherwise(t)))
+    kept = [F.col(p + "text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != "pii"]
+    return out.select(*kept, F.filter(p + "marks", lambda k: k["kind"].isNotNull()).alias("pii"))

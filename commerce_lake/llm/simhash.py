@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .names import free_prefix
 from .scratch import Scratch
 
 SHINGLE, MAX_BITS, BLOCKS, PIVOTS_PER_BLOCK, SEED = 3, 3, 6, 8, 42
@@ -146,19 +147,20 @@ def group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) ->
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each class, with all its columns: the row that names the class (a class
     without an id: any of its rows, by the hash of the text); of equal rows one."""
-    scratch = Scratch(docs.sparkSession, "simhash")
+    scratch, p = Scratch(docs.sparkSession, "simhash"), free_prefix(docs)
+    d, t = p + "d", p + "t"
     fps, cls = classes(docs, scratch, shingle, max_bits)
     kept = scratch.store(
         fps.join(cls, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("component", "doc_id").agg(F.min(F.struct("text_key", "n")).alias("one"))
-        .select(F.col("doc_id").alias("__d"), "one.text_key", "one.n").withColumnRenamed("text_key", "__t"), "kept")
+        .select(F.col("doc_id").alias(d), "one.text_key", "one.n").withColumnRenamed("text_key", t), "kept")
 
     def rows(keys):
-        return docs.join(keys, docs["doc_id"].eqNullSafe(F.col("__d"))
-                         & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col("__t")), "left_semi")
+        return docs.join(keys, docs["doc_id"].eqNullSafe(F.col(d))
+                         & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col(t)), "left_semi")
 
-    repeated = kept.where("n > 1").select("__d", "__t")
+    repeated = kept.where("n > 1").select(d, t)
     if not repeated.take(1):  # ids are unique: the usual case needs no second pass
-        return rows(kept.select("__d", "__t"))
-    return rows(kept.where("n = 1").select("__d", "__t")).unionByName(rows(repeated).dropDuplicates(["doc_id", "text"]))
+        return rows(kept.select(d, t))
+    return rows(kept.where("n = 1").select(d, t)).unionByName(rows(repeated).dropDuplicates(["doc_id", "text"]))
