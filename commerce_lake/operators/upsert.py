@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+from commerce_lake.session import remove_path
+
+
 class DuplicateKeyError(ValueError):
     pass
 
@@ -101,11 +104,15 @@ class ChangeLog:
     """Append-only versioned table keyed by ``keys``.
 
     Layout: ``<path>/data`` (Parquet, partitioned by ``_version``, ``_attempt``
-    and any ``partition_by`` columns) and ``<path>/_commits`` (one row per
-    committed version, with the attempt that made it).  Every append writes
-    under a fresh attempt id, and readers take exactly the attempts that were
-    committed, so rows of a failed append stay invisible whatever its retry
-    writes.  One writer at a time."""
+    and any ``partition_by`` columns), ``<path>/_files`` (one row per file with
+    the range of its first key) and ``<path>/_commits`` (one row per committed
+    version, with the attempt that made it).  Every append writes under a fresh
+    attempt id, and readers take exactly the attempts that were committed, so
+    rows of a failed append stay invisible whatever its retry writes.  Rows are
+    laid down in key order, so an upsert of few keys opens the files whose ranges
+    it touches.  ``compact_in_place`` starts a new base version by one commit;
+    ``vacuum`` then removes what is older, and lost attempts.  One writer at a
+    time."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str] | None = None):
         self.spark = spark
@@ -122,11 +129,17 @@ class ChangeLog:
     def commits_path(self) -> str:
         return f"{self.path}/_commits"
 
-    def _exists(self) -> bool:
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.commits_path)
-        return p.getFileSystem(conf).exists(p)
+    @property
+    def files_path(self) -> str:
+        return f"{self.path}/_files"
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str | None = None) -> bool:
+        fs, p = self._fs(path or self.commits_path)
+        return fs.exists(p)
 
     def history(self) -> DataFrame:
         """Committed versions: version, committed_at, operation, rows_written, attempt."""
@@ -143,12 +156,41 @@ class ChangeLog:
         return None if row is None or row["v"] is None else int(row["v"])
 
     # -- reads
-    def _committed_rows(self, as_of_version: int | None = None) -> DataFrame:
+    def _committed(self, as_of_version: int | None = None) -> DataFrame:
+        """version and attempt of the commits that a reader needs: from the newest compaction on."""
+        commits = self.history()
+        if as_of_version is not None:
+            commits = commits.where(F.col("version") <= F.lit(as_of_version))
+        base = commits.where("operation = 'COMPACT'").agg(F.coalesce(F.max("version"), F.lit(0)).alias("base"))
+        return commits.crossJoin(F.broadcast(base)).where("version >= base").select("version", "attempt")  # base: one row
+
+    def _files_of(self, keys: DataFrame, committed: DataFrame) -> list[str] | None:
+        """Paths of the committed files whose key range meets that of ``keys``; None where all do."""
+        if not self._exists(self.files_path):
+            return None
+        k = self.keys[0]
+        low, high = keys.agg(F.min(k), F.max(k)).first()
+        files = self.spark.read.parquet(self.files_path).join(committed, ["version", "attempt"], "left_semi")
+        # a null key lies in no range: files that hold one are always read
+        meets = F.col("nulls") > 0
+        if low is not None:
+            meets = meets | ((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)))
+        rows = files.select("version", "file", F.coalesce(meets, F.lit(False)).alias("meets")).collect()  # a row a file
+        written = self.history().where("rows_written > 0").join(committed, ["version", "attempt"], "left_semi")
+        if {r["version"] for r in written.select("version").collect()} - {r["version"] for r in rows}:
+            return None  # an append without its files noted
+        return None if all(r["meets"] for r in rows) else [r["file"] for r in rows if r["meets"]]
+
+    def _committed_rows(self, as_of_version: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        committed = self._committed(as_of_version)
         data = self.spark.read.parquet(self.data_path)
-        committed = self.history().select(F.col("version").alias("_version"), F.col("attempt").alias("_attempt"))
+        files = None if keys is None else self._files_of(keys, committed)
+        if files is not None:
+            read = self.spark.read.schema(data.schema).option("basePath", self.data_path)
+            data = read.parquet(*files) if files else data.where(F.lit(False))
         if as_of_version is not None:
             data = data.where(F.col("_version") <= F.lit(as_of_version))
-            committed = committed.where(F.col("_version") <= F.lit(as_of_version))
+        committed = committed.select(F.col("version").alias("_version"), F.col("attempt").alias("_attempt"))
         # one row per committed version; AQE broadcasts it after measuring it
         return data.join(committed, ["_version", "_attempt"], "left_semi").drop("_attempt")
 
@@ -157,7 +199,7 @@ class ChangeLog:
         """State of the table (newest committed row per key) at a version.
         With ``keys_of``, only the keys present there (null-safe) are
         resolved: an upsert that touches a few keys does not sort the table."""
-        rows = self._committed_rows(as_of_version)
+        rows = self._committed_rows(as_of_version, keys_of)
         if keys_of is not None:
             k = keys_of.select(*self.keys).distinct()
             rows = rows.alias("r").join(k.alias("k"), _ns_cond("r", "k", self.keys), "left_semi")
@@ -195,12 +237,26 @@ class ChangeLog:
         out = rows.withColumn("_version", F.lit(version).cast("long")).withColumn("_attempt", F.lit(attempt))
         if self.partition_by:  # whole partitions per task, sized and split by AQE
             out = out.hint("rebalance", *self.partition_by)
+        else:  # near keys in one file
+            out = out.repartitionByRange(*self.keys)
         # the row count rides along with the write (no second job)
-        out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("_version", "_attempt", *self.partition_by).parquet(self.data_path)
+        (out.sortWithinPartitions(*self.partition_by, *self.keys).observe(obs, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").partitionBy("_version", "_attempt", *self.partition_by).parquet(self.data_path))
         n = int(obs.get.get("n", 0) or 0)
+        if n:
+            self._note_files(version, attempt)
         self._commit(version, operation, n, attempt)
         return version
 
+    def _note_files(self, version: int, attempt: str) -> None:
+        """The key ranges of an append's files: a read of their first key column."""
+        k = F.col(self.keys[0])
+        rows = (self.spark.read.option("basePath", self.data_path).parquet(f"{self.data_path}/_version={version}/_attempt={attempt}")
+                .groupBy(F.input_file_name().alias("file")).agg(F.min(k).alias("low"), F.max(k).alias("high"), F.count_if(k.isNull()).alias("nulls")))
+        decoded = F.expr("url_decode(replace(file, '+', '%2B'))")  # input_file_name encodes the path
+        (rows.select(F.lit(version).cast("long").alias("version"), F.lit(attempt).alias("attempt"), decoded.alias("file"), "low", "high", "nulls")
+         .coalesce(1).write.mode("append").parquet(self.files_path))
+
     def upsert(self, source: DataFrame, operation: str = "MERGE", check_unique: bool = True) -> int:
         """MERGE ``source`` (update all / insert all).  Appends only rows that
         are new or changed; returns the committed version."""
@@ -237,6 +293,31 @@ class ChangeLog:
             to_version = int(touched) - 1
         return self.update_only(self.current(to_version, keys_of=keys))
 
+    def compact_in_place(self) -> int:
+        """Appends the current state as a version that readers start from; older versions stay until ``vacuum``."""
+        return self._append(self.current(), "COMPACT")
+
+    def vacuum(self) -> int:
+        """Removes appends that no reader of the newest state needs and appends that were never committed."""
+        keep = {(r["version"], r["attempt"]) for r in self._committed().collect()}  # a row a version
+        fs, p = self._fs(self.data_path)
+        gone = 0
+        for v in fs.listStatus(p):
+            name = v.getPath().getName()
+            if not name.startswith("_version="):
+                continue
+            version, left = int(name.split("=")[1]), 0
+            for a in fs.listStatus(v.getPath()):
+                attempt = a.getPath().getName().split("=")[-1]
+                if (version, attempt) in keep:
+                    left += 1
+                else:
+                    remove_path(self.spark, a.getPath().toString())
+                    gone += 1
+            if not left:
+                remove_path(self.spark, v.getPath().toString())
+        return gone
+
     def compact(self, new_path: str) -> "ChangeLog":
         """Write the current state to a new base path as version 0."""
         nxt = ChangeLog(self.spark, new_path, self.keys, self.partition_by)

@@ -115,3 +115,49 @@ def test_changes_both_ways_and_restore_finds_the_version(spark, scratch):
     assert sorted(tuple(r) for r in log.current().select("k", "v").collect()) == [("1", "A"), ("2", "b"), ("3", "c")]
     with pytest.raises(ValueError):
         log.restore_rows(kv(spark, [("9", None)]))
+
+
+@pytest.mark.parametrize("partition_by", [None, ["m"]])
+def test_an_upsert_of_few_keys_opens_the_files_it_touches(spark, scratch, partition_by):
+    log = ChangeLog(spark, f"{scratch}/a b", ["k"], partition_by)
+    months = F.concat(F.lit("2026-0"), (F.col("id") / 1000).cast("int") + 1)
+    every = spark.range(4000, numPartitions=8).select(F.col("id").alias("k"), months.alias("m"), F.lit("old").alias("v"))
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        log.upsert(every)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    few = spark.createDataFrame([(17, "2026-01", "new"), (20, "2026-01", "new"), (None, "2026-09", "no key")], "k long, m string, v string")
+    whole, some = ([f for f in df.inputFiles() if "/data/" in f] for df in (log.current(), log.current(keys_of=few)))
+    assert len(whole) >= 4 and len(some) == 1
+    log.upsert(few)
+    assert {(r["k"], r["v"]) for r in log.current(keys_of=few).collect()} == {(17, "new"), (20, "new"), (None, "no key")}
+    assert log.current().count() == 4001
+    log.upsert(spark.createDataFrame([(None, "2026-09", "again"), (3999, "2026-04", "new")], "k long, m string, v string"))
+    assert log.current().where("k is null").first()["v"] == "again" and log.current().count() == 4001
+    assert log.current(keys_of=few.where("k > 10000")).count() == 0
+    assert log.history().where("version = 2").first()["rows_written"] == 2
+
+
+def test_compaction_in_place_is_one_commit_and_vacuum_removes_the_rest(spark, scratch, monkeypatch):
+    log = ChangeLog(spark, f"{scratch}/t", ["k"])
+    log.upsert(kv(spark, [("1", "a"), ("2", "b")]))
+    log.upsert(kv(spark, [("2", "B")]))
+    commit = ChangeLog._commit
+    monkeypatch.setattr(ChangeLog, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        log.compact_in_place()
+    monkeypatch.setattr(ChangeLog, "_commit", commit)
+    state = [("1", "a"), ("2", "B")]
+    assert sorted(map(tuple, log.current().collect())) == state
+    assert log.compact_in_place() == 2
+    assert sorted(map(tuple, log.current().collect())) == state and sorted(map(tuple, log.current(0).collect())) == [("1", "a"), ("2", "b")]
+    assert log.diff(2, 1).isEmpty()
+    assert log.vacuum() == 3  # two versions and the lost attempt
+    assert sorted(map(tuple, log.current().collect())) == state
+    log.upsert(kv(spark, [("3", "c")]))
+    assert sorted(map(tuple, log.current().collect())) == [*state, ("3", "c")] and log.vacuum() == 0
