@@ -48,8 +48,8 @@ LOW, HIGH = 50, 95  # percent of the positive's score
 SCALE = 256
 SHARD_ROWS, LEAST_SHARD_ROWS = 50_000, 2_000
 SAMPLE, MAX_CODES, ROUNDS = 20_000, 64, 8
-LIST_ROWS = 24  # rows a cell that the number of codes aims at
-BLOCK_ROWS = 512  # rows that are scored at once
+LIST_ROWS = 64  # rows a cell that the number of codes aims at
+BLOCK_ROWS = 1024  # rows that are scored at once
 EXACT = float(1 << 53)
 
 
@@ -186,12 +186,15 @@ def negatives_in(index: Index, label: int, q: np.ndarray, q_size: float, bounds,
                  low: int, high: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each positive score the n best rows of other labels inside its window."""
     found = {p: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for p in positive}
+    # whole scores: low * p <= 100 * s <= high * p
+    windows = {p: (-((-low * p) // 100), (high * p) // 100) for p in positive}
     open_ = set(found)
     for after, rows, s in index.visit(q, q_size, *bounds):
-        other = index.labels[rows] != label
-        ids, s = index.ids[rows][other], s[other]
+        some = np.flatnonzero((s >= min(windows[p][0] for p in open_)) & (s <= max(windows[p][1] for p in open_)))
+        some = some[index.labels[rows[some]] != label]
+        ids, s = index.ids[rows[some]], s[some]
         for p in list(open_):
-            lo, hi = -((-low * p) // 100), (high * p) // 100  # whole scores: low * p <= 100 * s <= high * p
+            lo, hi = windows[p]
             ok = (s >= lo) & (s <= hi)
             if ok.any():
                 found[p] = _best(np.r_[found[p][0], ids[ok]], np.r_[found[p][1], s[ok]], n)
