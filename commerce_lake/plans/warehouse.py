@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from commerce_lake.functions.expr import date_key, dec, md5_key, year_month
 from commerce_lake.operators.asof import asof_ordered
 from commerce_lake.operators.ranking import global_ntile, global_running_sum
+from commerce_lake.operators.skew import heavy_keys
 from commerce_lake.operators.scd2 import dimension_view, snapshot_check, snapshot_timestamp
 from commerce_lake.operators.upsert import ChangeLog, upsert_frames
 from commerce_lake.schemas import (
@@ -277,13 +278,16 @@ def dim_delivery_status(cur: dict[str, DataFrame]) -> DataFrame:
 def fact_order_line(cur: dict[str, DataFrame], dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
     """One row per order line; customer and product versions as of the order
     date (half-open intervals), unknown customer -> '-1'."""
+    # heavy keys from the stored columns, not from the joined rows: a line's customer is its order's
+    buyers = heavy_keys(cur["orders"].select(F.col("customer_id").cast("string").alias("_cust")), ["_cust"])
+    sold = heavy_keys(cur["order_lines"], ["product_id"])
     le = lines_enriched(cur)
     o = orders_enriched(cur).withColumn("_cust", F.col("customer_id").cast("string"))
     j = le.join(o.drop("customer_id"), "order_id", "inner")
     j = asof_ordered(j, dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to"),
-                  "_cust", "customer_id", "order_date", how="left", prefix="c_")
+                  "_cust", "customer_id", "order_date", how="left", prefix="c_", heavy=buyers)
     j = asof_ordered(j, dim_prod.select("product_key", "product_id", "valid_from", "valid_to"),
-                  "product_id", "product_id", "order_date", how="inner", prefix="p_")
+                  "product_id", "product_id", "order_date", how="inner", prefix="p_", heavy=sold)
     # one row per distinct status value; their size is known only once the
     # data is read, so AQE measures them and broadcasts them at run time
     pm = dim_payment_method(cur).select("payment_method", "payment_method_key")

@@ -19,6 +19,7 @@ from commerce_lake.operators import ranking
 from commerce_lake.operators.asof import asof_ordered
 from commerce_lake.operators.latest import top1_by
 from commerce_lake.operators.scd2 import VALID_FROM, VALID_TO, history_from_changes, snapshot_check, snapshot_timestamp
+from commerce_lake.operators.skew import heavy_keys
 from commerce_lake.operators.upsert import ChangeLog, upsert_frames
 from commerce_lake.plans import curated as C
 from commerce_lake.plans import profile as PR
@@ -250,8 +251,10 @@ def q_fact_asof_versions(spark, sf):
     cur = _lake(spark, sf).cur
     sold = cur["order_lines"].select("order_line_id", "order_id", "product_id").join(
         cur["orders"].select("order_id", "customer_id", "order_date"), "order_id")
-    j = asof_ordered(sold, fx.customer_versions(cur["customers"]), "customer_id", "customer_id", "order_date", prefix="c_")
-    j = asof_ordered(j, fx.product_versions(cur["products"]), "product_id", "product_id", "order_date", prefix="p_")
+    j = asof_ordered(sold, fx.customer_versions(cur["customers"]), "customer_id", "customer_id", "order_date", prefix="c_",
+                     heavy=heavy_keys(cur["orders"], ["customer_id"]))
+    j = asof_ordered(j, fx.product_versions(cur["products"]), "product_id", "product_id", "order_date", prefix="p_",
+                     heavy=heavy_keys(cur["order_lines"], ["product_id"]))
     return j.select("order_line_id", F.col("c_version_no").cast("bigint").alias("customer_version"),
                     F.col("p_version_no").cast("bigint").alias("product_version"))
 
