@@ -6,9 +6,10 @@ DataFrames.  Physical notes:
   rate seed (three rows);
 * every other join is an equi-join that AQE sizes at run time (it becomes a
   broadcast only after the built side has been measured);
-* the two global windows of the marts (RFM quintiles, ABC running share) use
-  the scale-out operators of ``operators.ranking`` instead of a window with
-  no PARTITION BY (which would funnel every row through one task);
+* the two global windows of the marts have no PARTITION BY, which would funnel
+  every row through one task: RFM quintiles compare rows with exact cut keys
+  (``operators.cuts``, no sort), the ABC running share uses the scale-out
+  running sum of ``operators.ranking``;
 * distinct counts that are implied by keys are plain counts; the return-rate
   mart aggregates lines to orders first and then orders to groups, which
   replaces two DISTINCT aggregates (an Expand of every row) by a partial
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from commerce_lake.functions.expr import date_key, dec, md5_key, year_month
 from commerce_lake.operators.asof import asof_ordered
-from commerce_lake.operators.ranking import global_ntile, global_running_sum
+from commerce_lake.operators.cuts import cut_ntiles
+from commerce_lake.operators.ranking import global_running_sum
 from commerce_lake.operators.skew import heavy_keys
 from commerce_lake.operators.scd2 import dimension_view, snapshot_check, snapshot_timestamp
 from commerce_lake.operators.upsert import ChangeLog, upsert_frames
@@ -305,18 +307,16 @@ def fact_order_line(cur: dict[str, DataFrame], dim_cust: DataFrame, dim_prod: Da
 
 
 # ----------------------------------------------------------------------------- marts
-def mart_customer_rfm(stats: DataFrame, as_of: str, n_partitions: int | None = None) -> DataFrame:
+def mart_customer_rfm(stats: DataFrame, as_of: str) -> DataFrame:
     """Quintile scores (5 = best), code and first-match segment.  Ties are
     broken by master_customer_id; nulls sort last ascending."""
     base = stats.select(
         "master_customer_id", "last_order_at", "order_count", "monetary_value",
         F.datediff(F.lit(as_of).cast("date"), F.to_date("last_order_at")).alias("recency_days"),
     )
-    mid = F.col("master_customer_id").asc()
-    s = global_ntile(base, 5, [F.col("recency_days").asc_nulls_last(), mid], "_r", n_partitions)
-    s = global_ntile(s, 5, [F.col("order_count").asc_nulls_last(), F.col("monetary_value").asc_nulls_last(), mid],
-                     "f_score", n_partitions)
-    s = global_ntile(s, 5, [F.col("monetary_value").asc_nulls_last(), mid], "m_score", n_partitions)
+    mid = "master_customer_id"
+    s = cut_ntiles(base, 5, {"_r": ["recency_days", mid], "f_score": ["order_count", "monetary_value", mid],
+                             "m_score": ["monetary_value", mid]})
     s = s.withColumn("r_score", (F.lit(6) - F.col("_r")).cast("int")).drop("_r")
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (

@@ -18,7 +18,7 @@ def stats(spark, data):
 
 def test_rfm_scores_when_count_is_not_a_multiple_of_five(spark):
     data = [(f"C{i:02d}", f"2026-04-{1 + i:02d} 00:00:00", None, i + 1, Decimal(10 * (i + 1))) for i in range(7)]
-    out = {r["master_customer_id"]: r for r in W.mart_customer_rfm(stats(spark, data), "2026-05-01", 3).collect()}
+    out = {r["master_customer_id"]: r for r in W.mart_customer_rfm(stats(spark, data), "2026-05-01").collect()}
     # 7 rows, 5 tiles: sizes 2,2,1,1,1; most recent = best recency
     assert [out[f"C{i:02d}"]["m_score"] for i in range(7)] == [1, 1, 2, 2, 3, 4, 5]
     # C00 ordered longest ago: largest recency, last tile, r = 6 - 5 = 1
@@ -28,7 +28,7 @@ def test_rfm_scores_when_count_is_not_a_multiple_of_five(spark):
 
 
 def test_rfm_segment_first_match(spark):
-    s = W.mart_customer_rfm(stats(spark, [("A", "2026-04-30 00:00:00", None, 1, Decimal(1))]), "2026-05-01", 1)
+    s = W.mart_customer_rfm(stats(spark, [("A", "2026-04-30 00:00:00", None, 1, Decimal(1))]), "2026-05-01")
     # a single row falls in tile 1 everywhere: r = 5, f = 1, m = 1 -> NEW_OR_PROMISING
     r = s.first()
     assert (r["r_score"], r["f_score"], r["m_score"], r["rfm_segment"]) == (5, 1, 1, "NEW_OR_PROMISING")
