@@ -4,17 +4,20 @@
 bits that more than half of the hashes set.  ``classes`` links distinct
 fingerprints that differ in at most ``max_bits`` bits, exactly:
 
-* Reference fingerprints (pivots) come in one group per block of the 64 bits;
-  a group's pivots are random inside their block and zero outside.  The table
-  holds each fingerprint's Hamming distance to every pivot.
-* Within a group, distances relative to the all-zero pivot change only if a bit
-  of that block does.  ``max_bits`` differing bits touch at most ``max_bits``
-  blocks, so two linked fingerprints have equal table rows in at least
-  ``blocks - max_bits`` groups: those equal coordinates are the join keys, one
-  key per choice of groups.
-* A pair that met is discarded if any coordinate of the two table rows differs
-  by more than ``max_bits`` (triangle inequality), and the rest is verified on
-  the fingerprints.
+* The distance table is computed once per distinct fingerprint and stored: its
+  Hamming distances to ``PIVOTS`` random reference fingerprints (pivots), seven
+  of them packed in a long, and its join keys.
+* Distances to a few full-width pivots can't be join keys: two random
+  fingerprints agree within 3 in one of them about every second time.  So there
+  are also pivots in one group per block of the 64 bits, random inside their
+  block and zero outside.  Within a group, distances relative to the all-zero
+  pivot change only if a bit of that block does; ``max_bits`` differing bits
+  touch at most ``max_bits`` blocks, so two linked fingerprints have equal
+  coordinates in at least ``blocks - max_bits`` groups: one key per choice of groups.
+* A pair that met is discarded if any coordinate of the two stored rows differs
+  by more than ``max_bits`` (triangle inequality: no link is lost), and the
+  survivors are verified on the fingerprints.  ``pair_counts`` tells how many
+  pairs met, were discarded and were linked.
 
 Copies are one class before the join, so no pair inside a group of equal
 fingerprints is ever formed.
@@ -41,6 +44,7 @@ from .names import free_prefix
 from .scratch import Scratch
 
 SHINGLE, MAX_BITS, BLOCKS, PIVOTS_PER_BLOCK, SEED = 3, 3, 6, 8, 42
+PIVOTS, PACKED = 14, 7  # full-width pivots; distances (one byte each) in a long, which stays positive
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -76,6 +80,11 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             .mapInArrow(run, "doc_id long, text_key long, fp long"))
 
 
+def full_pivots(n: int = PIVOTS, seed: int = SEED) -> list[int]:
+    """Random reference fingerprints of 64 bits."""
+    return [int(x) for x in np.random.default_rng(seed).integers(0, 1 << 64, size=n, dtype=np.uint64)]
+
+
 def pivots(blocks: int = BLOCKS, per_block: int = PIVOTS_PER_BLOCK, seed: int = SEED) -> list[list[int]]:
     """Per block of bits, ``per_block`` random reference fingerprints that are zero outside it."""
     edges = np.linspace(0, 64, blocks + 1).astype(int)
@@ -95,32 +104,66 @@ def _hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def distance_table(fps: DataFrame, blocks: int = BLOCKS, per_block: int = PIVOTS_PER_BLOCK) -> DataFrame:
-    """fp, d0 (distance to the zero pivot) and g0.. (one array of distances per pivot group)."""
+def distance_table(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS,
+                   per_block: int = PIVOTS_PER_BLOCK, full: int = PIVOTS) -> DataFrame:
+    """fp, t (its distances to the full-width pivots, a byte each, PACKED in a long) and keys (one per choice of pivot groups)."""
     fp = F.col("fp")
-    return fps.select("fp", F.bit_count(fp).alias("d0"), *[
-        F.transform(F.array(*[F.lit(_signed(p)) for p in group]), lambda p: _hamming(fp, p)).alias(f"g{i}")
-        for i, group in enumerate(pivots(blocks, per_block))])
+    # coordinates relative to the zero pivot: unchanged while the block's bits are
+    groups = [F.xxhash64(*[_hamming(fp, F.lit(_signed(p))) - F.bit_count(fp) for p in group]) for group in pivots(blocks, per_block)]
+    table = fps.select("fp", *[g.alias(f"g{i}") for i, g in enumerate(groups)])
+    keys = [F.xxhash64(F.lit(c), *[F.col(f"g{i}") for i in chosen])
+            for c, chosen in enumerate(combinations(range(blocks), blocks - max_bits))]
+    distances = [_hamming(fp, F.lit(_signed(p))).cast("long") for p in full_pivots(full)]
+    packed = []
+    for at in range(0, full, PACKED):
+        word = F.lit(0).cast("long")
+        for i, d in enumerate(distances[at:at + PACKED]):
+            word = word.bitwiseOR(F.shiftleft(d, 8 * i))
+        packed.append(word)
+    return table.select("fp", F.array(*packed).alias("t"), F.array(*keys).alias("keys"))
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS,
-          per_block: int = PIVOTS_PER_BLOCK) -> DataFrame:
-    """All pairs a < b of the distinct fingerprints ``fps`` within ``max_bits`` bits."""
-    table = distance_table(fps, blocks, per_block)
-    # coordinates relative to the zero pivot: unchanged while the block's bits are
-    relative = [F.transform(f"g{i}", lambda d: d - F.col("d0")) for i in range(blocks)]
-    table = table.select("fp", *[F.xxhash64(r).alias(f"h{i}") for i, r in enumerate(relative)])
-    choices = list(combinations(range(blocks), blocks - max_bits))
-    keys = F.array(*[F.xxhash64(F.lit(c), *[F.col(f"h{i}") for i in chosen]) for c, chosen in enumerate(choices)])
-    keyed = table.select("fp", F.posexplode(keys).alias("choice", "key"))
-    left, right = keyed.withColumnRenamed("fp", "a"), keyed.withColumnRenamed("fp", "b")
-    met = left.join(right, ["choice", "key"]).where(F.col("a") < F.col("b"))
-    # the pair's coordinates, computed from the two fingerprints, differ by at most max_bits in every pivot
-    every = F.array(*[F.lit(_signed(p)) for group in pivots(blocks, per_block) for p in group])
-    near = F.forall(every, lambda p: F.abs(_hamming(F.col("a"), p) - _hamming(F.col("b"), p)) <= max_bits)
-    return (met.where(near)
-            .where(_hamming(F.col("a"), F.col("b")) <= max_bits)
-            .select("a", "b").distinct())
+def _coordinates_agree(a: Column, b: Column, max_bits: int) -> Column:
+    """Whether no two bytes of the packed distances differ by more than ``max_bits``, all bytes at once:
+    the top bit of 128 + x + max_bits - y stays set in a byte exactly if y - x <= max_bits."""
+    top, most = (sum(v << 8 * i for i in range(PACKED)) for v in (128, max_bits))
+
+    def not_below(x, y):
+        return x.bitwiseOR(F.lit(top)) + F.lit(most) - y
+
+    return not_below(a, b).bitwiseAND(not_below(b, a)).bitwiseAND(F.lit(top)) == F.lit(top)
+
+
+def _met(table: DataFrame, max_bits: int, full: int = PIVOTS) -> DataFrame:
+    """Pairs a < b that share a key (once per shared key), with ``near``: their table rows agree."""
+    words = range(-(-full // PACKED))
+    keyed = table.select("fp", *[F.col("t")[w].alias(f"t{w}") for w in words], F.posexplode("keys").alias("choice", "key"))
+
+    def side(x):
+        return keyed.select("choice", "key", F.col("fp").alias(x), *[F.col(f"t{w}").alias(f"{x}{w}") for w in words])
+
+    near = F.lit(True)
+    for w in words:
+        near = near & _coordinates_agree(F.col(f"a{w}"), F.col(f"b{w}"), max_bits)
+    return side("a").join(side("b"), ["choice", "key"]).where(F.col("a") < F.col("b")).select("a", "b", near.alias("near"))
+
+
+def _linked(max_bits: int) -> Column:
+    return _hamming(F.col("a"), F.col("b")) <= max_bits
+
+
+def links(table: DataFrame, max_bits: int = MAX_BITS, full: int = PIVOTS) -> DataFrame:
+    """All pairs a < b of the fingerprints of a distance table within ``max_bits`` bits."""
+    return _met(table, max_bits, full).where(F.col("near")).where(_linked(max_bits)).select("a", "b").distinct()
+
+
+def pair_counts(table: DataFrame, max_bits: int = MAX_BITS, full: int = PIVOTS) -> DataFrame:
+    """One row: n_met (pairs that share a key, once per shared key), n_discarded (by their table rows),
+    n_linked, and n_lost (links that the discard took: none)."""
+    near, linked = F.col("near"), _linked(max_bits)
+    return _met(table, max_bits, full).agg(
+        F.count(F.lit(1)).alias("n_met"), F.count_if(~near).alias("n_discarded"),
+        F.count_if(near & linked).alias("n_linked"), F.count_if(~near & linked).alias("n_lost"))
 
 
 def classes(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
@@ -128,7 +171,8 @@ def classes(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, max_bits:
     (its smallest fingerprint) and the component_id (its smallest doc_id)."""
     fps = scratch.store(fingerprints(docs, shingle), "fingerprints")
     distinct = scratch.store(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    found = scratch.store(connected_components(links(distinct.select("fp"), max_bits), scratch), "components")
+    table = scratch.store(distance_table(distinct.select("fp"), max_bits), "table")
+    found = scratch.store(connected_components(links(table, max_bits), scratch), "components")
     named = distinct.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from commerce_lake.llm import simhash as S
 
@@ -104,10 +105,38 @@ def test_links_are_exact_on_random_close_fingerprints(spark):
             fps.add(y)
     fps = sorted(S._signed(x) for x in fps)
     want = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
-    got = {(r.a, r.b) for r in S.links(spark.createDataFrame([(x,) for x in fps], "fp long")).collect()}
+    got = {(r.a, r.b) for r in S.links(S.distance_table(spark.createDataFrame([(x,) for x in fps], "fp long"))).collect()}
     assert got == want
 
 
+def test_the_table_holds_the_distances_and_the_discard_is_their_largest_difference(spark):
+    rng = np.random.default_rng(6)
+    fps = [int(x) for x in rng.integers(0, 1 << 64, 200, dtype=np.uint64)] + [0, (1 << 64) - 1]
+    df = S.distance_table(spark.createDataFrame([(S._signed(x),) for x in fps], "fp long"))
+    rows = {r.fp: r.t for r in df.collect()}
+    unpack = lambda t: [t[i // 7] >> 8 * (i % 7) & 255 for i in range(S.PIVOTS)]
+    for x in fps:
+        assert unpack(rows[S._signed(x)]) == [(x ^ p).bit_count() for p in S.full_pivots()]
+    words = [tuple(int(d) for d in rng.integers(0, 65, 14)) for _ in range(300)]
+    words += [(0,) * 7 + (64,) * 7, (64,) * 7 + (0,) * 7, (3, 0, 5, 60, 64, 9, 9) + (0, 3, 2, 63, 61, 9, 9), (4,) + (0,) * 13, (0,) * 6 + (4,) + (0,) * 7]
+    pack = lambda v: sum(d << 8 * i for i, d in enumerate(v))
+    pairs = spark.createDataFrame([(i, pack(w[:7]), pack(w[7:])) for i, w in enumerate(words)], "i int, a long, b long")
+    for most in (3, 40):
+        got = {r.i: r.ok for r in pairs.select("i", S._coordinates_agree(F.col("a"), F.col("b"), most).alias("ok")).collect()}
+        assert got == {i: max(abs(x - y) for x, y in zip(w[:7], w[7:])) <= most for i, w in enumerate(words)}
+
+
+def test_the_discard_takes_most_pairs_and_no_link(spark):
+    """Fingerprints that share half their bits meet; nearly all of them go by the table alone."""
+    rng = np.random.default_rng(7)
+    low = int(rng.integers(0, 1 << 32))
+    fps = {low | int(x) << 32 for x in rng.integers(0, 1 << 32, 400)}
+    fps |= {x ^ 1 << int(b) for x in list(fps)[:50] for b in rng.choice(64, 1)}
+    r = S.pair_counts(S.distance_table(spark.createDataFrame([(S._signed(x),) for x in fps], "fp long"))).first()
+    assert r.n_lost == 0 and r.n_linked > 0 and r.n_met > 50_000
+    assert r.n_discarded > 0.98 * (r.n_met - r.n_linked)
+
+
 def test_empty(spark):
     assert S.group(frame(spark, corpus()).limit(0)).count() == 0
     assert S.keep_one(frame(spark, corpus()).limit(0)).count() == 0
