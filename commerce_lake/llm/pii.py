@@ -6,13 +6,16 @@ replaced by another value of the same format, under a key:
 * digits and letters: the characters' halves are shifted in turn, each by a
   keyed hash of the other half, within their class (0-9, a-z, A-Z); punctuation
   and separators stay, so a value keeps its layout;
-* card numbers must pass the Luhn test, account numbers (IBAN) the mod-97 test;
-  their check digits are computed anew, so pseudonyms pass too;
-* dates (ISO, or day and month with dots or slashes) must exist; the day number
-  is permuted within the 146,097 days of the years 1800-2199;
+* card numbers must pass the Luhn test, account numbers (IBAN) the mod-97 test,
+  those in small letters also the length of their country; their check digits
+  are computed anew, so pseudonyms pass too;
+* dates (ISO, also before a time, or day and month with dots or slashes) must
+  exist; the day number is permuted within the 146,097 days of 1800-2199;
 * IPv4 addresses need octets up to 255 and are permuted as two 16-bit halves;
 * social security numbers are permuted over the valid area, group and serial;
-* phone numbers keep a country code, e-mail addresses keep their domain.
+* phone numbers keep their country code (from the table of codes, so it does not
+  depend on the layout) or the 0 of a national number; e-mail addresses keep
+  their domain.
 
 A candidate that fails as a whole may hide a card or account number next to
 other groups (an expiry date, a currency): its parts at group borders are then
@@ -20,7 +23,8 @@ validated, from the first group on and longest first, an account number by its
 country's length; the text around the valid part is searched again.
 
 Each step is a bijection, so different values stay different, and it depends on
-key and value alone (card, account and phone numbers without separators), so
+key and value alone (card, account and phone numbers without separators,
+accounts in capitals; a national number isn't linked to its international form), so
 equal values stay linked across documents.  Spark expressions only.
 
 Defined cases: a null text stays null, an empty one empty; whole texts are
@@ -42,12 +46,12 @@ DEMO_KEY = "not-a-secret"
 # Patterns by kind, in the order in which they are tried (fixed values).
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,63})@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "date": r"(?<![\w.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![\w\-/])",
+    "iban": r"\b(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}[0-9]{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)\b",
+    "date": r"(?<![\w.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?!(?!T[0-9]{2}:)[\w\-/])",
     "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9])",
     "ssn": r"(?<![\w\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w\-])",
-    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{1,4}(?:[ .\-]?[0-9]{2,4}){1,4}|(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4})(?![\w])",
-    "card": r"(?<![\w.\-])[0-9](?:[ \-]?[0-9]){12,18}(?![\w\-])",
+    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{1,4}(?:[ .\-]?[0-9]{2,4}){1,4}|(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}|(?<![.\-/])0[1-9][0-9]{1,3}[ /][0-9]{5,8})(?![\w])",
+    "card": r"(?<![\w\-])(?<![0-9]\.)[0-9](?:[ \-]?[0-9]){12,18}(?![\w\-])",
 }
 ANY = "|".join(PATTERNS.values())
 # Cards that begin after another group: undivided or in the usual groups only.
@@ -58,6 +62,10 @@ IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
     "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 "
     "MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
     "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+# Calling codes of one and of two digits (ITU E.164); all others have three.
+CODES_1 = ("1", "7")
+CODES_2 = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+           "81 82 84 86 90 91 92 93 94 95 98").split()
 SHORTEST = 13  # characters of a card or account number
 DAYS, FIRST_DAY = (773, 189), "1800-01-01"  # 773 * 189 = 146,097 days of 400 Gregorian years
 
@@ -155,12 +163,24 @@ def _mod97(s: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(r)), F.lit(0), add)
 
 
+def _account(m: Column) -> Column:
+    """An account number without spaces, in capitals."""
+    return F.upper(F.replace(m, F.lit(" "), F.lit("")))
+
+
+def _registered_length(account: Column) -> Column:
+    """The length of account numbers of its country, or null."""
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+    return F.try_element_at(lengths, F.substr(account, F.lit(1), F.lit(2)))
+
+
 def _iban(m: Column, key: str) -> Column:
-    s = F.replace(m, F.lit(" "), F.lit(""))
+    s = _account(m)
     body = permute_text(F.substr(s, F.lit(5), F.length(s)), key, "iban")
     land = F.substr(s, F.lit(1), F.lit(2))
     check = F.lpad((F.lit(98) - _mod97(F.concat(land, F.lit("00"), body))).cast("string"), 2, "0")
-    return _refill(m, F.concat(land, check, body), "A-Z0-9")
+    new = _refill(F.upper(m), F.concat(land, check, body), "A-Z0-9")
+    return F.when(m.rlike("^[a-z]"), F.lower(new)).otherwise(new)
 
 
 def _day(m: Column) -> Column:
@@ -220,9 +240,10 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    kept = F.when(m.startswith("+"), F.coalesce(F.nullif(F.length(F.regexp_extract(m, r"^\+([0-9]{1,3})[ .\-(]", 1)), F.lit(0)),
-                                                F.lit(2))).otherwise(0)
     d = _digits(m)
+    code = (F.when(F.substr(d, F.lit(1), F.lit(1)).isin(*CODES_1), 1)
+            .when(F.substr(d, F.lit(1), F.lit(2)).isin(*CODES_2), 2).otherwise(3))
+    kept = F.when(m.startswith("+"), code).when(m.startswith("0"), 1).otherwise(0)
     fill = F.concat(F.substr(d, F.lit(1), kept), permute_text(F.substr(d, kept + 1, F.length(d)), key, "phone"))
     return _refill(m, fill, "0-9")
 
@@ -237,9 +258,10 @@ def kind_of(m: Column) -> Column:
     n = F.length(_digits(m))
     s = F.split(m, "-")
     ssn = (s[0] != "000") & (s[0] != "666") & (s[0] < "900") & (s[1] != "00") & (s[2] != "0000")
-    number = _day_number(m)
+    number, account = _day_number(m), _account(m)
+    known = F.coalesce(F.length(account) == _registered_length(account), F.lit(False))
     return (F.when(whole["email"], "email")
-            .when(whole["iban"] & (_mod97(F.replace(m, F.lit(" "), F.lit(""))) == 1), "iban")
+            .when(whole["iban"] & (_mod97(account) == 1) & (m.rlike("^[A-Z]") | known), "iban")
             .when(whole["date"] & (number >= 0) & (number < DAYS[0] * DAYS[1]), "date")
             .when(whole["ip"] & F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255), "ip")
             .when(whole["ssn"] & ssn, "ssn")
@@ -256,14 +278,12 @@ def _hidden(m: Column) -> Column:
     spans = F.flatten(F.transform(starts, lambda a: F.transform(
         F.filter(ends, lambda z: z - a >= SHORTEST - 1),
         lambda z: F.struct(a.alias("at"), F.substr(m, a, z - a + 1).alias("s")))))
-    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
 
     def valid(span):
         at, s = span["at"], span["s"]
-        account = F.replace(s, F.lit(" "), F.lit(""))
-        length = F.try_element_at(lengths, F.substr(s, F.lit(1), F.lit(2)))
+        account = _account(s)
         card = s.rlike(f"^(?:{PATTERNS['card']})$") & ((at == 1) | s.rlike(CARD_GROUPS)) & (luhn_sum(_digits(s)) == 0)
-        iban = s.rlike(f"^(?:{PATTERNS['iban']})$") & F.coalesce(F.length(account) == length, at == 1) & (_mod97(account) == 1)
+        iban = s.rlike(f"^(?:{PATTERNS['iban']})$") & F.coalesce(F.length(account) == _registered_length(account), (at == 1) & s.rlike("^[A-Z]")) & (_mod97(account) == 1)
         return card | iban
 
     return F.when((n > SHORTEST) & m.rlike("[ \\-]"), F.get(F.filter(spans, valid), F.lit(0)))
