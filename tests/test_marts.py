@@ -84,3 +84,69 @@ def test_incremental_keeps_groups_that_vanish(spark):
     out = {r["row_key"]: r["orders_count"] for r in upsert_frames(existing, fresh, ["row_key"]).collect()}
     # k3 vanished from the recomputed months and stays; k2 is replaced; k1 is older than the window
     assert out == {"k1": 2, "k2": 3, "k3": 1}
+
+
+def exchanges(spark, name):
+    """Hash exchanges of a registered query over its stored curated tables, without broadcasts."""
+    from commerce_lake.queries import QUERIES
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_return_rate_and_product_stats_group_by_the_exchange_of_their_last_join(spark):
+    assert exchanges(spark, "return_rate") == 8 and exchanges(spark, "product_stats") == 7
+
+
+def test_lines_do_not_move_by_customer(spark, monkeypatch):
+    """The customer version is found for orders; a line moves by order and by product."""
+    from commerce_lake import queries
+    from tests.conftest import SF_SMALL
+
+    for module, name in ((W, "fact_order_line"), (queries, "fact_asof_versions")):
+        seen, real = [], module.asof_ordered
+        monkeypatch.setattr(module, "asof_ordered", lambda fact, *a, **k: seen.append(fact.columns) or real(fact, *a, **k))
+        queries.QUERIES[name](spark, SF_SMALL)
+        assert "order_line_id" not in seen[0] and "order_line_id" in seen[1] and len(seen) == 2
+
+
+def test_fact_keeps_customer_keys_that_are_no_digests(spark):
+    """Digests go with the lines as bytes; other keys, and digests in capitals, come back as they were."""
+    keys = ["0123456789abcdef0123456789abcdef", "0123456789ABCDEF0123456789ABCDEF", "abc", "K-1", "", None]
+    at = "timestamp'2025-01-01 00:00:00'"
+    n = len(keys)
+    one = lambda *cols: spark.range(n).selectExpr(*cols)
+    flat = {c: "cast(null as string) AS " + c for t in ("orders", "order_lines", "products", "payments", "deliveries") for c in _COLUMNS[t]}
+    made = {"order_id": "id AS order_id", "customer_id": "id AS customer_id", "product_id": "7L AS product_id", "order_date": f"{at} AS order_date",
+            "order_line_id": "concat('L', id) AS order_line_id", "quantity": "2 AS quantity", "line_total": "5.00BD AS line_total",
+            "unit_cost": "1.50BD AS unit_cost", "is_selected": "true AS is_selected", "payment_method": "'CARD' AS payment_method",
+            "delivery_status": "'DELIVERED' AS delivery_status", "is_partial_payment": "false AS is_partial_payment", "is_late": "false AS is_late"}
+    cur = {t: one(*[made.get(c, flat[c]) for c in cols]) for t, cols in _COLUMNS.items()}
+    cur["products"] = cur["products"].limit(1)
+    dim_c = spark.createDataFrame([(k, str(i)) for i, k in enumerate(keys)], "customer_key string, customer_id string").selectExpr(
+        "*", f"{at} AS valid_from", "timestamp'9999-12-31 00:00:00' AS valid_to")
+    dim_p = spark.range(1).selectExpr("'P' AS product_key", "7L AS product_id", f"{at} AS valid_from", "cast(null as timestamp) AS valid_to")
+    got = {r["order_line_id"]: r for r in W.fact_order_line(cur, dim_c, dim_p).collect()}
+    assert [got[f"L{i}"]["customer_key"] for i in range(n)] == [*keys[:-1], "-1"]
+    assert all(r["line_cost"] == Decimal("3.00") and r["line_margin"] == Decimal("2.00") for r in got.values())
+
+
+_COLUMNS = {
+    "orders": ["order_id", "order_number", "customer_id", "order_date", "order_status", "channel", "country_code", "delivery_address_city",
+               "delivery_address_region", "delivery_address_zone", "promo_code", "currency", "subtotal_amount", "shipping_amount",
+               "discount_amount", "total_amount", "captured_amount", "has_payment", "is_partial_payment", "customer_dq_flag",
+               "order_year_month", "created_at", "updated_at"],
+    "order_lines": ["order_line_id", "order_id", "product_id", "product_sku", "quantity", "unit_price", "line_discount", "line_total",
+                    "seller_id", "order_year_month"],
+    "products": ["product_id", "sku", "product_name", "category_id", "category_name", "subcategory_name", "brand", "seller_id", "unit_cost",
+                 "unit_price", "weight_grams", "is_perishable", "created_at", "updated_at", "product_status", "dq_flag"],
+    "payments": ["payment_id", "order_id", "payment_method", "payment_provider", "payment_amount", "currency", "payment_status",
+                 "payment_date", "transaction_reference", "is_selected"],
+    "deliveries": ["delivery_id", "order_id", "carrier", "tracking_number", "delivery_status", "shipped_at", "delivered_at",
+                   "delivery_attempts", "delivery_cost", "delivery_delay_days", "is_late", "status_conflict"],
+}
