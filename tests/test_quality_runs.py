@@ -70,3 +70,17 @@ def test_volume_report_summary_and_json(spark, scratch):
     res = Q.run_suite("t", spark.createDataFrame([(1,), (None,)], "x int"), [Q.Expect("not_null", "x")])
     summ = Q.suite_summary(res).first()
     assert (summ["expectations"], summ["failed"], summ["success"]) == (1, 1, False)
+
+
+def test_relationships_count_rows_but_move_keys(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (3,), (3,), (3,), (None,)], "k int")
+    m = {"child": child, "parent": spark.createDataFrame([(1,), (None,), (1,)], "p int")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = Q._generic(Q.Test("relationships", "child", "k", to="parent", field="p"), m)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate(keys=[k#" in plan.split("LeftAnti")[1] and out.first()["failures"] == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    m["child"] = child.where("k = 1")
+    assert Q._generic(Q.Test("relationships", "child", "k", to="parent", field="p"), m).first()["failures"] == 0
